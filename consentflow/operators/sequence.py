@@ -1,22 +1,135 @@
-"""Neighbour-in-sequence operators (lead / lag per entity in time order).
+"""Neighbour-in-sequence operator (lead / lag per entity in time order).
 
 ``with_neighbour`` adds, for every row, columns of the next (or previous) row
-of the same entity in ``order``. Ties on the ordering keys are broken by the
-remaining order columns (callers pass the event id last), so results are
-deterministic.
+of the same entity (``by``) in ``order``. Callers pass a unique column (the
+event id) last in ``order`` so ties are broken deterministically.
+
+Skew. The textbook form, ``lead(c) over (partition by user order by ts)``,
+sends every row of one user to one task: a user holding a third of all rows
+becomes a third of the job in one task. The default ``split`` strategy:
+
+1. Entity sizes (a partial/final aggregate) give the total ``N``; an entity
+   is *hot* when it has more than ``T = max(N / n, min_split_rows)`` rows.
+   At most ``n`` entities can be hot, so everything derived from them below
+   is bounded by ``n`` (``n`` = ``num_ranges``, default the shuffle
+   partitions). No hot entity → plain grouped window, nothing else.
+2. Each hot entity gets ``K = ceil(rows / T)`` sub-buckets cut at approximate
+   quantiles of its first ordering column (``percentile_approx``, a partial
+   aggregate). The boundary table holds at most ``2n`` values in total and is
+   broadcast.
+3. Every row gets ``sub`` = number of its entity's boundaries at or below its
+   time (0 for all other entities); the window runs over ``(entity, sub)``, so
+   no window partition exceeds about ``T`` rows (bar rows sharing one instant).
+4. Stitch: the first row of each hot sub-bucket (one partial-aggregated row
+   per sub-bucket, ≤ ``2n`` rows) is the successor of the previous
+   sub-bucket's last row; that small table is broadcast and joined back.
+
+The bucket assignment is a pure function of the data and the broadcast
+boundaries, so every branch of the plan and every retried task computes the
+same buckets. ``strategy="window"`` keeps the grouped form.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_SUB = "__nb_sub"
+_GRID_MAX = 2048
+
+
+def _as_number(c: Column, dt: T.DataType) -> Column:
+    """An order-preserving numeric image of the first ordering column."""
+    if isinstance(dt, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(dt, T.NumericType):
+        return c.cast("double")
+    raise TypeError(f"cannot split on a {dt.simpleString()} ordering column")
+
+
+def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
+    cond = None
+    for lc, rc in pairs:
+        c = left[lc].eqNullSafe(right[rc])
+        cond = c if cond is None else cond & c
+    return cond
 
 
 def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[str],
-                   direction: str = "next", suffix: str | None = None) -> DataFrame:
+                   direction: str = "next", suffix: str | None = None,
+                   strategy: str = "split", num_ranges: int | None = None,
+                   min_split_rows: int = 1_000_000) -> DataFrame:
     """Add ``<col><suffix>`` = value of ``col`` in the next/previous row of the
-    same ``by`` group ordered by ``order``."""
+    same ``by`` group ordered by ``order`` (null when there is none)."""
+    if direction not in ("next", "prev"):
+        raise ValueError("direction must be 'next' or 'prev'")
     suffix = suffix or ("_next" if direction == "next" else "_prev")
-    w = Window.partitionBy(*by).orderBy(*order)
     fn = F.lead if direction == "next" else F.lag
-    return df.select("*", *[fn(c).over(w).alias(f"{c}{suffix}") for c in cols])
+    if strategy not in ("split", "window"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "window":
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.select("*", *[fn(c).over(w).alias(f"{c}{suffix}") for c in cols])
+
+    spark = df.sparkSession
+    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    # 1. entity sizes → N and the largest entity (one row to the driver)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__nb_cnt"))
+    total, biggest = sizes.agg(F.sum("__nb_cnt"), F.max("__nb_cnt")).first()
+    threshold = max(math.ceil((total or 0) / n), min_split_rows)
+    if not biggest or biggest <= threshold:
+        return with_neighbour(df, by, order, cols, direction, suffix, strategy="window")
+
+    # 2. quantile boundaries of the hot entities (≤ n entities, Σ K ≤ 2n values)
+    grid = min(n, _GRID_MAX)
+    t_num = _as_number(F.col(order[0]), df.schema[order[0]].dataType)
+    hot = sizes.where(F.col("__nb_cnt") > threshold)
+    hk = [f"__nb_h{i}" for i in range(len(by))]
+    hot_keys = F.broadcast(hot.select(*[F.col(c).alias(a) for c, a in zip(by, hk)], "__nb_cnt"))
+    hot_rows = df.join(hot_keys, _null_safe_on(df, hot_keys, zip(by, hk)), "inner")
+    pct = [i / grid for i in range(1, grid)]
+    q = hot_rows.groupBy(*hk).agg(F.first("__nb_cnt").alias("__nb_cnt"),
+                                  F.percentile_approx(t_num, pct, 10_000).alias("__nb_q"))
+    k = F.least(F.ceil(F.col("__nb_cnt") / F.lit(threshold)), F.lit(grid)).cast("int")
+    # keep K-1 evenly spaced grid points (grid index j*grid/K, 1-based)
+    thinned = F.transform(F.sequence(F.lit(1), F.greatest(k - 1, F.lit(1))),
+                          lambda j: F.element_at("__nb_q", (j * grid / k).cast("int")))
+    bounds = F.broadcast(q.select(*hk, F.when(k > 1, thinned).alias("__nb_bounds")))
+
+    # 3. sub-bucket per row, window over (entity, sub)
+    tagged = df.join(bounds, _null_safe_on(df, bounds, zip(by, hk)), "left")
+    sub = F.coalesce(F.size(F.filter("__nb_bounds", lambda b: b <= t_num)), F.lit(0))
+    tagged = tagged.select(*[F.col(c) for c in df.columns], sub.alias(_SUB),
+                           F.col("__nb_bounds").isNotNull().alias("__nb_hot"))
+    sort = ([F.col(c).asc_nulls_first() for c in order] if direction == "next"
+            else [F.col(c).desc_nulls_last() for c in order])
+    w = Window.partitionBy(*by, _SUB).orderBy(*sort)
+    v_in = [f"__nb_v{i}" for i in range(len(cols))]
+    x = tagged.select("*", *[F.lead(F.col(c)).over(w).alias(a) for c, a in zip(cols, v_in)],
+                      F.lead(F.lit(True)).over(w).isNull().alias("__nb_last"))
+
+    # 4. stitch consecutive sub-buckets of hot entities (≤ 2n rows, broadcast)
+    key_struct = F.struct(*[F.col(c) for c in order])
+    payload = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    pick = F.min_by if direction == "next" else F.max_by
+    firsts = (tagged.where("__nb_hot").groupBy(*by, _SUB)
+              .agg(pick(payload, key_struct).alias("__nb_f")))
+    sub_order = F.col(_SUB).asc() if direction == "next" else F.col(_SUB).desc()
+    nexts = firsts.select(*[F.col(c).alias(a) for c, a in zip(by, hk)],
+                          F.col(_SUB).alias("__nb_s"),
+                          F.lead("__nb_f").over(Window.partitionBy(*by).orderBy(sub_order))
+                          .alias("__nb_nf"))
+    nexts = F.broadcast(nexts)
+    j = x.join(nexts, _null_safe_on(x, nexts, [*zip(by, hk), (_SUB, "__nb_s")]), "left")
+    last = F.col("__nb_last")
+    out = [F.when(~last, F.col(a)).otherwise(F.col("__nb_nf").getField(f"v{i}")).alias(f"{c}{suffix}")
+           for i, (c, a) in enumerate(zip(cols, v_in))]
+    return j.select(*[x[c] for c in df.columns], *out)
