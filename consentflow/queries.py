@@ -19,6 +19,7 @@ from consentflow.operators import incremental
 from consentflow.operators.window_bounds import LoadWindow
 from consentflow.plans import analysis, checks, mart, staging
 from consentflow.plans.graph import ModelGraph
+from consentflow.sources import roundtrip
 
 VOLATILE = ("run_id", "ingest_dttm", "update_dttm", "load_time", "load_no")
 
@@ -78,6 +79,16 @@ def _pending_days(g: ModelGraph) -> DataFrame:
     return days.subtract(have)
 
 
+def _ingest(g: ModelGraph) -> DataFrame:
+    """CSV + Parquet files → ledger-driven ingest → raw table (lineage dropped)."""
+    return roundtrip.ingest_roundtrip(g.spark, g.raw_events).drop("filename")
+
+
+def _stream(g: ModelGraph) -> DataFrame:
+    """Parquet files → streaming file source (availableNow) → raw table."""
+    return roundtrip.stream_roundtrip(g.spark, g.raw_events).drop("filename")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # models
     "stg_event": _q(lambda g: g.stg_event),
@@ -136,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_drift_append": _q(_schema_drift),
     "pending_days_except": _q(_pending_days),
     "duplicate_consent_keys": _q(lambda g: incremental.duplicate_keys(g.fct_consent, ["consent_uq"])),
+    # ingestion
+    "ingest_roundtrip": _q(_ingest),
+    "stream_ingest": _q(_stream),
     # checks
     "check_unique": _q(lambda g: checks.check_unique(g.consent_company_day, "consent_uq")),
     "check_not_null": _q(lambda g: checks.check_not_null(g.consent_company_day, "consent_uq")),

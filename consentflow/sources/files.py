@@ -29,8 +29,11 @@ def read_events_parquet(spark: SparkSession, paths, schema: T.StructType | None
     return r.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
-def read_any(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
-    """CSV and/or Parquet by extension, unioned by column name (SRC-15)."""
+def read_any(spark: SparkSession, paths, schema: T.StructType | None = None,
+             load_no: str | None = None) -> DataFrame:
+    """CSV and/or Parquet by extension, unioned by column name (SRC-15).
+    With ``load_no`` the lineage columns are attached to each scan before the
+    union (the file-name metadata column exists only on a scan)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     csv = [p for p in paths if p.lower().endswith(".csv")]
     pq = [p for p in paths if not p.lower().endswith(".csv")]
@@ -41,6 +44,8 @@ def read_any(spark: SparkSession, paths, schema: T.StructType | None = None) ->
         parts.append(read_events_parquet(spark, pq, schema))
     if not parts:
         raise ValueError("no input files")
+    if load_no is not None:
+        parts = [with_lineage(p, load_no) for p in parts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
