@@ -40,12 +40,13 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, ta
 
 
 def stream_upsert_events(spark: SparkSession, source_dir: str, schema: T.StructType,
-                         table_root: str, checkpoint: str, fmt: str = "parquet") -> int:
+                         table_root: str, checkpoint: str, fmt: str = "parquet",
+                         max_files_per_trigger: int | None = None) -> int:
     """Each micro-batch of raw events is staged and key-replaced into the
     event fact (``foreachBatch`` + delete+insert). A replayed batch (after a
     failure) replaces the same keys again, so the result is idempotent."""
     table = VersionedTable(spark, table_root)
-    src = read_event_files(spark, source_dir, schema, fmt).select(
+    src = read_event_files(spark, source_dir, schema, fmt, max_files_per_trigger).select(
         "*", F.col("_metadata.file_name").alias("filename"))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
