@@ -62,22 +62,10 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
     return cond
 
 
-def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[str],
-                   direction: str = "next", suffix: str | None = None,
-                   strategy: str = "split", num_ranges: int | None = None,
-                   min_split_rows: int = 1_000_000) -> DataFrame:
-    """Add ``<col><suffix>`` = value of ``col`` in the next/previous row of the
-    same ``by`` group ordered by ``order`` (null when there is none)."""
-    if direction not in ("next", "prev"):
-        raise ValueError("direction must be 'next' or 'prev'")
-    suffix = suffix or ("_next" if direction == "next" else "_prev")
-    fn = F.lead if direction == "next" else F.lag
-    if strategy not in ("split", "window"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "window":
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.select("*", *[fn(c).over(w).alias(f"{c}{suffix}") for c in cols])
-
+def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | None = None,
+             min_split_rows: int = 1_000_000) -> DataFrame | None:
+    """``df`` plus ``__nb_sub`` (sub-bucket of the entity) and ``__nb_hot``,
+    or ``None`` when no entity exceeds ``T`` rows (steps 1-3 above)."""
     spark = df.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -86,13 +74,13 @@ def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[st
     total, biggest = sizes.agg(F.sum("__nb_cnt"), F.max("__nb_cnt")).first()
     threshold = max(math.ceil((total or 0) / n), min_split_rows)
     if not biggest or biggest <= threshold:
-        return with_neighbour(df, by, order, cols, direction, suffix, strategy="window")
+        return None
 
     # 2. quantile boundaries of the hot entities (≤ n entities, Σ K ≤ 2n values)
     grid = min(n, _GRID_MAX)
     t_num = _as_number(F.col(order[0]), df.schema[order[0]].dataType)
     hot = sizes.where(F.col("__nb_cnt") > threshold)
-    hk = [f"__nb_h{i}" for i in range(len(by))]
+    hk = _hot_key_names(by)
     hot_keys = F.broadcast(hot.select(*[F.col(c).alias(a) for c, a in zip(by, hk)], "__nb_cnt"))
     hot_rows = df.join(hot_keys, _null_safe_on(df, hot_keys, zip(by, hk)), "inner")
     pct = [i / grid for i in range(1, grid)]
@@ -104,11 +92,34 @@ def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[st
                           lambda j: F.element_at("__nb_q", (j * grid / k).cast("int")))
     bounds = F.broadcast(q.select(*hk, F.when(k > 1, thinned).alias("__nb_bounds")))
 
-    # 3. sub-bucket per row, window over (entity, sub)
+    # 3. sub-bucket per row (0 for entities that are not hot)
     tagged = df.join(bounds, _null_safe_on(df, bounds, zip(by, hk)), "left")
     sub = F.coalesce(F.size(F.filter("__nb_bounds", lambda b: b <= t_num)), F.lit(0))
-    tagged = tagged.select(*[F.col(c) for c in df.columns], sub.alias(_SUB),
-                           F.col("__nb_bounds").isNotNull().alias("__nb_hot"))
+    return tagged.select(*[F.col(c) for c in df.columns], sub.alias(_SUB),
+                         F.col("__nb_bounds").isNotNull().alias("__nb_hot"))
+
+
+def _hot_key_names(by: list[str]) -> list[str]:
+    return [f"__nb_h{i}" for i in range(len(by))]
+
+
+def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[str],
+                   direction: str = "next", suffix: str | None = None,
+                   strategy: str = "split", num_ranges: int | None = None,
+                   min_split_rows: int = 1_000_000) -> DataFrame:
+    """Add ``<col><suffix>`` = value of ``col`` in the next/previous row of the
+    same ``by`` group ordered by ``order`` (null when there is none)."""
+    if direction not in ("next", "prev"):
+        raise ValueError("direction must be 'next' or 'prev'")
+    if strategy not in ("split", "window"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    suffix = suffix or ("_next" if direction == "next" else "_prev")
+    fn = F.lead if direction == "next" else F.lag
+    tagged = segments(df, by, order, num_ranges, min_split_rows) if strategy == "split" else None
+    if tagged is None:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.select("*", *[fn(c).over(w).alias(f"{c}{suffix}") for c in cols])
+
     sort = ([F.col(c).asc_nulls_first() for c in order] if direction == "next"
             else [F.col(c).desc_nulls_last() for c in order])
     w = Window.partitionBy(*by, _SUB).orderBy(*sort)
@@ -117,6 +128,7 @@ def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[st
                       F.lead(F.lit(True)).over(w).isNull().alias("__nb_last"))
 
     # 4. stitch consecutive sub-buckets of hot entities (≤ 2n rows, broadcast)
+    hk = _hot_key_names(by)
     key_struct = F.struct(*[F.col(c) for c in order])
     payload = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
     pick = F.min_by if direction == "next" else F.max_by
@@ -133,3 +145,40 @@ def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[st
     out = [F.when(~last, F.col(a)).otherwise(F.col("__nb_nf").getField(f"v{i}")).alias(f"{c}{suffix}")
            for i, (c, a) in enumerate(zip(cols, v_in))]
     return j.select(*[x[c] for c in df.columns], *out)
+
+
+def first_following_where(df: DataFrame, by: list[str], order: list[str], value: str,
+                          cond: Column, alias: str, strategy: str = "split",
+                          num_ranges: int | None = None,
+                          min_split_rows: int = 1_000_000) -> DataFrame:
+    """Add ``alias`` = ``value`` of the first row at or after the current one
+    (same entity, in ``order``) for which ``cond`` holds.
+
+    Grouped form: a running ``last(.., ignorenulls)`` in *descending* order
+    (O(n) running frame, not an unbounded-following frame). Split form: the
+    same inside each (entity, sub-bucket); rows without a match in their
+    bucket take the first match of a later bucket, found on the per-bucket
+    summary of hot entities (≤ 2n rows, broadcast)."""
+    if strategy not in ("split", "window"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    hit = F.when(cond, F.col(value))
+    desc = [F.col(c).desc_nulls_last() for c in order]
+    tagged = segments(df, by, order, num_ranges, min_split_rows) if strategy == "split" else None
+    if tagged is None:
+        w = Window.partitionBy(*by).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", F.last(hit, ignorenulls=True).over(w).alias(alias))
+
+    w = Window.partitionBy(*by, _SUB).orderBy(*desc).rowsBetween(Window.unboundedPreceding,
+                                                                 Window.currentRow)
+    x = tagged.select("*", F.last(hit, ignorenulls=True).over(w).alias("__nb_in"))
+    hk = _hot_key_names(by)
+    # first match per hot bucket: min over (order..., value) of matching rows
+    first_hit = F.min(F.when(cond, F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"))))
+    per_bucket = tagged.where("__nb_hot").groupBy(*by, _SUB).agg(first_hit.alias("__nb_fh"))
+    later = Window.partitionBy(*by).orderBy(F.col(_SUB).desc())         .rowsBetween(Window.unboundedPreceding, -1)
+    nexts = F.broadcast(per_bucket.select(
+        *[F.col(c).alias(a) for c, a in zip(by, hk)], F.col(_SUB).alias("__nb_s"),
+        F.last(F.col("__nb_fh").getField("__v"), ignorenulls=True).over(later).alias("__nb_later")))
+    j = x.join(nexts, _null_safe_on(x, nexts, [*zip(by, hk), (_SUB, "__nb_s")]), "left")
+    return j.select(*[x[c] for c in df.columns],
+                    F.coalesce(F.col("__nb_in"), F.col("__nb_later")).alias(alias))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from consentflow.functions import (
     CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, seconds_between)
-from consentflow.operators.sequence import with_neighbour
+from consentflow.operators.sequence import first_following_where, with_neighbour
 from consentflow.operators.shares import share_by
 from consentflow.plans import staging
 
@@ -58,16 +58,12 @@ def time_to_consent_session(fct_event: DataFrame) -> DataFrame:
 
 def first_consent_after(fct_event: DataFrame) -> DataFrame:
     """Minutes from each consent.asked to the user's first consent.given at or
-    after it (WIN-06, fixed form: nulls are skipped).
-
-    Computed as a running ``min`` in *descending* time order, which is an O(n)
-    running frame rather than an O(n²) unbounded-following frame."""
-    w = (Window.partitionBy("user_id")
-         .orderBy(F.col("event_dttm").desc(), F.col("event_id").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    next_given = F.min(F.when(F.col("event_type") == CONSENT_GIVEN, F.col("event_dttm"))).over(w)
-    x = fct_event.select("event_id", "user_id", "company_id", "event_dttm", "event_type",
-                         next_given.alias("first_given_dttm"))
+    after it (WIN-06, fixed form: nulls are skipped). Skew-safe: hot users are
+    split into time buckets (``first_following_where``)."""
+    x = first_following_where(
+        fct_event.select("event_id", "user_id", "company_id", "event_dttm", "event_type"),
+        ["user_id"], SEQ_ORDER, "event_dttm", F.col("event_type") == CONSENT_GIVEN,
+        "first_given_dttm")
     minutes = F.timestamp_diff("MICROSECOND", F.col("event_dttm"), F.col("first_given_dttm")) / 6e7
     return (x.where(F.col("event_type") == CONSENT_ASKED)
             .select("event_id", "user_id", "company_id", "event_dttm", "first_given_dttm",

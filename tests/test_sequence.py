@@ -58,3 +58,15 @@ def test_no_hot_entity_uses_plain_window(spark):
                          num_ranges=4, min_split_rows=1000)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "__nb_sub" not in plan
+
+
+def test_first_following_where_split_equals_window(spark):
+    from consentflow.operators.sequence import first_following_where
+    df = events(spark, n=3000)
+    cond = F.col("event_type") == "consent.given"
+    ref = first_following_where(df, ["user_id"], ["event_dttm", "event_id"], "event_dttm", cond, "nxt",
+                                strategy="window")
+    got = first_following_where(df, ["user_id"], ["event_dttm", "event_id"], "event_dttm", cond, "nxt",
+                                num_ranges=8, min_split_rows=50)
+    assert "__nb_sub" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert same(ref, got)
