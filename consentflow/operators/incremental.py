@@ -109,8 +109,10 @@ def partition_replace(df: DataFrame, path: str, partition_col: str) -> None:
     """Dynamic partition overwrite (INC-08): only the partitions present in
     ``df`` are replaced. ``df`` must not be read from ``path`` itself unless
     its lineage was cut first (see ``stage``)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    # rebalance: AQE sizes the write tasks by data volume, splitting a hot
+    # day over several tasks and packing small days together
+    (df.hint("rebalance", partition_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -74,8 +74,10 @@ def _schema_drift(g: ModelGraph) -> DataFrame:
 
 def _pending_days(g: ModelGraph) -> DataFrame:
     """Event days not yet in the consent fact of the backfill window (EXCEPT)."""
-    have = staging.stg_consent(g.fct_event, BACKFILL).select(F.col("event_dt"))
-    days = g.raw_events.select(F.to_date("EVENT_TIME").alias("event_dt"))
+    have = staging.stg_consent(g.fct_event, BACKFILL).select(F.col("event_dt")).distinct()
+    # distinct first (a partial aggregate): the EXCEPT then compares day sets,
+    # never shuffling raw rows keyed by one (possibly hot) day
+    days = g.raw_events.select(F.to_date("EVENT_TIME").alias("event_dt")).distinct()
     return days.subtract(have)
 
 

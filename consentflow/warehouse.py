@@ -57,8 +57,8 @@ class PartitionedTable:
 
     def overwrite(self, df: DataFrame) -> None:
         """Full refresh (INC-05): static overwrite of the whole table."""
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(self.partition_col).parquet(self.path))
+        (df.hint("rebalance", self.partition_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy(self.partition_col).parquet(self.path))
 
     def key_replace(self, batch: DataFrame, keys: list[str]) -> None:
         if not self.exists():
