@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from consentflow.queries import QUERIES  # noqa: E402
-from consentflow.session import get_session  # noqa: E402
+from consentflow.session import get_session, scratch_path  # noqa: E402
 from consentflow.sources import files  # noqa: E402
 
 HEADLINE = [
@@ -62,7 +62,7 @@ def main() -> None:
     # (INSERT ... SELECT of an existing 10M-row Parquet file into a table,
     # ~22 s): the source file is generated first (untimed), then the load
     # (read Parquet → write the table) is timed and verified by a count.
-    scratch = tempfile.mkdtemp(prefix="bench-load-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
+    scratch = os.environ.get("BENCH_SCRATCH") or scratch_path(spark, f"bench-load-{uuid.uuid4().hex[:10]}")
     src, dst = f"{scratch}/gen_data", f"{scratch}/bench_insert"
     files.synthetic_rows(spark, load_rows, seed=7).write.mode("overwrite").parquet(src)
     t0 = time.perf_counter()

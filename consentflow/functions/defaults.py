@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must equal the values the modelled warehouse uses, so
-# that keys, default rows and validity filters give identical results.
+# that keys, default rows, filters and labels give identical results.
 #   default string         'n/a'
 #   default integer        0
 #   minimum date           1900-01-01
@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 #   surrogate-key null     '_dbt_utils_surrogate_key_null_'
 #   surrogate-key joiner   '-'
 #   date spine             2000-01-01 .. 2100-12-31
+#   event types            pageview, consent.asked, consent.given, ui.action
+#   consent statuses       full opt-in, opt-out, partial opt-in, empty
+#   origin labels          consent rows 'fct_event', report rows 'fct_consent',
+#                          country rows 'seed'
 # ---------------------------------------------------------------------------
 DEFAULT_STRING = "n/a"
 DEFAULT_INT = 0
@@ -33,14 +37,15 @@ SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 SURROGATE_JOINER = "-"
 DATE_SPINE_START = _dt.date(2000, 1, 1)
 DATE_SPINE_END = _dt.date(2100, 12, 31)
-
-# Event types and consent statuses the metrics pivot on.
 PAGEVIEW = "pageview"
 CONSENT_ASKED = "consent.asked"
 CONSENT_GIVEN = "consent.given"
 UI_ACTION = "ui.action"
 EVENT_TYPES = (PAGEVIEW, CONSENT_ASKED, CONSENT_GIVEN, UI_ACTION)
 CONSENT_STATUSES = ("full opt-in", "opt-out", "partial opt-in", "empty")
+ORIGIN_CONSENT = "fct_event"
+ORIGIN_REPORT = "fct_consent"
+ORIGIN_SEED = "seed"
 
 
 def default_string():

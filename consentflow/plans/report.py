@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from consentflow.functions import DATE_MIN, default_int, default_string
+from consentflow.functions import DATE_MIN, ORIGIN_REPORT, default_int, default_string
 from consentflow.operators import window_bounds
 from consentflow.plans import staging
 
@@ -57,4 +57,4 @@ def consent_company_day(fct_consent: DataFrame, dim_company: DataFrame, dim_date
         F.lit(run_id or "local").alias("run_id"),
         F.current_timestamp().alias("ingest_dttm"),
         F.lit(None).cast("timestamp_ntz").alias("update_dttm"),
-        F.lit("fct_consent").alias("origin"))
+        F.lit(ORIGIN_REPORT).alias("origin"))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from consentflow.functions import (
     CONSENT_ASKED, CONSENT_GIVEN, CONSENT_STATUSES, DATE_SPINE_END, DATE_SPINE_START,
-    PAGEVIEW, UI_ACTION, conversion_rate, default_int, default_string, extrapolated_count,
-    null_timestamp, seconds_between, strip_quotes, surrogate_key, ts_min)
+    ORIGIN_CONSENT, ORIGIN_SEED, PAGEVIEW, UI_ACTION, conversion_rate, default_int,
+    default_string, extrapolated_count, null_timestamp, seconds_between, strip_quotes,
+    surrogate_key, ts_min)
 from consentflow.operators import window_bounds
 from consentflow.operators.sequence import with_neighbour
 
@@ -143,7 +144,7 @@ def stg_consent(fct_event: DataFrame, window=None, run_id: str | None = None,
         _run_id(run_id),
         F.current_timestamp().alias("ingest_dttm"),
         null_timestamp().alias("update_dttm"),
-        F.lit("fct_event").alias("origin"),
+        F.lit(ORIGIN_CONSENT).alias("origin"),
     )
 
 
@@ -175,7 +176,7 @@ def stg_country(seed: DataFrame) -> DataFrame:
         "name", F.col("alpha_2").alias("code"), F.col("country_code").cast("int").alias("code_numeric"),
         "region", F.col("sub_region").alias("subregion"),
         F.current_timestamp().cast("timestamp_ntz").alias("ingest_dttm"),
-        null_timestamp().alias("update_dttm"), F.lit("seed").alias("origin"))
+        null_timestamp().alias("update_dttm"), F.lit(ORIGIN_SEED).alias("origin"))
     default = spark.range(1).select(
         default_string().alias("name"), default_string().alias("code"),
         default_int().cast("int").alias("code_numeric"), default_string().alias("region"),

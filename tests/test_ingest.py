@@ -133,3 +133,36 @@ def _csv(tmp_dir):
     p = f"{tmp_dir}/src.csv"
     write(p, HEADER + ROW1 + ROW2)
     return p
+
+
+def test_inferred_schema_describe_export_and_empty_clone(spark, tmp_dir):
+    p = f"{tmp_dir}/in/events-1.csv"
+    write(p, HEADER + ROW1 + ROW2)
+    inferred = ing.infer_schema(spark, p)
+    assert "EVENT_ID" in inferred.fieldNames() and "COUNT" in inferred.fieldNames()
+    df = files.read_events_csv(spark, p, RAW_EVENT_SCHEMA)
+    desc = {r.column_name: r.column_type for r in files.describe(df).collect()}
+    assert desc["RATE"] == "double" and desc["EVENT_TIME"] == "timestamp_ntz"
+    empty = files.empty_like(df)
+    assert empty.count() == 0 and empty.schema == df.schema
+    files.export_csv(df.select("EVENT_ID", "PARAMETERS"), f"{tmp_dir}/out")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
+        .csv(f"{tmp_dir}/out")
+    assert sorted(r.EVENT_ID for r in back.collect()) == ["e1", "e2"]
+    assert back.where("EVENT_ID = 'e1'").first().PARAMETERS.startswith('{"purposes"')
+
+
+def test_synthetic_rows(spark):
+    df = files.synthetic_rows(spark, 1000, seed=1)
+    assert df.count() == 1000
+    r = df.agg(F.min("col_e"), F.max("col_e"), F.countDistinct("id")).first()
+    assert 0 <= r[0] and r[1] < 1000 and r[2] == 1000
+    assert len(df.first().col_d) == 32
+
+
+def test_default_window_is_yesterday_to_today(spark):
+    from consentflow.operators.window_bounds import LoadWindow
+    w = LoadWindow()
+    r = spark.range(1).select(w.start_col().alias("s"), w.end_col().alias("e"),
+                              F.current_date().alias("t")).first()
+    assert r.e == r.t and (r.t - r.s).days == 1
