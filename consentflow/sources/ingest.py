@@ -39,13 +39,25 @@ def infer_schema(spark: SparkSession, path: str) -> T.StructType:
     return fsrc.read_any(spark, [path]).limit(0).schema
 
 
-def _write(df: DataFrame, table_path: str, mode: str) -> None:
-    df.write.mode(mode).parquet(table_path)
+def _write(df: DataFrame, table_path: str, mode: str, partition: tuple | None = None) -> None:
+    """Append, or replace the whole table (static overwrite even when the
+    session default is dynamic). ``partition = (name, Column)`` adds a
+    derived partition column; the rebalance hint lets AQE size the write
+    tasks so one hot partition value is split over several tasks."""
+    w = df
+    if partition is not None:
+        name, col = partition
+        w = df.withColumn(name, col).hint("rebalance", name)
+    writer = w.write.mode(mode).option("partitionOverwriteMode", "static")
+    if partition is not None:
+        writer = writer.partitionBy(partition[0])
+    writer.parquet(table_path)
 
 
 def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str, ledger_path: str,
            disposition: str = "append", force: bool = False, schema: T.StructType | str | None = None,
-           recursive: bool = False, fail_on_error: bool = True) -> IngestResult:
+           recursive: bool = False, fail_on_error: bool = True,
+           partition: tuple | None = None) -> IngestResult:
     if disposition not in ("append", "truncate_append"):
         raise ValueError("disposition must be 'append' or 'truncate_append'")
     candidates = led.list_files(spark, pattern, recursive)
@@ -69,7 +81,7 @@ def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str,
     mode = "overwrite" if disposition == "truncate_append" else "append"
     status: dict[str, str] = {}
     try:
-        _write(fsrc.read_any(spark, paths, schema, result.load_no), table_path, mode)
+        _write(fsrc.read_any(spark, paths, schema, result.load_no), table_path, mode, partition)
         status = {p: "loaded" for p in paths}
     except Exception as bulk_error:  # isolate the bad file(s): one job per file
         result.bulk_error = str(bulk_error)[:500]
@@ -77,7 +89,7 @@ def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str,
         for p in paths:
             try:
                 m = mode if first_ok else "append"
-                _write(fsrc.read_any(spark, [p], schema, result.load_no), table_path, m)
+                _write(fsrc.read_any(spark, [p], schema, result.load_no), table_path, m, partition)
                 status[p] = "loaded"
                 first_ok = False
             except Exception:  # noqa: BLE001

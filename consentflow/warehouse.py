@@ -34,6 +34,8 @@ from consentflow.operators.window_bounds import LoadWindow
 from consentflow.plans import checks, mart, report, staging
 from consentflow.sources import files, ingest as ing
 
+RAW_EVENT_DATE = "EVENT_DATE"
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -89,8 +91,11 @@ class Warehouse:
 
     def load_events(self, pattern: str, disposition: str = "append", force: bool = False,
                     schema=None, recursive: bool = False) -> ing.IngestResult:
+        """Raw events land partitioned by ``EVENT_DATE`` (the event day), so a
+        load window prunes raw partitions instead of listing every file."""
         return ing.ingest(self.spark, pattern, self.path("raw", "events"), "events",
-                          self.path("raw", "_ledger"), disposition, force, schema, recursive)
+                          self.path("raw", "_ledger"), disposition, force, schema, recursive,
+                          partition=(RAW_EVENT_DATE, F.to_date("EVENT_TIME")))
 
     def load_companies(self, pattern: str, disposition: str = "truncate_append",
                        force: bool = False) -> ing.IngestResult:
@@ -132,6 +137,8 @@ class Warehouse:
         w = window if incremental_run else None
 
         # event fact: the staged batch, key-replaced by event_uq
+        if w is not None and RAW_EVENT_DATE in raw_events.columns:
+            raw_events = raw_events.where(w.on_date(RAW_EVENT_DATE))  # partition pruning
         batch = mart.fct_event(staging.stg_event(raw_events, w, run_id)) \
             .withColumn("event_dt", F.to_date("event_dttm"))
         if incremental_run:

@@ -51,3 +51,14 @@ def test_load_build_incremental_equals_full(spark, tmp_dir):
     assert all(v == 0 for v in wh.test().values())
     cat = {(r.table_name, r.column_name) for r in wh.catalog().collect()}
     assert ("consent_company_day", "consent_conversion_rate") in cat and ("dim_date", "week_no") in cat
+
+
+def test_raw_window_prunes_partitions(spark, tmp_dir):
+    _files(spark, tmp_dir)
+    wh = Warehouse(spark, f"{tmp_dir}/wh")
+    wh.load_events(f"{tmp_dir}/in*/*/part-*", schema=RAW_EVENT_SCHEMA)
+    w = LoadWindow(dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    raw = wh.read("raw", "events").where(w.on_date("EVENT_DATE"))
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(EVENT_DATE" in plan
+    assert raw.select("EVENT_DATE").distinct().count() == 3
