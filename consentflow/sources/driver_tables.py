@@ -19,6 +19,8 @@ The mapping is mirrored in SQL by ``consentflow.oracle`` for the DuckDB check.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,20 @@ N_NATIONS = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(_path(sf_dir, name))
+
+
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def file_name(sf_dir: str, name: str):
+    """Lineage file name of each row: a constant when the table is one file
+    (no per-row metadata columns in the scan), else the scan's metadata."""
+    path = _path(sf_dir, name)
+    if os.path.isfile(path):
+        return F.lit(os.path.basename(path))
+    return F.col("_metadata.file_name")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -68,7 +83,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     base = spread(ev.select(
         "event_id", "ts", "user_id", "event_type", "props",
-        F.col("_metadata.file_name").alias("_file")))
+        file_name(sf_dir, "events").alias("_file")))
     base = base.withColumn("_k", k)
     # nation ⨝ region is 25 rows by definition of the star schema: broadcast.
     nat = F.broadcast(nations(spark, sf_dir))
@@ -107,7 +122,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment", F.col("_metadata.file_name").alias("_file"))
+        "c_custkey", "c_nationkey", "c_mktsegment", file_name(sf_dir, "customer").alias("_file"))
     n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     return j.select(
