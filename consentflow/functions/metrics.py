@@ -31,10 +31,24 @@ def conversion_rate(given, asked, scale: int = 2) -> Column:
     return F.round(_c(given).cast(dec) / _c(asked).cast(dec), scale)
 
 
+def _gap_seconds(start, end) -> Column:
+    """Exact elapsed seconds (decimal, 6 places) as ``end - start``.
+
+    Subtracting two timestamps yields a day-time interval; for
+    ``timestamp_ntz`` that is the wall-clock gap, independent of the session
+    time zone (``timestampdiff`` converts through the session zone and is off
+    by the DST shift across a transition)."""
+    return (_c(end) - _c(start)).cast("interval second").cast("decimal(38,6)")
+
+
+def micros_between(start, end) -> Column:
+    """Elapsed microseconds from ``start`` to ``end``."""
+    return (_gap_seconds(start, end) * 1_000_000).cast("long")
+
+
 def seconds_between(start, end) -> Column:
     """Whole seconds from ``start`` to ``end`` (floor of the epoch of the gap)."""
-    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
-    return F.floor(micros / F.lit(1_000_000))
+    return F.floor(_gap_seconds(start, end)).cast("long")
 
 
 def strip_quotes(c) -> Column:

@@ -37,14 +37,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from consentflow.functions.metrics import micros_between
+
 _SUB = "__nb_sub"
 _GRID_MAX = 2048
 
 
 def _as_number(c: Column, dt: T.DataType) -> Column:
     """An order-preserving numeric image of the first ordering column."""
-    if isinstance(dt, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dt, T.TimestampNTZType):  # wall-clock micros, no session time zone involved
+        return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, T.DateType):

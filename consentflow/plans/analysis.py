@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from consentflow.functions import (
-    CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, seconds_between)
+    CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, micros_between, seconds_between)
 from consentflow.operators.sequence import first_following_where, with_neighbour
 from consentflow.operators.shares import share_by
 from consentflow.plans import staging
@@ -38,7 +38,7 @@ def consent_response_times(fct_event: DataFrame) -> DataFrame:
     elapsed seconds (exact, with fraction)."""
     seq = with_neighbour(fct_event, ["user_id"], SEQ_ORDER, ["event_type", "event_dttm"], "prev")
     resp = F.when((F.col("event_type") == CONSENT_GIVEN) & (F.col("event_type_prev") == CONSENT_ASKED),
-                  F.timestamp_diff("MICROSECOND", F.col("event_dttm_prev"), F.col("event_dttm")) / 1e6)
+                  micros_between("event_dttm_prev", "event_dttm") / 1e6)
     return (seq.select("user_id", "company_id", "deployment_id", "event_id", "event_dttm",
                        "event_type", resp.alias("consent_response_seconds"))
             .where(F.col("consent_response_seconds").isNotNull()))
@@ -64,7 +64,7 @@ def first_consent_after(fct_event: DataFrame) -> DataFrame:
         fct_event.select("event_id", "user_id", "company_id", "event_dttm", "event_type"),
         ["user_id"], SEQ_ORDER, "event_dttm", F.col("event_type") == CONSENT_GIVEN,
         "first_given_dttm")
-    minutes = F.timestamp_diff("MICROSECOND", F.col("event_dttm"), F.col("first_given_dttm")) / 6e7
+    minutes = micros_between("event_dttm", "first_given_dttm") / 6e7
     return (x.where(F.col("event_type") == CONSENT_ASKED)
             .select("event_id", "user_id", "company_id", "event_dttm", "first_given_dttm",
                     minutes.alias("minutes_to_first_given")))

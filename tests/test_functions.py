@@ -52,3 +52,16 @@ def test_strip_quotes(spark):
     df = spark.createDataFrame([('"ES"',), ('ES',), ('""FR""',)], "c string")
     assert [r[0] for r in df.select(strip_quotes("c")).collect()] == ["ES", "ES", "FR"]
     _ = F
+
+
+def test_gap_is_wall_clock_in_any_session_zone(spark):
+    """timestamp_ntz gaps do not depend on the session time zone (DST)."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 10))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = df.select(seconds_between("a", "b").alias("s")).first()
+        assert r.s == 2400
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
