@@ -51,6 +51,14 @@ def seconds_between(start, end) -> Column:
     return F.floor(_gap_seconds(start, end)).cast("long")
 
 
+def hour_start(c) -> Column:
+    """Start of the hour of a ``timestamp_ntz`` from its own fields (no
+    session time zone involved, unlike ``date_trunc``)."""
+    col = _c(c)
+    return F.make_timestamp_ntz(F.year(col), F.month(col), F.dayofmonth(col), F.hour(col),
+                                F.lit(0), F.lit(0))
+
+
 def strip_quotes(c) -> Column:
     """Remove the literal double quotes wrapped around country/region codes."""
     return F.btrim(_c(c), F.lit('"'))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from consentflow.functions import (
-    CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, micros_between, seconds_between)
+    CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, hour_start, micros_between, seconds_between)
 from consentflow.operators.sequence import first_following_where, with_neighbour
 from consentflow.operators.shares import share_by
 from consentflow.plans import staging
@@ -178,7 +178,7 @@ def hq_gap_count(dim_company: DataFrame) -> DataFrame:
 
 def hourly_given(fct_event: DataFrame) -> DataFrame:
     """consent.given rows per hour (AGG-11, SORT-02)."""
-    hour = F.date_trunc("hour", F.col("event_dttm")).cast("timestamp_ntz")
+    hour = hour_start("event_dttm")
     return (fct_event.where(F.col("event_type") == CONSENT_GIVEN)
             .groupBy(hour.alias("hour_ts")).agg(F.count(F.lit(1)).alias("consent_given_count"))
             .orderBy("hour_ts"))
@@ -186,7 +186,7 @@ def hourly_given(fct_event: DataFrame) -> DataFrame:
 
 def hourly_asked_given(fct_event: DataFrame) -> DataFrame:
     """Extrapolated asked/given per hour (AGG-12)."""
-    hour = F.date_trunc("hour", F.col("event_dttm")).cast("timestamp_ntz")
+    hour = hour_start("event_dttm")
     return (fct_event.where(F.col("event_type").isin(CONSENT_ASKED, CONSENT_GIVEN))
             .groupBy(hour.alias("hour_ts"), "event_type")
             .agg(F.sum("event_count").alias("cnt")).orderBy("hour_ts", "event_type"))

@@ -24,6 +24,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from consentflow.functions.metrics import hour_start
+
 # Adapter vocabularies (indexed by k modulo their length).
 CONSENT_BY_K = ["full opt-in", "opt-out", "partial opt-in", "empty"]
 DEVICE_BY_K = ["smartphone", "desktop", "tablet"]
@@ -102,7 +104,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         rate.cast("double").alias("RATE"),
         F.col("props").alias("PARAMETERS"),
         F.col("ts").alias("EVENT_TIME"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("WINDOW_START"),
+        hour_start("ts").alias("WINDOW_START"),
         (F.col("user_id") % N_COMPANIES_ACTIVE).cast("string").alias("APIKEY"),
         _pick(CONSENT_BY_K, kk).alias("CONSENT"),
         (F.lit(1) + kk % 7).cast("long").alias("COUNT"),
