@@ -16,18 +16,19 @@ SEQ_ORDER = ["event_dttm", "event_id"]
 
 # --------------------------------------------------------------------------- time to consent
 
-def time_to_consent_daily(fct_event: DataFrame, window=None) -> DataFrame:
-    """Average asked→given seconds per company and day (AGG-05, WIN-01..03)."""
-    ev = staging.consent_events(fct_event, window)
+def time_to_consent_daily(fct_event: DataFrame, window=None, events: DataFrame | None = None) -> DataFrame:
+    """Average asked→given seconds per company and day (AGG-05, WIN-01..03).
+    ``events`` may pass an already built ``staging.consent_events`` frame."""
+    ev = events if events is not None else staging.consent_events(fct_event, window)
     return ev.groupBy("company_id", "event_dt").agg(
         F.avg(F.when(F.col("event_type") == CONSENT_ASKED, F.col("lag_consent_asked_given_second")))
         .alias("lag_consent_asked_given_second_avg"),
         F.count(F.col("lag_consent_asked_given_second")).alias("matched_asked_count"))
 
 
-def time_to_consent_company(fct_event: DataFrame) -> DataFrame:
+def time_to_consent_company(fct_event: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Overall asked→given average per company (AGG-24)."""
-    ev = staging.consent_events(fct_event)
+    ev = events if events is not None else staging.consent_events(fct_event)
     return ev.groupBy("company_id").agg(
         F.avg(F.when(F.col("event_type") == CONSENT_ASKED, F.col("lag_consent_asked_given_second")))
         .alias("avg_time_to_consent_second"))
@@ -100,13 +101,14 @@ def geo_reach(fct_event: DataFrame) -> DataFrame:
         F.countDistinct("country_code").alias("distinct_countries"))
 
 
-def company_profile(fct_event: DataFrame, dim_company: DataFrame) -> DataFrame:
+def company_profile(fct_event: DataFrame, dim_company: DataFrame,
+                    events: DataFrame | None = None) -> DataFrame:
     """Volume, type breakdown, reach and time to consent per company, enriched
     with industry and HQ (AGG-23). All inputs are aggregated to one row per
     company before joining, so the joins are on small, unique keys."""
     tot = company_totals(fct_event)
     reach = geo_reach(fct_event)
-    ttc = time_to_consent_company(fct_event)
+    ttc = time_to_consent_company(fct_event, events)
     comp = dim_company.select("company_id", "industry_back", "industry_front", "hq_country")
     return (tot.join(reach, "company_id", "left").join(ttc, "company_id", "left")
             .join(comp, "company_id", "left"))

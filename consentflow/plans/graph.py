@@ -60,6 +60,12 @@ class ModelGraph:
     def fct_event(self) -> DataFrame:
         return mart.fct_event(self.stg_event)
 
+    @cached_property
+    def consent_events(self) -> DataFrame:
+        """Event rows with the next event of the same user and the asked→given
+        gap (skew-safe sequence); shared by the time-to-consent queries."""
+        return staging.consent_events(self.fct_event, self.window)
+
     @cached_property
     def stg_consent(self) -> DataFrame:
         return staging.stg_consent(self.fct_event, self.window, self.run_id)

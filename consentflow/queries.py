@@ -43,8 +43,20 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_GRAPHS: dict = {}
+
+
 def _g(spark, sf_dir, window=None) -> ModelGraph:
-    return ModelGraph(spark, sf_dir, window)
+    """One lazy model graph per (session, input directory): queries share the
+    already built raw → staging → mart plans instead of rebuilding them
+    (plan construction costs thousands of JVM calls per model chain)."""
+    key = (id(spark._jsparkSession), sf_dir, window)
+    g = _GRAPHS.get(key)
+    if g is None or g.spark is not spark:
+        if len(_GRAPHS) > 16:
+            _GRAPHS.clear()
+        g = _GRAPHS[key] = ModelGraph(spark, sf_dir, window)
+    return g
 
 
 def _q(build: Callable[[ModelGraph], DataFrame]):
@@ -112,15 +124,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_companies_anti": _q(lambda g: analysis.orphan_companies(g.fct_event, g.dim_company)),
     "idle_companies_anti": _q(lambda g: analysis.idle_companies(g.fct_event, g.dim_company)),
     # sequences / windows
-    "time_to_consent": _q(lambda g: analysis.time_to_consent_daily(g.fct_event)),
+    "time_to_consent": _q(lambda g: analysis.time_to_consent_daily(g.fct_event, events=g.consent_events)),
     "time_to_consent_lag": _q(lambda g: analysis.consent_response_times(g.fct_event)),
     "time_to_consent_session": _q(lambda g: analysis.time_to_consent_session(g.fct_event)),
     "first_consent_after": _q(lambda g: analysis.first_consent_after(g.fct_event)),
     "switching_users": _q(lambda g: analysis.switching_users(g.fct_event)),
-    "avg_time_to_consent_company": _q(lambda g: analysis.time_to_consent_company(g.fct_event)),
+    "avg_time_to_consent_company": _q(lambda g: analysis.time_to_consent_company(
+        g.fct_event, events=g.consent_events)),
     # aggregates
     "company_totals": _q(lambda g: analysis.company_totals(g.fct_event)),
-    "company_profile": _q(lambda g: analysis.company_profile(g.fct_event, g.dim_company)),
+    "company_profile": _q(lambda g: analysis.company_profile(g.fct_event, g.dim_company,
+                                                             events=g.consent_events)),
     "consent_status_share": _q(lambda g: analysis.consent_status_share(g.fct_event)),
     "device_share": _q(lambda g: analysis.device_share(g.fct_event)),
     "geo_reach": _q(lambda g: analysis.geo_reach(g.fct_event)),
