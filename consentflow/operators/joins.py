@@ -1,0 +1,18 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check counts at most ``max_rows + 1`` rows (a limited scan), so it
+    stays cheap however large ``df`` turns out to be. Above the bound the
+    frame is returned unhinted and the planner / AQE choose the join
+    (sort-merge with skew splitting, or broadcast when it is small after all).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from consentflow.functions import (
     CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, hour_start, micros_between, seconds_between)
 from consentflow.operators.sequence import first_following_where, with_neighbour
+from consentflow.operators.joins import bounded_broadcast
 from consentflow.operators.shares import share_by
 from consentflow.plans import staging
 
 SEQ_ORDER = ["event_dttm", "event_id"]
+# ISO 3166 has ~250 countries; the bound leaves room for custom codes.
+MAX_COUNTRY_ROWS = 10_000
 
 
 # --------------------------------------------------------------------------- time to consent
@@ -272,10 +275,10 @@ def events_with_industry(fct_event: DataFrame, dim_company: DataFrame) -> DataFr
 
 def events_by_country(fct_event: DataFrame, dim_country: DataFrame) -> DataFrame:
     """Event fact ⟕ country dimension through ``country_fk`` (JOIN-08),
-    rolled up per country. The country dimension is bounded by the number of
-    countries (a few hundred rows), so it is broadcast."""
-    dc = F.broadcast(dim_country.select("country_sk", F.col("country_code").alias("dim_country_code"),
-                                        "country_name", "region"))
+    rolled up per country. The country dimension holds one row per country (a
+    few hundred); the broadcast is taken only after checking that bound."""
+    dc = bounded_broadcast(dim_country.select("country_sk", "country_name", "region"),
+                           MAX_COUNTRY_ROWS)
     j = fct_event.join(dc, fct_event.country_fk == dc.country_sk, "left")
     return j.groupBy("country_code", "country_name", "region").agg(
         F.count(F.lit(1)).alias("event_rows"), F.sum("event_count").alias("event_count"))

@@ -77,3 +77,11 @@ def test_dynamic_partition_replace(spark, tmp_dir):
     got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("a", 1), ("b", 20)]
     _ = F
+
+
+def test_bounded_broadcast(spark):
+    from consentflow.operators.joins import bounded_broadcast
+    small = spark.range(10)
+    big = spark.range(100)
+    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().analyzed().toString().lower()
