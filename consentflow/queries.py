@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from consentflow.functions import surrogate_key
 from consentflow.operators import incremental
 from consentflow.operators.window_bounds import LoadWindow
 from consentflow.plans import analysis, checks, mart, staging
@@ -67,9 +68,10 @@ def _q(build: Callable[[ModelGraph], DataFrame]):
 
 
 def _dim_date_used(g: ModelGraph) -> DataFrame:
-    """Calendar members referenced by the event fact (semi join on date_fk)."""
-    return g.dim_date.join(g.fct_event.select(F.col("date_fk").alias("date_sk")).distinct(),
-                           "date_sk", "left_semi")
+    """Calendar members referenced by the event fact (semi join on the date
+    key). Event days are de-duplicated before they are hashed."""
+    days = g.fct_event.select(F.to_date("event_dttm").alias("d")).distinct()
+    return g.dim_date.join(days.select(surrogate_key("d").alias("date_sk")), "date_sk", "left_semi")
 
 
 def _delete_insert(g: ModelGraph) -> DataFrame:

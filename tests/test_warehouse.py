@@ -62,3 +62,18 @@ def test_raw_window_prunes_partitions(spark, tmp_dir):
     plan = raw._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(EVENT_DATE" in plan
     assert raw.select("EVENT_DATE").distinct().count() == 3
+
+
+def test_default_incremental_window_is_yesterday_to_today(spark, tmp_dir):
+    """A run without a window on an existing fact uses the default window;
+    the test data lies in the past, so the facts stay as they are."""
+    g = _files(spark, tmp_dir)
+    wh = Warehouse(spark, f"{tmp_dir}/wh")
+    wh.seed_countries(f"{tmp_dir}/seed/*.csv")
+    wh.load_companies(f"{tmp_dir}/company/*.csv")
+    wh.load_events(f"{tmp_dir}/in*/*/part-*", schema=RAW_EVENT_SCHEMA)
+    assert wh.build()["fct_event"] == "full"
+    before = wh.read("mart", "fct_event").count()
+    assert wh.build()["fct_event"] == "key-replaced"
+    assert wh.read("mart", "fct_event").count() == before == g.fct_event.count()
+    assert wh.build(full_refresh=True)["fct_event"] == "full"
