@@ -82,11 +82,10 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
     base = spread(ev.select(
         "event_id", "ts", "user_id", "event_type", "props",
         file_name(sf_dir, "events").alias("_file")))
-    base = base.withColumn("_k", k)
+    base = base.withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
     # nation ⨝ region is 25 rows by definition of the star schema: broadcast.
     nat = F.broadcast(nations(spark, sf_dir))
     j = base.join(nat, (base._k % N_NATIONS) == nat.n_nationkey, "left")
