@@ -193,6 +193,28 @@ class Warehouse:
             out[f"expected_{i}"] = checks.check_expected(rep, key, col, value).count()
         return out
 
+    def register(self, layers=("raw", "mart", "report"), prefix: str = "") -> list[str]:
+        """Expose the layers to SQL as databases (``mart.fct_event``,
+        ``report.consent_company_day``…) located in the warehouse root, so
+        schema-qualified SQL runs unchanged through ``spark.sql``. Partitioned
+        tables get their partitions registered; call again after a build to
+        pick up new days."""
+        spark = self.spark
+        names = []
+        for layer in layers:
+            db = f"{prefix}{layer}"
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root.rstrip('/')}/{layer}'")
+            for name in _list_dirs(spark, f"{self.root.rstrip('/')}/{layer}"):
+                if name.startswith("_"):
+                    continue
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} USING parquet "
+                          f"LOCATION '{self.path(layer, name)}'")
+                if any("=" in d for d in _list_dirs(spark, self.path(layer, name))):
+                    spark.sql(f"ALTER TABLE {db}.{name} RECOVER PARTITIONS")
+                spark.catalog.refreshTable(f"{db}.{name}")
+                names.append(f"{db}.{name}")
+        return names
+
     def catalog(self, layers=("mart", "report")) -> DataFrame:
         """Column catalogue of the built layers (SRC-27): table, column, position."""
         rows = []

@@ -52,6 +52,24 @@ def test_load_build_incremental_equals_full(spark, tmp_dir):
     cat = {(r.table_name, r.column_name) for r in wh.catalog().collect()}
     assert ("consent_company_day", "consent_conversion_rate") in cat and ("dim_date", "week_no") in cat
 
+    # schema-qualified SQL over the registered layers
+    tables = wh.register(prefix="t_")
+    assert "t_report.consent_company_day" in tables and "t_mart.fct_event" in tables
+    n_report = spark.sql("select count(*) from t_report.consent_company_day").first()[0]
+    assert n_report == want.count()
+    by_sql = spark.sql("""
+        select industry_front,
+               round(cast(sum(event_consent_given_count) as decimal(20,0))
+                     / cast(sum(event_consent_asked_count) as decimal(20,0)), 2) as conversion_rate
+        from t_report.consent_company_day group by industry_front""")
+    from consentflow.plans import analysis
+    by_api = analysis.industry_rate_of_sums(wh.read("report", "consent_company_day")) \
+        .select("industry_front", "conversion_rate")
+    assert by_sql.exceptAll(by_api).count() == 0 and by_api.exceptAll(by_sql).count() == 0
+    hourly = spark.sql("""select date_trunc('hour', event_dttm) as hour_ts, count(*) as n
+                          from t_mart.fct_event where event_type = 'consent.given' group by 1""")
+    assert hourly.agg(F.sum("n")).first()[0] == g.fct_event.where("event_type = 'consent.given'").count()
+
 
 def test_raw_window_prunes_partitions(spark, tmp_dir):
     _files(spark, tmp_dir)
