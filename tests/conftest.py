@@ -10,9 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from consentflow.session import get_session
-    s = get_session("local[4]", shuffle_partitions=8)
+    wh = str(tmp_path_factory.mktemp("spark-warehouse"))
+    s = get_session("local[4]", shuffle_partitions=8, extra={"spark.sql.warehouse.dir": wh})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
