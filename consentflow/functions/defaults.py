@@ -56,12 +56,17 @@ def default_int():
     return F.lit(DEFAULT_INT)
 
 
+def _ntz(value: _dt.datetime):
+    """A timestamp_ntz literal from its text (no session time zone involved)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def ts_min():
-    return F.lit(TS_MIN).cast("timestamp_ntz")
+    return _ntz(TS_MIN)
 
 
 def ts_max():
-    return F.lit(TS_MAX).cast("timestamp_ntz")
+    return _ntz(TS_MAX)
 
 
 def date_min():
