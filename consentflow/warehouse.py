@@ -56,7 +56,11 @@ class PartitionedTable:
         return _exists(self.spark, f"{self.path}/_SUCCESS") or _exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """Partitions written before a model gained a column lack it
+        (append_new_columns, INC-02): footers are merged so such columns read
+        as null in old partitions instead of depending on which file is seen
+        first."""
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
     def overwrite(self, df: DataFrame) -> None:
         """Full refresh (INC-05): static overwrite of the whole table."""

@@ -95,3 +95,14 @@ def test_default_incremental_window_is_yesterday_to_today(spark, tmp_dir):
     assert wh.build()["fct_event"] == "key-replaced"
     assert wh.read("mart", "fct_event").count() == before == g.fct_event.count()
     assert wh.build(full_refresh=True)["fct_event"] == "full"
+
+
+def test_partitioned_table_schema_drift(spark, tmp_dir):
+    from consentflow.warehouse import PartitionedTable
+    t = PartitionedTable(spark, f"{tmp_dir}/t", "event_dt")
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
+    t.overwrite(spark.createDataFrame([("a", d1, 1), ("b", d2, 2)], "k string, event_dt date, v int"))
+    t.key_replace(spark.createDataFrame([("b", d2, 20, "new")], "k string, event_dt date, v int, extra string"),
+                  ["k"])
+    rows = {r.k: r for r in t.read().collect()}
+    assert rows["a"].extra is None and rows["b"].extra == "new" and rows["b"].v == 20
