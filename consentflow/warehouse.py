@@ -117,7 +117,8 @@ class Warehouse:
     # ----------------------------------------------------------------- build
 
     def build(self, window: LoadWindow | None = None, full_refresh: bool = False,
-              run_id: str | None = None, threads: int = 4) -> dict[str, str]:
+              run_id: str | None = None, threads: int = 4,
+              keep_unmatched: bool = False) -> dict[str, str]:
         """Build every model.
 
         First run (no fact yet) or ``full_refresh``: everything is loaded
@@ -173,7 +174,8 @@ class Warehouse:
 
         # report: the window of the consent fact with current dimension members
         rep = report.consent_company_day(fct_consent_t.read(), self.read("mart", "dim_company"),
-                                         self.read("mart", "dim_date"), w, run_id)
+                                         self.read("mart", "dim_date"), w, run_id,
+                                         keep_unmatched=keep_unmatched)
         if incremental_run:
             report_t.key_replace(rep, ["consent_uq"])
         else:
