@@ -28,9 +28,17 @@ def test_every_query_has_an_oracle():
     assert not missing, missing
 
 
+def _arrow_types(rel):
+    table = rel.to_arrow_table() if hasattr(rel, "to_arrow_table") else rel.arrow()
+    return {f.name: str(f.type) for f in table.schema}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    # same column types on both sides (row hashes are type-sensitive)
+    s_types = {f.name: str(f.type) for f in df.toArrow().schema}
+    assert s_types == _arrow_types(con.sql(E.oracle_sql()[name]))
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
     o_cols, o_rows = [d[0] for d in cur.description], cur.fetchall()
