@@ -153,6 +153,31 @@ def key_counts(df: DataFrame, keys: list[str], min_count: int = 1) -> DataFrame:
     return c.orderBy(F.desc("cnt"), *keys)
 
 
+def null_key_probes(raw: DataFrame, companies: DataFrame) -> DataFrame:
+    """Null / empty key probes of the raw tables in one row (PRJ-19): missing
+    or empty event ids, missing event times, missing company keys. One
+    aggregate over a tagged union of the two (column-pruned) inputs."""
+    def blank(c):
+        return F.col(c).isNull() | (F.col(c) == "")
+    no = F.lit(None).cast("boolean")
+    ev = raw.select(F.lit("e").alias("t"), blank("EVENT_ID").alias("a"),
+                    F.col("EVENT_TIME").isNull().alias("b"), blank("APIKEY").alias("c"),
+                    no.alias("d"), no.alias("h"))
+    co = companies.select(F.lit("c").alias("t"), no.alias("a"), no.alias("b"), no.alias("c"),
+                          F.col("PUBLIC_API_KEY").isNull().alias("d"),
+                          F.col("HQ_COUNTRY").isNull().alias("h"))
+    u = ev.unionByName(co)
+    is_e, is_c = F.col("t") == "e", F.col("t") == "c"
+    return u.agg(
+        F.count(F.when(is_e & F.col("a"), 1)).alias("missing_event_id"),
+        F.count(F.when(is_e & F.col("b"), 1)).alias("missing_event_time"),
+        F.count(F.when(is_e & F.col("c"), 1)).alias("missing_event_company"),
+        F.count(F.when(is_e, 1)).alias("event_rows"),
+        F.count(F.when(is_c & F.col("d"), 1)).alias("missing_company_key"),
+        F.count(F.when(is_c & F.col("h"), 1)).alias("missing_hq_country"),
+        F.count(F.when(is_c, 1)).alias("company_rows"))
+
+
 def type_rate_consent_profile(raw: DataFrame) -> DataFrame:
     """Raw rows by type × rate × consent (AGG-08)."""
     return raw.groupBy(F.col("TYPE").alias("type"), F.col("RATE").alias("rate"),

@@ -149,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_event_ids": _q(lambda g: analysis.key_counts(g.raw_events, ["EVENT_ID"], 2)),
     "events_per_company": _q(lambda g: analysis.events_per_company(g.fct_event)),
     "type_rate_consent_profile": _q(lambda g: analysis.type_rate_consent_profile(g.raw_events)),
+    "null_key_probes": _q(lambda g: analysis.null_key_probes(g.raw_events, g.raw_companies)),
     "user_type_counts": _q(lambda g: analysis.user_type_counts(g.fct_event)),
     "anomalous_consent": _q(lambda g: analysis.anomalous_consent(g.fct_event)),
     "hq_gap_count": _q(lambda g: analysis.hq_gap_count(g.dim_company)),
