@@ -14,6 +14,7 @@ import secrets
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from consentflow.sources import files as fsrc
@@ -42,7 +43,8 @@ def infer_schema(spark: SparkSession, path: str) -> T.StructType:
 def _write(df: DataFrame, table_path: str, mode: str, partition: tuple | None = None) -> None:
     """Append, or replace the whole table (static overwrite even when the
     session default is dynamic). ``partition = (name, Column)`` adds a
-    derived partition column; the rebalance hint lets AQE size the write
+    derived partition column, with the batch id as a second level (so a load
+    can be removed as folders); the rebalance hint lets AQE size the write
     tasks so one hot partition value is split over several tasks."""
     w = df
     if partition is not None:
@@ -50,16 +52,45 @@ def _write(df: DataFrame, table_path: str, mode: str, partition: tuple | None =
         w = df.withColumn(name, col).hint("rebalance", name)
     writer = w.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition is not None:
-        writer = writer.partitionBy(partition[0])
+        writer = writer.partitionBy(partition[0], "load_no")
     writer.parquet(table_path)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+
+def drop_unrecorded_loads(spark: SparkSession, table_path: str, ledger_path: str,
+                          table_name: str) -> list[str]:
+    """Remove batches whose data was committed but whose ledger rows were not
+    (the driver died in between): their ``load_no=<id>`` folders are deleted,
+    and the files count as new again. Makes a rerun idempotent. Only folder
+    names and the small ledger are read."""
+    fs, jvm = _fs(spark, table_path)
+    dirs = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/*/load_no=*"))
+    if not dirs:
+        return []
+    present = {d.getPath().getName().split("=", 1)[1] for d in dirs}
+    recorded = {r.load_no for r in led.read_ledger(spark, ledger_path)
+                .where((F.col("table_name") == table_name) & (F.col("status") == "loaded"))
+                .select("load_no").distinct().collect()}
+    orphans = sorted(present - recorded)
+    for d in dirs:
+        if d.getPath().getName().split("=", 1)[1] in orphans:
+            fs.delete(d.getPath(), True)
+    return orphans
+
+
 def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str, ledger_path: str,
            disposition: str = "append", force: bool = False, schema: T.StructType | str | None = None,
            recursive: bool = False, fail_on_error: bool = True,
            partition: tuple | None = None) -> IngestResult:
     if disposition not in ("append", "truncate_append"):
         raise ValueError("disposition must be 'append' or 'truncate_append'")
+    if partition is not None:
+        drop_unrecorded_loads(spark, table_path, ledger_path, table_name)
     candidates = led.list_files(spark, pattern, recursive)
     new = led.new_files(candidates, led.read_ledger(spark, ledger_path), table_name, force)
     # the file list (metadata, one row per file) is needed on the driver to

@@ -166,3 +166,25 @@ def test_default_window_is_yesterday_to_today(spark):
     r = spark.range(1).select(w.start_col().alias("s"), w.end_col().alias("e"),
                               F.current_date().alias("t")).first()
     assert r.e == r.t and (r.t - r.s).days == 1
+
+
+def test_interrupted_load_is_not_duplicated(spark, tmp_dir, monkeypatch):
+    """Data committed but the ledger append lost (driver died in between):
+    the next run removes that batch's folders and loads the files once."""
+    write(f"{tmp_dir}/in/a.csv", HEADER + ROW1 + ROW2)
+    table, ledger = f"{tmp_dir}/raw", f"{tmp_dir}/ledger"
+    part = ("EVENT_DATE", F.to_date("EVENT_TIME"))
+
+    def boom(*a, **k):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(led, "append_ledger", boom)
+    with pytest.raises(RuntimeError):
+        ing.ingest(spark, f"{tmp_dir}/in/*.csv", table, "events", ledger,
+                   schema=RAW_EVENT_SCHEMA, partition=part)
+    assert spark.read.parquet(table).count() == 2  # committed, but unrecorded
+    monkeypatch.undo()
+    r = ing.ingest(spark, f"{tmp_dir}/in/*.csv", table, "events", ledger,
+                   schema=RAW_EVENT_SCHEMA, partition=part)
+    assert len(r.loaded) == 1
+    t = spark.read.parquet(table)
+    assert t.count() == 2 and t.select("load_no").distinct().first()[0] == r.load_no
