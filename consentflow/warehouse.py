@@ -67,14 +67,23 @@ class PartitionedTable:
         (df.hint("rebalance", self.partition_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy(self.partition_col).parquet(self.path))
 
-    def key_replace(self, batch: DataFrame, keys: list[str]) -> None:
+    def key_replace(self, batch: DataFrame, keys: list[str], days: list | None = None) -> None:
+        """Replace the rows of ``batch``'s keys, touching only its partitions.
+
+        The partitions are selected statically (``col IN (days)``), so the
+        scan lists and reads only those folders; dynamic partition pruning
+        is not reliable for a semi join against a derived batch. ``days`` is
+        passed by callers that know the load window; otherwise the batch is
+        staged once and its distinct partition values (one per day) are read."""
         if not self.exists():
             self.overwrite(batch)  # first run: the batch is the table (INC-04)
             return
-        days = batch.select(self.partition_col).distinct()
-        # semi join on the partition column: only the batch's partitions are
-        # scanned (dynamic partition pruning)
-        current = self.read().join(days, self.partition_col, "left_semi")
+        if days is None:
+            batch = incremental.stage(batch, f"batch-{uuid.uuid4().hex[:8]}")
+            days = [r[0] for r in batch.select(self.partition_col).distinct().collect()]
+        if not days:
+            return
+        current = self.read().where(F.col(self.partition_col).isin(list(days)))
         merged = incremental.delete_insert(current, batch, keys)
         staged = incremental.stage(merged, f"merge-{uuid.uuid4().hex[:8]}")
         incremental.partition_replace(staged, self.path, self.partition_col)
@@ -155,8 +164,9 @@ class Warehouse:
             raw_events = raw_events.where(w.on_date(RAW_EVENT_DATE))  # partition pruning
         batch = mart.fct_event(staging.stg_event(raw_events, w, run_id)) \
             .withColumn("event_dt", F.to_date("event_dttm"))
+        days = w.days(spark) if w is not None else None
         if incremental_run:
-            fct_event_t.key_replace(batch, ["event_uq"])
+            fct_event_t.key_replace(batch, ["event_uq"], days)
         else:
             fct_event_t.overwrite(batch)
         done["fct_event"] = "key-replaced" if incremental_run else "full"
@@ -167,7 +177,7 @@ class Warehouse:
             fct_event = fct_event.where(w.on_date("event_dt"))
         consent_batch = mart.fct_consent(staging.stg_consent(fct_event, w, run_id))
         if incremental_run:
-            fct_consent_t.key_replace(consent_batch, ["consent_uq"])
+            fct_consent_t.key_replace(consent_batch, ["consent_uq"], days)
         else:
             fct_consent_t.overwrite(consent_batch)
         done["fct_consent"] = done["fct_event"]
@@ -177,7 +187,7 @@ class Warehouse:
                                          self.read("mart", "dim_date"), w, run_id,
                                          keep_unmatched=keep_unmatched)
         if incremental_run:
-            report_t.key_replace(rep, ["consent_uq"])
+            report_t.key_replace(rep, ["consent_uq"], days)
         else:
             report_t.overwrite(rep)
         done["consent_company_day"] = done["fct_event"]

@@ -106,3 +106,18 @@ def test_partitioned_table_schema_drift(spark, tmp_dir):
                   ["k"])
     rows = {r.k: r for r in t.read().collect()}
     assert rows["a"].extra is None and rows["b"].extra == "new" and rows["b"].v == 20
+
+
+def test_key_replace_reads_only_batch_partitions(spark, tmp_dir):
+    from consentflow.warehouse import PartitionedTable
+    t = PartitionedTable(spark, f"{tmp_dir}/t", "event_dt")
+    days = [dt.date(2025, 1, d) for d in range(1, 11)]
+    t.overwrite(spark.createDataFrame([(f"k{i}", days[i % 10], i) for i in range(100)],
+                                      "k string, event_dt date, v int"))
+    batch = spark.createDataFrame([("k3", days[3], 300), ("new", days[4], 1)], "k string, event_dt date, v int")
+    current = t.read().where(F.col("event_dt").isin(days[3], days[4]))
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [event_dt" in plan and "IN (2025-01-04,2025-01-05)" in plan
+    t.key_replace(batch, ["k"])
+    rows = {r.k: r.v for r in t.read().collect()}
+    assert len(rows) == 101 and rows["k3"] == 300 and rows["new"] == 1 and rows["k13"] == 13
