@@ -30,10 +30,11 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
 
 def delete_insert_partitions(target: DataFrame, batch: DataFrame, keys: list[str],
                              partition_col: str) -> DataFrame:
-    """Same result, but only the partitions present in the batch are touched:
-    when the key contains the partition value (event and consent keys hash the
-    day), rows never move across partitions. Combined with dynamic partition
-    overwrite this rewrites only the batch's days (INC-08)."""
+    """Same result, restricted to the partitions present in the batch: when
+    the key contains the partition value (event and consent keys hash the
+    day), rows never move across partitions (INC-08). On a partitioned file
+    table use ``warehouse.PartitionedTable.key_replace``, which prunes the
+    scan with a static partition filter."""
     days = batch.select(partition_col).distinct()
     touched = target.join(days, partition_col, "left_semi")
     return delete_insert(touched, batch, keys)

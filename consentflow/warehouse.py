@@ -15,8 +15,9 @@ Incremental runs (INC-01..06): the staging models are functions of the load
 window (not persisted, trap D16); each fact receives only the batch. Every
 key in the facts embeds the day (``event_uq = md5(event_id-day)``,
 ``consent_uq = md5(company-day)``), so a batch can only replace rows of the
-days it contains: only those partitions are read, merged and rewritten
-(dynamic partition overwrite, INC-08). Merged partitions are first staged in
+days it contains: only those partitions are read (static partition filter
+on the window's days), merged and rewritten (dynamic partition overwrite,
+INC-08). Merged partitions are first staged in
 the shared checkpoint folder, so the overwrite never reads the folder it
 writes and a lost executor recomputes from the staged copy.
 """
