@@ -10,6 +10,7 @@ job committed, so a failed or retried job never leaves a half table.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,6 +117,22 @@ def partition_replace(df: DataFrame, path: str, partition_col: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
+@contextmanager
+def staged(df: DataFrame, name: str):
+    """``stage`` for the duration of a block; the staged copy is deleted
+    afterwards. Safe for key replacement: the merge is idempotent, so a rerun
+    after a failure recomputes it from the table and the batch."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stage/{name}-{uuid.uuid4().hex[:8]}")
+    df.write.mode("errorifexists").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and read it back:
     cuts lineage so a later overwrite of the source is safe and a lost

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,15 +80,16 @@ class PartitionedTable:
         if not self.exists():
             self.overwrite(batch)  # first run: the batch is the table (INC-04)
             return
-        if days is None:
-            batch = incremental.stage(batch, f"batch-{uuid.uuid4().hex[:8]}")
-            days = [r[0] for r in batch.select(self.partition_col).distinct().collect()]
-        if not days:
-            return
-        current = self.read().where(F.col(self.partition_col).isin(list(days)))
-        merged = incremental.delete_insert(current, batch, keys)
-        staged = incremental.stage(merged, f"merge-{uuid.uuid4().hex[:8]}")
-        incremental.partition_replace(staged, self.path, self.partition_col)
+        with ExitStack() as stack:
+            if days is None:
+                batch = stack.enter_context(incremental.staged(batch, "batch"))
+                days = [r[0] for r in batch.select(self.partition_col).distinct().collect()]
+            if not days:
+                return
+            current = self.read().where(F.col(self.partition_col).isin(list(days)))
+            merged = incremental.delete_insert(current, batch, keys)
+            with incremental.staged(merged, "merge") as m:
+                incremental.partition_replace(m, self.path, self.partition_col)
 
 
 @dataclass
