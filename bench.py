@@ -71,6 +71,10 @@ def main() -> None:
     load_s = time.perf_counter() - t0
     n = spark.read.parquet(dst).agg(F.count(F.lit(1))).first()[0]
     times["load_parquet_10m"] = round(load_s, 3)
+    if not os.environ.get("BENCH_SCRATCH"):  # remove this run's own scratch output
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     total = round(sum(times.values()), 3)
     print(json.dumps({
