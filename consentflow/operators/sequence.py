@@ -73,7 +73,7 @@ def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | N
 
     # 1. entity sizes → N and the largest entity (one row to the driver)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__nb_cnt"))
-    total, biggest = sizes.agg(F.sum("__nb_cnt"), F.max("__nb_cnt")).first()
+    total, biggest = _size_stats(sizes)
     threshold = max(math.ceil((total or 0) / n), min_split_rows)
     if not biggest or biggest <= threshold:
         return None
@@ -101,6 +101,28 @@ def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | N
                          F.col("__nb_bounds").isNotNull().alias("__nb_hot"))
 
 
+_SIZE_MEMO: dict = {}
+
+
+def _size_stats(sizes: DataFrame) -> tuple:
+    """(total rows, largest entity) of an entity-size frame, memoised on the
+    optimised plan's semantic hash: several sequence queries over the same
+    input size it once. Only the split/no-split choice depends on it, and both
+    paths are exact."""
+    try:
+        key = int(sizes._jdf.queryExecution().optimizedPlan().semanticHash())
+    except Exception:  # noqa: BLE001 - memo is an optimisation only
+        key = None
+    if key is not None and key in _SIZE_MEMO:
+        return _SIZE_MEMO[key]
+    stats = tuple(sizes.agg(F.sum("__nb_cnt"), F.max("__nb_cnt")).first())
+    if key is not None:
+        if len(_SIZE_MEMO) > 256:
+            _SIZE_MEMO.clear()
+        _SIZE_MEMO[key] = stats
+    return stats
+
+
 def _hot_key_names(by: list[str]) -> list[str]:
     return [f"__nb_h{i}" for i in range(len(by))]
 
