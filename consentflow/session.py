@@ -55,13 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext  # unavailable on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="consentflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

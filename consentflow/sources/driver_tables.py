@@ -61,10 +61,12 @@ def spread(df: DataFrame) -> DataFrame:
     many partitions (a small shuffle of the pruned scan columns). A large
     input already has more splits than cores and is left alone: no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def _pick(values, idx):
