@@ -41,8 +41,13 @@ def get_session(master: str | None = None, app: str = "consentflow",
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    for k, v in BASE_CONF.items():
-        spark.conf.set(k, v)
+    # an existing session keeps its startup conf: apply the runtime settings,
+    # caller-supplied values last so they win over the defaults
+    for k, v in {**BASE_CONF, **(extra or {})}.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings cannot change at runtime
+            pass
     checkpoint_dir(spark)
     return spark
 
