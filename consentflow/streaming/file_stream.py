@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consentflow.operators.incremental import VersionedTable
 from consentflow.plans import mart, staging
 
 
@@ -40,12 +39,16 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, ta
 
 
 def stream_upsert_events(spark: SparkSession, source_dir: str, schema: T.StructType,
-                         table_root: str, checkpoint: str, fmt: str = "parquet",
+                         table_path: str, checkpoint: str, fmt: str = "parquet",
                          max_files_per_trigger: int | None = None) -> int:
     """Each micro-batch of raw events is staged and key-replaced into the
-    event fact (``foreachBatch`` + delete+insert). A replayed batch (after a
-    failure) replaces the same keys again, so the result is idempotent."""
-    table = VersionedTable(spark, table_root)
+    event fact (``foreachBatch`` + delete+insert), partitioned by event day:
+    only the days present in the micro-batch are read and rewritten. A
+    replayed batch (after a failure) replaces the same keys again, so the
+    result is idempotent."""
+    from consentflow.warehouse import PartitionedTable  # avoid an import cycle
+
+    table = PartitionedTable(spark, table_path, "event_dt")
     src = read_event_files(spark, source_dir, schema, fmt, max_files_per_trigger).select(
         "*", F.col("_metadata.file_name").alias("filename"))
 
@@ -53,7 +56,8 @@ def stream_upsert_events(spark: SparkSession, source_dir: str, schema: T.StructT
         raw = batch.select(*[c for c in batch.columns if c != "filename"],
                            F.current_timestamp().alias("load_time"),
                            F.lit(f"epoch-{epoch_id}").alias("load_no"), "filename")
-        table.key_replace(mart.fct_event(staging.stg_event(raw)), ["event_uq"])
+        fct = mart.fct_event(staging.stg_event(raw)).withColumn("event_dt", F.to_date("event_dttm"))
+        table.key_replace(fct, ["event_uq"])
 
     q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
          .trigger(availableNow=True).start())
