@@ -60,6 +60,10 @@ class VersionedTable:
     the committed one. ``write`` stages a new version and switches the pointer
     only after Spark committed every file. Readers of the old version are
     unaffected; the lineage of the new version is cut by the write.
+
+    Every write is a full copy, so this suits small tables (dimensions, lookup
+    tables) that need an atomic switch. Large facts keyed by day use
+    ``warehouse.PartitionedTable``, which rewrites only the touched days.
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
