@@ -168,3 +168,17 @@ def test_rate_of_sums_differs_from_average_of_rates(spark):
     ros = analysis.industry_rate_of_sums(rep).first()
     avg = analysis.industry_avg_rate(rep).first()
     assert float(ros.conversion_rate) == 0.17 and float(avg.avg_conversion_rate) == 0.5
+
+
+def test_sequence_runs_inside_the_load_window(spark):
+    """Trap D6: the successor is looked up among the window's events only, so
+    an asked event on the window's last day followed by a given just after
+    midnight has no matched gap; a window covering both days matches it."""
+    ev = fct_rows(spark, [
+        ("e1", "consent.asked", 1.0, dt.datetime(2025, 5, 1, 23, 59), "u1", "c1", None),
+        ("e2", "consent.given", 1.0, dt.datetime(2025, 5, 2, 0, 1), "u1", "c1", "full opt-in"),
+    ])
+    one_day = staging.consent_events(ev, LoadWindow(dt.date(2025, 5, 1), dt.date(2025, 5, 1))).collect()
+    assert [r.lag_consent_asked_given_second for r in one_day] == [None]
+    both = staging.consent_events(ev, LoadWindow(dt.date(2025, 5, 1), dt.date(2025, 5, 2)))
+    assert both.where("event_id = 'e1'").first().lag_consent_asked_given_second == 120
