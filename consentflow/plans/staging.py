@@ -134,7 +134,12 @@ def consent_totals(fct_event: DataFrame, window=None, with_lag: bool = False) ->
 def stg_consent(fct_event: DataFrame, window=None, run_id: str | None = None,
                 with_lag: bool = False) -> DataFrame:
     """Company-by-day consent metrics, keyed (one row per company and day)."""
-    m = consent_totals(fct_event, window, with_lag)
+    return key_consent(consent_totals(fct_event, window, with_lag), run_id, with_lag)
+
+
+def key_consent(m: DataFrame, run_id: str | None = None, with_lag: bool = False) -> DataFrame:
+    """Keys and metadata on company × day totals that carry
+    ``consent_conversion_rate`` (shared by the batch and streaming paths)."""
     lag = ["lag_consent_asked_given_second_avg"] if with_lag else []
     return m.select(
         surrogate_key("company_id", "event_dt").alias("consent_uq"),

@@ -63,3 +63,42 @@ def stream_upsert_events(spark: SparkSession, source_dir: str, schema: T.StructT
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(q.recentProgress)
+
+
+def stream_consent_daily(spark: SparkSession, source_dir: str, schema: T.StructType,
+                         table_path: str, checkpoint: str, lateness: str = "2 days",
+                         fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
+    """Company × day consent fact maintained by a watermarked streaming
+    aggregation: raw files → staged events → per (company, event day) sums in
+    Spark's state store (partial aggregation before the shuffle) → each
+    micro-batch's updated company-days key-replaced into the fact (update
+    mode + ``foreachBatch``). Events later than ``lateness`` behind the
+    watermark are left to a batch backfill (``Warehouse.build(window)``).
+
+    Event times are UTC wall-clock ``timestamp_ntz``; the watermark needs an
+    instant, derived without the session time zone."""
+    from consentflow.functions import conversion_rate, micros_between
+    from consentflow.warehouse import PartitionedTable  # avoid an import cycle
+
+    table = PartitionedTable(spark, table_path, "event_dt")
+    raw = read_event_files(spark, source_dir, schema, fmt, max_files_per_trigger).select(
+        "*", F.current_timestamp().alias("load_time"), F.lit("stream").alias("load_no"),
+        F.col("_metadata.file_name").alias("filename"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ev = (mart.fct_event(staging.stg_event(raw))
+          .withColumn("event_ts", F.timestamp_micros(micros_between(epoch, "event_dttm")))
+          .withWatermark("event_ts", lateness))
+    totals = ev.groupBy("company_id", F.window("event_ts", "1 day").alias("day")) \
+        .agg(*staging.consent_measures())
+
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("day.start")) / 86400).cast("int"))
+        m = batch.withColumn("event_dt", day).drop("day").withColumn(
+            "consent_conversion_rate",
+            conversion_rate("event_consent_given_count", "event_consent_asked_count"))
+        table.key_replace(mart.fct_consent(staging.key_consent(m)), ["consent_uq"])
+
+    q = (totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(upsert).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return len(q.recentProgress)
