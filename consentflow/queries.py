@@ -105,6 +105,11 @@ def _stream(g: ModelGraph) -> DataFrame:
     return roundtrip.stream_roundtrip(g.spark, g.raw_events).drop("filename")
 
 
+def _stream_consent(g: ModelGraph) -> DataFrame:
+    """Parquet files → watermarked streaming rollup → company × day fact."""
+    return mart.fct_consent(roundtrip.stream_consent_roundtrip(g.spark, g.raw_events))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # models
     "stg_event": _q(lambda g: g.stg_event),
@@ -169,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ingestion
     "ingest_roundtrip": _q(_ingest),
     "stream_ingest": _q(_stream),
+    "stream_consent_daily": _q(_stream_consent),
     # checks
     "check_unique": _q(lambda g: checks.check_unique(g.consent_company_day, "consent_uq")),
     "check_not_null": _q(lambda g: checks.check_not_null(g.consent_company_day, "consent_uq")),

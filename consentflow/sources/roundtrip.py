@@ -53,3 +53,12 @@ def stream_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
     target, ckpt = f"{base}/raw_events", f"{base}/_checkpoint"
     file_stream.stream_ingest(spark, f"{base}/in", RAW_EVENT_SCHEMA, target, ckpt)
     return spark.read.parquet(target)
+
+
+def stream_consent_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Raw event files → watermarked streaming company × day rollup → fact."""
+    base = scratch_path(spark, f"roundtrip/stream-consent-{uuid.uuid4().hex[:10]}")
+    raw.select(*RAW_NAMES).write.mode("errorifexists").parquet(f"{base}/in")
+    target, ckpt = f"{base}/fct_consent", f"{base}/_checkpoint"
+    file_stream.stream_consent_daily(spark, f"{base}/in", RAW_EVENT_SCHEMA, target, ckpt)
+    return spark.read.parquet(target)
