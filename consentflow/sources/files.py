@@ -13,13 +13,21 @@ def read_events_csv(spark: SparkSession, paths, schema: T.StructType | None = No
     """Event CSVs: header, quoted multi-line JSON with doubled quotes.
 
     ``escape='"'`` is required: with the default backslash escape a field such
-    as ``"{""a"": 1}"`` is split. FAILFAST so a malformed file fails as a whole
-    (the loader records it as failed) instead of yielding null rows.
-    ``inferSchema`` only when no schema is given (reads the data twice)."""
+    as ``"{""a"": 1}"`` is split. With a ``schema`` the columns are matched by
+    their header *names* (a user schema on the CSV reader would be applied by
+    position): fields are read as text and cast to the schema's types, absent
+    ones are null (trap D13). Under ANSI a value that does not cast fails the
+    job, so the loader records the file as failed. ``inferSchema`` only when no
+    schema is given (reads the data twice)."""
     r = (spark.read.option("header", True).option("multiLine", True)
          .option("escape", '"').option("quote", '"').option("mode", "FAILFAST"))
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(paths)
+    if schema is None:
+        return r.option("inferSchema", True).csv(paths)
+    text = r.csv(paths)  # every column as text, named by the header
+    present = set(text.columns)
+    return text.select(*[
+        (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
+        .alias(f.name) for f in schema.fields])
 
 
 def read_events_parquet(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:

@@ -211,3 +211,15 @@ def test_stream_consent_daily_matches_batch(spark, tmp_dir):
             "event_pageview_count", "consent_conversion_rate"]
     assert got.count() == want.count() == 2
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_dir):
+    """A file with its columns in another order (and one column missing) maps
+    by header name, not by position."""
+    p = f"{tmp_dir}/reordered.csv"
+    write(p, "TYPE,EVENT_ID,RATE,COUNT,EVENT_TIME,APIKEY\n"
+             "pageview,e7,0.1,10,2025-09-05 01:15:00.000,c1\n")
+    r = files.read_events_csv(spark, p, RAW_EVENT_SCHEMA).first()
+    assert (r.EVENT_ID, r.TYPE, r.RATE, r.COUNT, r.APIKEY) == ("e7", "pageview", 0.1, 10, "c1")
+    assert r.USER_ID is None and r.COUNTRY is None
+    assert r.EVENT_TIME == dt.datetime(2025, 9, 5, 1, 15)
