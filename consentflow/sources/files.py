@@ -23,11 +23,24 @@ def read_events_csv(spark: SparkSession, paths, schema: T.StructType | None = No
          .option("escape", '"').option("quote", '"').option("mode", "FAILFAST"))
     if schema is None:
         return r.option("inferSchema", True).csv(paths)
-    text = r.csv(paths)  # every column as text, named by the header
+    return by_name(r.csv(paths), schema)  # every column read as text, named by the header
+
+
+def by_name(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast text columns to ``schema`` by column name. An empty text in a
+    non-string column is null (as a typed CSV read would give); absent
+    columns are null."""
     present = set(text.columns)
-    return text.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
-        .alias(f.name) for f in schema.fields])
+    cols = []
+    for f in schema.fields:
+        if f.name not in present:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f.name)
+        if not isinstance(f.dataType, T.StringType):
+            c = F.when(c != "", c)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return text.select(*cols)
 
 
 def read_events_parquet(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
@@ -68,7 +81,9 @@ def with_lineage(df: DataFrame, load_no: str) -> DataFrame:
 
 
 def read_company_csv(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.option("header", True).schema(RAW_COMPANY_SCHEMA).csv(paths)
+    """Company reference CSV, columns matched by header name."""
+    return by_name(spark.read.option("header", True).option("escape", '"').csv(paths),
+                   RAW_COMPANY_SCHEMA)
 
 
 def read_country_seed(spark: SparkSession, path: str) -> DataFrame:

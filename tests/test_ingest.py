@@ -223,3 +223,18 @@ def test_csv_columns_are_matched_by_name(spark, tmp_dir):
     assert (r.EVENT_ID, r.TYPE, r.RATE, r.COUNT, r.APIKEY) == ("e7", "pageview", 0.1, 10, "c1")
     assert r.USER_ID is None and r.COUNTRY is None
     assert r.EVENT_TIME == dt.datetime(2025, 9, 5, 1, 15)
+
+
+def test_csv_quoted_empty_number_is_null(spark, tmp_dir):
+    p = f"{tmp_dir}/empty.csv"
+    write(p, 'EVENT_ID,RATE,COUNT,EXPERIMENT\ne1,"",5,""\n')
+    r = files.read_events_csv(spark, p, RAW_EVENT_SCHEMA).first()
+    assert r.EVENT_ID == "e1" and r.RATE is None and r.COUNT == 5 and r.EXPERIMENT is None
+
+
+def test_company_csv_by_name(spark, tmp_dir):
+    p = f"{tmp_dir}/company.csv"
+    write(p, "HQ_COUNTRY,PUBLIC_API_KEY,INDUSTRY_FRONT,INDUSTRY_BACK\n,k1,Sport,Gaming / Sport\n")
+    r = files.read_company_csv(spark, p).first()
+    assert (r.PUBLIC_API_KEY, r.INDUSTRY_BACK, r.INDUSTRY_FRONT, r.HQ_COUNTRY) == \
+        ("k1", "Gaming / Sport", "Sport", None)
