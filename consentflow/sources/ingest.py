@@ -64,22 +64,31 @@ def _fs(spark: SparkSession, path: str):
 
 def drop_unrecorded_loads(spark: SparkSession, table_path: str, ledger_path: str,
                           table_name: str) -> list[str]:
-    """Remove batches whose data was committed but whose ledger rows were not
-    (the driver died in between): their ``load_no=<id>`` folders are deleted,
-    and the files count as new again. Makes a rerun idempotent. Only folder
-    names and the small ledger are read."""
-    fs, jvm = _fs(spark, table_path)
-    dirs = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/*/load_no=*"))
-    if not dirs:
+    """Remove batches that started but never recorded an outcome (the driver
+    died between the data commit and the final ledger rows): every run first
+    records ``loading`` for its batch id, then ``loaded``/``failed``. Batch ids
+    with ``loading`` only have their ``load_no=<id>`` folders deleted and are
+    marked ``aborted``; their files count as new again. A normal run reads
+    only the (small) ledger and lists no folders."""
+    ledger = led.read_ledger(spark, ledger_path).where(F.col("table_name") == table_name)
+    started = ledger.where(F.col("status") == "loading").select("load_no").distinct()
+    ended = ledger.where(F.col("status") != "loading").select("load_no").distinct()
+    orphans = sorted(r.load_no for r in started.join(ended, "load_no", "left_anti").collect())
+    if not orphans:
         return []
-    present = {d.getPath().getName().split("=", 1)[1] for d in dirs}
-    recorded = {r.load_no for r in led.read_ledger(spark, ledger_path)
-                .where((F.col("table_name") == table_name) & (F.col("status") == "loaded"))
-                .select("load_no").distinct().collect()}
-    orphans = sorted(present - recorded)
-    for d in dirs:
-        if d.getPath().getName().split("=", 1)[1] in orphans:
+    fs, jvm = _fs(spark, table_path)
+    for load_no in orphans:
+        for d in fs.globStatus(jvm.org.apache.hadoop.fs.Path(
+                f"{table_path.rstrip('/')}/*/load_no={load_no}")) or []:
             fs.delete(d.getPath(), True)
+    # one ledger row per file of the aborted batches (a bounded file list)
+    started_files = ledger.where((F.col("status") == "loading") & F.col("load_no").isin(orphans)) \
+        .select("filename", "modification_time", "length", "load_no").collect()
+    for load_no in orphans:
+        files = [(r.filename, r.modification_time, r.length) for r in started_files
+                 if r.load_no == load_no]
+        led.append_ledger(led.ledger_rows(spark, files, table_name, load_no,
+                                          {f[0]: "aborted" for f in files}), ledger_path)
     return orphans
 
 
@@ -110,6 +119,9 @@ def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str,
         schema = infer_schema(spark, paths[0])
 
     mode = "overwrite" if disposition == "truncate_append" else "append"
+    if partition is not None:  # mark the batch as started (see drop_unrecorded_loads)
+        led.append_ledger(led.ledger_rows(spark, new_list, table_name, result.load_no,
+                                          {p: "loading" for p in paths}), ledger_path)
     status: dict[str, str] = {}
     try:
         _write(fsrc.read_any(spark, paths, schema, result.load_no), table_path, mode, partition)

@@ -168,26 +168,34 @@ def test_default_window_is_yesterday_to_today(spark):
 
 
 def test_interrupted_load_is_not_duplicated(spark, tmp_dir, monkeypatch):
-    """Data committed but the ledger append lost (driver died in between):
+    """Data committed but the final ledger rows lost (driver died in between):
     the next run removes that batch's folders and loads the files once."""
     write(f"{tmp_dir}/in/a.csv", HEADER + ROW1 + ROW2)
     table, ledger = f"{tmp_dir}/raw", f"{tmp_dir}/ledger"
     part = ("EVENT_DATE", F.to_date("EVENT_TIME"))
-
-    def boom(*a, **k):
-        raise RuntimeError("driver lost")
-    monkeypatch.setattr(led, "append_ledger", boom)
+    real_append = led.append_ledger
+    calls = {"n": 0}
+
+    def dies_on_final_rows(df, path):
+        calls["n"] += 1
+        if calls["n"] == 2:  # the 'loading' marker went through, the outcome does not
+            raise RuntimeError("driver lost")
+        real_append(df, path)
+    monkeypatch.setattr(led, "append_ledger", dies_on_final_rows)
     with pytest.raises(RuntimeError):
         ing.ingest(spark, f"{tmp_dir}/in/*.csv", table, "events", ledger,
                    schema=RAW_EVENT_SCHEMA, partition=part)
-    assert spark.read.parquet(table).count() == 2  # committed, but unrecorded
+    assert spark.read.parquet(table).count() == 2  # committed, but no outcome recorded
     monkeypatch.undo()
     r = ing.ingest(spark, f"{tmp_dir}/in/*.csv", table, "events", ledger,
                    schema=RAW_EVENT_SCHEMA, partition=part)
     assert len(r.loaded) == 1
     t = spark.read.parquet(table)
     assert t.count() == 2 and t.select("load_no").distinct().first()[0] == r.load_no
-
+    statuses = sorted(x.status for x in led.read_ledger(spark, ledger).collect())
+    assert statuses == ["aborted", "loaded", "loading", "loading"]
+    # nothing left to clean up: a further check lists no folders
+    assert ing.drop_unrecorded_loads(spark, table, ledger, "events") == []
 
 def test_stream_consent_daily_matches_batch(spark, tmp_dir):
     """Watermarked streaming rollup (one file per micro-batch, a late event for
