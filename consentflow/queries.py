@@ -23,6 +23,8 @@ from consentflow.plans.graph import ModelGraph
 from consentflow.sources import roundtrip
 
 VOLATILE = ("run_id", "ingest_dttm", "update_dttm", "load_time", "load_no")
+# 9999-12-31 lies outside some clients' nanosecond timestamps: compared as text
+VALIDITY_BOUNDS = ("valid_from", "valid_to")
 
 # Backfill window used by the incremental queries (whole days, inclusive).
 BACKFILL = LoadWindow(_dt.date(2024, 1, 10), _dt.date(2024, 1, 12))
@@ -32,13 +34,20 @@ EXPECTED_EVENT_COUNT = 739.0
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Drop volatile metadata, expose decimals as double."""
+    """Drop volatile metadata, expose decimals as double, dates as midnight
+    ``timestamp_ntz`` and validity bounds as ISO text (client libraries render
+    dates differently per engine and cannot hold year 9999 in nanosecond
+    timestamps; the oracle applies the same presentation)."""
     cols = []
     for f in df.schema.fields:
         if f.name in VOLATILE:
             continue
         if isinstance(f.dataType, T.DecimalType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+        elif f.name in VALIDITY_BOUNDS:
+            cols.append(F.col(f.name).cast("string").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
