@@ -76,7 +76,10 @@ def stream_consent_daily(spark: SparkSession, source_dir: str, schema: T.StructT
     watermark are left to a batch backfill (``Warehouse.build(window)``).
 
     Event times are UTC wall-clock ``timestamp_ntz``; the watermark needs an
-    instant, derived without the session time zone."""
+    instant, derived without the session time zone. The state store has
+    ``spark.sql.shuffle.partitions`` partitions, fixed in the checkpoint at the
+    first start (AQE does not resize streaming state): size it to the number
+    of company-days kept in state, not to the raw volume."""
     from consentflow.functions import conversion_rate, micros_between
     from consentflow.warehouse import PartitionedTable  # avoid an import cycle
 
