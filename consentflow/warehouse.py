@@ -40,6 +40,10 @@ from consentflow.sources import files, ingest as ing
 RAW_EVENT_DATE = "EVENT_DATE"
 
 
+class DataCheckError(AssertionError):
+    """A data check returned violating rows."""
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -198,9 +202,11 @@ class Warehouse:
 
     # ----------------------------------------------------------------- test
 
-    def test(self, expected: list[tuple[dict, str, float]] | None = None) -> dict[str, int]:
+    def test(self, expected: list[tuple[dict, str, float]] | None = None,
+             raise_on_failure: bool = False) -> dict[str, int]:
         """Run the data checks on the report; each value is the number of
-        violating rows (0 = pass)."""
+        violating rows (0 = pass). With ``raise_on_failure`` a failing check
+        raises (every check has error severity), listing all failures."""
         rep = self.read("report", "consent_company_day")
         out = {
             "unique_consent_uq": checks.check_unique(rep, "consent_uq").count(),
@@ -210,6 +216,9 @@ class Warehouse:
         }
         for i, (key, col, value) in enumerate(expected or []):
             out[f"expected_{i}"] = checks.check_expected(rep, key, col, value).count()
+        failed = {k: v for k, v in out.items() if v}
+        if failed and raise_on_failure:
+            raise DataCheckError(f"data checks failed: {failed}")
         return out
 
     def register(self, layers=("raw", "mart", "report"), prefix: str = "") -> list[str]:

@@ -49,6 +49,11 @@ def test_load_build_incremental_equals_full(spark, tmp_dir):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert wh.read("mart", "fct_event").count() == g.fct_event.count()
     assert all(v == 0 for v in wh.test().values())
+    import pytest
+    from consentflow.warehouse import DataCheckError
+    key = {"company_id": "0", "date_day": dt.date(2024, 1, 5)}
+    with pytest.raises(DataCheckError):
+        wh.test(expected=[(key, "event_count", -1.0)], raise_on_failure=True)
     cat = {(r.table_name, r.column_name) for r in wh.catalog().collect()}
     assert ("consent_company_day", "consent_conversion_rate") in cat and ("dim_date", "week_no") in cat
 
