@@ -15,8 +15,9 @@ becomes a third of the job in one task. The default ``split`` strategy:
    partitions). No hot entity → plain grouped window, nothing else.
 2. Each hot entity gets ``K = ceil(rows / T)`` sub-buckets cut at approximate
    quantiles of its first ordering column (``percentile_approx``, a partial
-   aggregate). The boundary table holds at most ``2n`` values in total and is
-   broadcast.
+   aggregate). The boundary table holds at most ``2n`` values in total; it is
+   computed once, brought to the driver and broadcast as a literal table, so
+   all plan branches and retried tasks use identical cuts.
 3. Every row gets ``sub`` = number of its entity's boundaries at or below its
    time (0 for all other entities); the window runs over ``(entity, sub)``, so
    no window partition exceeds about ``T`` rows (bar rows sharing one instant).
@@ -24,7 +25,7 @@ becomes a third of the job in one task. The default ``split`` strategy:
    per sub-bucket, ≤ ``2n`` rows) is the successor of the previous
    sub-bucket's last row; that small table is broadcast and joined back.
 
-The bucket assignment is a pure function of the data and the broadcast
+The bucket assignment is a pure function of the data and the materialised
 boundaries, so every branch of the plan and every retried task computes the
 same buckets. ``strategy="window"`` keeps the grouped form.
 """
@@ -92,7 +93,12 @@ def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | N
     # keep K-1 evenly spaced grid points (grid index j*grid/K, 1-based)
     thinned = F.transform(F.sequence(F.lit(1), F.greatest(k - 1, F.lit(1))),
                           lambda j: F.element_at("__nb_q", (j * grid / k).cast("int")))
-    bounds = F.broadcast(q.select(*hk, F.when(k > 1, thinned).alias("__nb_bounds")))
+    # Materialise the boundaries once (≤ n entities, ≤ 2n values in total): an
+    # approximate sketch merged in shuffle-arrival order may differ between
+    # recomputations, and every branch of the plan (window and stitch) and
+    # every retried task must see the very same cuts.
+    cuts = q.select(*hk, F.when(k > 1, thinned).alias("__nb_bounds"))
+    bounds = F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
 
     # 3. sub-bucket per row (0 for entities that are not hot)
     tagged = df.join(bounds, _null_safe_on(df, bounds, zip(by, hk)), "left")
