@@ -13,14 +13,15 @@ becomes a third of the job in one task. The default ``split`` strategy:
    At most ``n`` entities can be hot, so everything derived from them below
    is bounded by ``n`` (``n`` = ``num_ranges``, default the shuffle
    partitions). No hot entity → plain grouped window, nothing else.
-2. Each hot entity gets ``K = ceil(rows / T)`` sub-buckets cut at approximate
-   quantiles of its first ordering column (``percentile_approx``, a partial
-   aggregate). The boundary table holds at most ``2n`` values in total; it is
-   computed once, brought to the driver and broadcast as a literal table, so
-   all plan branches and retried tasks use identical cuts.
-3. Every row gets ``sub`` = number of its entity's boundaries at or below its
-   time (0 for all other entities); the window runs over ``(entity, sub)``, so
-   no window partition exceeds about ``T`` rows (bar rows sharing one instant).
+2. Each hot entity gets ``K = ceil(rows / T)`` sub-buckets cut at keys of
+   its whole ordering key (time, then event id) taken from a bounded sample
+   (about ``SAMPLES`` keys per sub-bucket), as Spark's range partitioner
+   does. The cut table holds at most ``2n`` keys in total; it is computed
+   once, brought to the driver and broadcast as a literal table, so all plan
+   branches and retried tasks use identical cuts.
+3. Every row gets ``sub`` = number of its entity's cut keys at or below its
+   own key (0 for all other entities); the window runs over ``(entity, sub)``,
+   so no window partition exceeds about ``T`` rows.
 4. Stitch: the first row of each hot sub-bucket (one partial-aggregated row
    per sub-bucket, ≤ ``2n`` rows) is the successor of the previous
    sub-bucket's last row; that small table is broadcast and joined back.
@@ -38,23 +39,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consentflow.functions.metrics import micros_between
 
 _SUB = "__nb_sub"
 _GRID_MAX = 2048
-
-
-def _as_number(c: Column, dt: T.DataType) -> Column:
-    """An order-preserving numeric image of the first ordering column."""
-    if isinstance(dt, T.TimestampNTZType):  # wall-clock micros, no session time zone involved
-        return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"cannot split on a {dt.simpleString()} ordering column")
+SAMPLES = 20  # sampled keys per sub-bucket when cutting a hot entity
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
@@ -79,30 +67,34 @@ def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | N
     if not biggest or biggest <= threshold:
         return None
 
-    # 2. quantile boundaries of the hot entities (≤ n entities, Σ K ≤ 2n values)
-    grid = min(n, _GRID_MAX)
-    t_num = _as_number(F.col(order[0]), df.schema[order[0]].dataType)
+    # 2. cut points of the hot entities (≤ n entities, Σ K ≤ 2n cuts): each
+    #    hot entity's ordering keys are sampled (about SAMPLES per sub-bucket,
+    #    so the sample is bounded by SAMPLES · 2n), sorted, and K-1 evenly
+    #    spaced keys are kept. Cutting on the whole key (time, then event id)
+    #    also splits rows that share one instant.
+    key = F.struct(*[F.col(c) for c in order])
     hot = sizes.where(F.col("__nb_cnt") > threshold)
     hk = _hot_key_names(by)
     hot_keys = F.broadcast(hot.select(*[F.col(c).alias(a) for c, a in zip(by, hk)], "__nb_cnt"))
     hot_rows = df.join(hot_keys, _null_safe_on(df, hot_keys, zip(by, hk)), "inner")
-    pct = [i / grid for i in range(1, grid)]
-    q = hot_rows.groupBy(*hk).agg(F.first("__nb_cnt").alias("__nb_cnt"),
-                                  F.percentile_approx(t_num, pct, 10_000).alias("__nb_q"))
-    k = F.least(F.ceil(F.col("__nb_cnt") / F.lit(threshold)), F.lit(grid)).cast("int")
-    # keep K-1 evenly spaced grid points (grid index j*grid/K, 1-based)
+    k = F.least(F.ceil(F.col("__nb_cnt") / F.lit(threshold)), F.lit(_GRID_MAX)).cast("int")
+    keep = F.least(F.lit(1.0), F.lit(float(SAMPLES)) * k / F.col("__nb_cnt"))
+    q = (hot_rows.where(F.rand(17) < keep)
+         .groupBy(*hk).agg(F.first("__nb_cnt").alias("__nb_cnt"),
+                           F.array_sort(F.collect_list(key)).alias("__nb_sample")))
+    n_s = F.size("__nb_sample")
     thinned = F.transform(F.sequence(F.lit(1), F.greatest(k - 1, F.lit(1))),
-                          lambda j: F.element_at("__nb_q", (j * grid / k).cast("int")))
-    # Materialise the boundaries once (≤ n entities, ≤ 2n values in total): an
-    # approximate sketch merged in shuffle-arrival order may differ between
-    # recomputations, and every branch of the plan (window and stitch) and
-    # every retried task must see the very same cuts.
-    cuts = q.select(*hk, F.when(k > 1, thinned).alias("__nb_bounds"))
+                          lambda j: F.element_at("__nb_sample", F.greatest(F.lit(1), (j * n_s / k).cast("int"))))
+    # Materialise the cuts once: the sample is random and an aggregate merged
+    # in shuffle-arrival order may differ between recomputations, while every
+    # branch of the plan (window and stitch) and every retried task must see
+    # the very same cuts.
+    cuts = q.select(*hk, F.when((k > 1) & (n_s > 0), thinned).alias("__nb_bounds"))
     bounds = F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
 
     # 3. sub-bucket per row (0 for entities that are not hot)
     tagged = df.join(bounds, _null_safe_on(df, bounds, zip(by, hk)), "left")
-    sub = F.coalesce(F.size(F.filter("__nb_bounds", lambda b: b <= t_num)), F.lit(0))
+    sub = F.coalesce(F.size(F.filter("__nb_bounds", lambda b: b <= key)), F.lit(0))
     return tagged.select(*[F.col(c) for c in df.columns], sub.alias(_SUB),
                          F.col("__nb_bounds").isNotNull().alias("__nb_hot"))
 

@@ -70,3 +70,21 @@ def test_first_following_where_split_equals_window(spark):
                                 num_ranges=8, min_split_rows=50)
     assert "__nb_sub" in got._jdf.queryExecution().optimizedPlan().toString()
     assert same(ref, got)
+
+
+def test_split_cuts_rows_sharing_one_instant(spark):
+    """A hot user whose rows all carry the same timestamp is still cut into
+    several sub-buckets (cuts on time, then event id), and the result equals
+    the grouped window."""
+    base = dt.datetime(2025, 1, 1)
+    rows = [("hot", base, f"h{i:05d}", "consent.asked" if i % 2 else "consent.given") for i in range(1500)]
+    rows += [(f"u{i % 7}", base + dt.timedelta(seconds=i), f"e{i:05d}", "pageview") for i in range(300)]
+    df = spark.createDataFrame(rows, "user_id string, event_dttm timestamp_ntz, event_id string, event_type string")
+    from consentflow.operators.sequence import segments
+    tagged = segments(df, ["user_id"], ["event_dttm", "event_id"], num_ranges=8, min_split_rows=50)
+    subs = tagged.where("user_id = 'hot'").select("__nb_sub").distinct().count()
+    assert subs > 1
+    ref = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next", strategy="window")
+    got = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next",
+                         num_ranges=8, min_split_rows=50)
+    assert same(ref, got)
