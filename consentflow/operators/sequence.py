@@ -1,48 +1,33 @@
 """Neighbour-in-sequence operator (lead / lag per entity in time order).
 
 ``with_neighbour`` adds, for every row, columns of the next (or previous) row
-of the same entity (``by``) in ``order``. Callers pass a unique column (the
-event id) last in ``order`` so ties are broken deterministically.
+of the same entity (``by``) in ``order``; ``first_following_where`` the first
+later row that meets a condition. Callers pass a unique column (the event id)
+last in ``order`` so ties are broken deterministically.
 
 Skew. The textbook form, ``lead(c) over (partition by user order by ts)``,
 sends every row of one user to one task: a user holding a third of all rows
-becomes a third of the job in one task. The default ``split`` strategy:
-
-1. Entity sizes (a partial/final aggregate) give the total ``N``; an entity
-   is *hot* when it has more than ``T = max(N / n, min_split_rows)`` rows.
-   At most ``n`` entities can be hot, so everything derived from them below
-   is bounded by ``n`` (``n`` = ``num_ranges``, default the shuffle
-   partitions). No hot entity → plain grouped window, nothing else.
-2. Each hot entity gets ``K = ceil(rows / T)`` sub-buckets cut at keys of
-   its whole ordering key (time, then event id) taken from a bounded sample
-   (about ``SAMPLES`` keys per sub-bucket), as Spark's range partitioner
-   does. The cut table holds at most ``2n`` keys in total; it is computed
-   once, brought to the driver and broadcast as a literal table, so all plan
-   branches and retried tasks use identical cuts.
-3. Every row gets ``sub`` = number of its entity's cut keys at or below its
-   own key (0 for all other entities); the window runs over ``(entity, sub)``,
-   so no window partition exceeds about ``T`` rows.
-4. Stitch: the first row of each hot sub-bucket (one partial-aggregated row
-   per sub-bucket, ≤ ``2n`` rows) is the successor of the previous
-   sub-bucket's last row; that small table is broadcast and joined back.
-
-The bucket assignment is a pure function of the data and the materialised
-boundaries, so every branch of the plan and every retried task computes the
-same buckets. ``strategy="window"`` keeps the grouped form.
+becomes a third of the job in one task. There is one plan for all sizes:
+
+1. The rows are range-partitioned by (entity, order) into ``n`` ranges, so a
+   hot entity spreads over as many ranges as its share asks for. The result is
+   checkpointed to the shared folder with each row's range number ``seg``: the
+   ranges come from a sample, and every later branch of the plan and every
+   retried task must see the same ones.
+2. The window runs over (entity, seg): never more rows than one range holds.
+3. Stitch: a range border splits at most one entity, so at most ``n - 1``
+   (entity, seg) groups have a successor group. Their first rows are taken from
+   a partial aggregate and joined back -- broadcast, with that proven bound.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from consentflow.session import checkpoint_dir
 
-_SUB = "__nb_sub"
-_GRID_MAX = 2048
-SAMPLES = 20  # sampled keys per sub-bucket when cutting a hot entity
+_SEG = "__nb_seg"
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
@@ -53,154 +38,75 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
     return cond
 
 
-def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | None = None,
-             min_split_rows: int = 1_000_000) -> DataFrame | None:
-    """``df`` plus ``__nb_sub`` (sub-bucket of the entity) and ``__nb_hot``,
-    or ``None`` when no entity exceeds ``T`` rows (steps 1-3 above)."""
+def segments(df: DataFrame, by: list[str], order: list[str], num_ranges: int | None = None) -> DataFrame:
+    """``df`` plus ``__nb_seg``, the number of the row's range (step 1)."""
     spark = df.sparkSession
+    checkpoint_dir(spark)
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in [*by, *order]])
+    return ranged.withColumn(_SEG, F.spark_partition_id()).checkpoint()
 
-    # 1. entity sizes → N and the largest entity (one row to the driver)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__nb_cnt"))
-    total, biggest = _size_stats(sizes)
-    threshold = max(math.ceil((total or 0) / n), min_split_rows)
-    if not biggest or biggest <= threshold:
-        return None
-
-    # 2. cut points of the hot entities (≤ n entities, Σ K ≤ 2n cuts): each
-    #    hot entity's ordering keys are sampled (about SAMPLES per sub-bucket,
-    #    so the sample is bounded by SAMPLES · 2n), sorted, and K-1 evenly
-    #    spaced keys are kept. Cutting on the whole key (time, then event id)
-    #    also splits rows that share one instant.
-    key = F.struct(*[F.col(c) for c in order])
-    hot = sizes.where(F.col("__nb_cnt") > threshold)
-    hk = _hot_key_names(by)
-    hot_keys = F.broadcast(hot.select(*[F.col(c).alias(a) for c, a in zip(by, hk)], "__nb_cnt"))
-    hot_rows = df.join(hot_keys, _null_safe_on(df, hot_keys, zip(by, hk)), "inner")
-    k = F.least(F.ceil(F.col("__nb_cnt") / F.lit(threshold)), F.lit(_GRID_MAX)).cast("int")
-    keep = F.least(F.lit(1.0), F.lit(float(SAMPLES)) * k / F.col("__nb_cnt"))
-    q = (hot_rows.where(F.rand(17) < keep)
-         .groupBy(*hk).agg(F.first("__nb_cnt").alias("__nb_cnt"),
-                           F.array_sort(F.collect_list(key)).alias("__nb_sample")))
-    n_s = F.size("__nb_sample")
-    thinned = F.transform(F.sequence(F.lit(1), F.greatest(k - 1, F.lit(1))),
-                          lambda j: F.element_at("__nb_sample", F.greatest(F.lit(1), (j * n_s / k).cast("int"))))
-    # Materialise the cuts once: the sample is random and an aggregate merged
-    # in shuffle-arrival order may differ between recomputations, while every
-    # branch of the plan (window and stitch) and every retried task must see
-    # the very same cuts.
-    cuts = q.select(*hk, F.when((k > 1) & (n_s > 0), thinned).alias("__nb_bounds"))
-    bounds = F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
-
-    # 3. sub-bucket per row (0 for entities that are not hot)
-    tagged = df.join(bounds, _null_safe_on(df, bounds, zip(by, hk)), "left")
-    sub = F.coalesce(F.size(F.filter("__nb_bounds", lambda b: b <= key)), F.lit(0))
-    return tagged.select(*[F.col(c) for c in df.columns], sub.alias(_SUB),
-                         F.col("__nb_bounds").isNotNull().alias("__nb_hot"))
-
-
-_SIZE_MEMO: dict = {}
-
-
-def _size_stats(sizes: DataFrame) -> tuple:
-    """(total rows, largest entity) of an entity-size frame, memoised on the
-    optimised plan's semantic hash: several sequence queries over the same
-    input size it once. Only the split/no-split choice depends on it, and both
-    paths are exact."""
-    try:
-        key = int(sizes._jdf.queryExecution().optimizedPlan().semanticHash())
-    except Exception:  # noqa: BLE001 - memo is an optimisation only
-        key = None
-    if key is not None and key in _SIZE_MEMO:
-        return _SIZE_MEMO[key]
-    stats = tuple(sizes.agg(F.sum("__nb_cnt"), F.max("__nb_cnt")).first())
-    if key is not None:
-        if len(_SIZE_MEMO) > 256:
-            _SIZE_MEMO.clear()
-        _SIZE_MEMO[key] = stats
-    return stats
-
-
-def _hot_key_names(by: list[str]) -> list[str]:
+
+def _aliases(by: list[str]) -> list[str]:
     return [f"__nb_h{i}" for i in range(len(by))]
 
 
+def _across(groups: DataFrame, by: list[str], value: Column, later: bool) -> DataFrame:
+    """For (entity, seg) groups that have another group after them (``later``)
+    or before them: ``__nb_there`` = ``value`` over those, nearest first. At
+    most one row a range border."""
+    there = F.lead if later else F.lag
+    order = Window.partitionBy(*by).orderBy(_SEG)
+    rest = order.rowsBetween(1, Window.unboundedFollowing) if later else order.rowsBetween(Window.unboundedPreceding, -1)
+    pick = F.first if later else F.last
+    named = groups.select(*[F.col(c).alias(a) for c, a in zip(by, _aliases(by))], F.col(_SEG).alias("__nb_s"),
+                          there(F.lit(True)).over(order).alias("__nb_more"),
+                          pick(value, ignorenulls=True).over(rest).alias("__nb_there"))
+    return F.broadcast(named.where("__nb_more").drop("__nb_more"))
+
+
 def with_neighbour(df: DataFrame, by: list[str], order: list[str], cols: list[str],
                    direction: str = "next", suffix: str | None = None,
-                   strategy: str = "split", num_ranges: int | None = None,
-                   min_split_rows: int = 1_000_000) -> DataFrame:
+                   num_ranges: int | None = None) -> DataFrame:
     """Add ``<col><suffix>`` = value of ``col`` in the next/previous row of the
     same ``by`` group ordered by ``order`` (null when there is none)."""
     if direction not in ("next", "prev"):
         raise ValueError("direction must be 'next' or 'prev'")
-    if strategy not in ("split", "window"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    suffix = suffix or ("_next" if direction == "next" else "_prev")
-    fn = F.lead if direction == "next" else F.lag
-    tagged = segments(df, by, order, num_ranges, min_split_rows) if strategy == "split" else None
-    if tagged is None:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.select("*", *[fn(c).over(w).alias(f"{c}{suffix}") for c in cols])
-
-    sort = ([F.col(c).asc_nulls_first() for c in order] if direction == "next"
-            else [F.col(c).desc_nulls_last() for c in order])
-    w = Window.partitionBy(*by, _SUB).orderBy(*sort)
-    v_in = [f"__nb_v{i}" for i in range(len(cols))]
-    x = tagged.select("*", *[F.lead(F.col(c)).over(w).alias(a) for c, a in zip(cols, v_in)],
-                      F.lead(F.lit(True)).over(w).isNull().alias("__nb_last"))
-
-    # 4. stitch consecutive sub-buckets of hot entities (≤ 2n rows, broadcast)
-    hk = _hot_key_names(by)
-    key_struct = F.struct(*[F.col(c) for c in order])
+    later = direction == "next"
+    suffix = suffix or ("_next" if later else "_prev")
+    tagged = segments(df, by, order, num_ranges)
+
     payload = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    pick = F.min_by if direction == "next" else F.max_by
-    firsts = (tagged.where("__nb_hot").groupBy(*by, _SUB)
-              .agg(pick(payload, key_struct).alias("__nb_f")))
-    sub_order = F.col(_SUB).asc() if direction == "next" else F.col(_SUB).desc()
-    nexts = firsts.select(*[F.col(c).alias(a) for c, a in zip(by, hk)],
-                          F.col(_SUB).alias("__nb_s"),
-                          F.lead("__nb_f").over(Window.partitionBy(*by).orderBy(sub_order))
-                          .alias("__nb_nf"))
-    nexts = F.broadcast(nexts)
-    j = x.join(nexts, _null_safe_on(x, nexts, [*zip(by, hk), (_SUB, "__nb_s")]), "left")
-    last = F.col("__nb_last")
-    out = [F.when(~last, F.col(a)).otherwise(F.col("__nb_nf").getField(f"v{i}")).alias(f"{c}{suffix}")
-           for i, (c, a) in enumerate(zip(cols, v_in))]
-    return j.select(*[x[c] for c in df.columns], *out)
+    inside = Window.partitionBy(*by, _SEG).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    x = tagged.withColumn("__nb_in", (F.lead if later else F.lag)(payload).over(inside))
+
+    key = F.struct(*[F.col(c) for c in order])
+    edge = tagged.groupBy(*by, _SEG).agg((F.min_by if later else F.max_by)(payload, key).alias("__nb_edge"))
+    there = _across(edge, by, F.col("__nb_edge"), later)
+    j = x.join(there, _null_safe_on(x, there, [*zip(by, _aliases(by)), (_SEG, "__nb_s")]), "left")
+    found = F.coalesce("__nb_in", "__nb_there")
+    return j.select(*[x[c] for c in df.columns],
+                    *[found.getField(f"v{i}").alias(f"{c}{suffix}") for i, c in enumerate(cols)])
 
 
 def first_following_where(df: DataFrame, by: list[str], order: list[str], value: str,
-                          cond: Column, alias: str, strategy: str = "split",
-                          num_ranges: int | None = None,
-                          min_split_rows: int = 1_000_000) -> DataFrame:
+                          cond: Column, alias: str, num_ranges: int | None = None) -> DataFrame:
     """Add ``alias`` = ``value`` of the first row at or after the current one
     (same entity, in ``order``) for which ``cond`` holds.
 
-    Grouped form: a running ``last(.., ignorenulls)`` in *descending* order
-    (O(n) running frame, not an unbounded-following frame). Split form: the
-    same inside each (entity, sub-bucket); rows without a match in their
-    bucket take the first match of a later bucket, found on the per-bucket
-    summary of hot entities (≤ 2n rows, broadcast)."""
-    if strategy not in ("split", "window"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    hit = F.when(cond, F.col(value))
-    desc = [F.col(c).desc_nulls_last() for c in order]
-    tagged = segments(df, by, order, num_ranges, min_split_rows) if strategy == "split" else None
-    if tagged is None:
-        w = Window.partitionBy(*by).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", F.last(hit, ignorenulls=True).over(w).alias(alias))
-
-    w = Window.partitionBy(*by, _SUB).orderBy(*desc).rowsBetween(Window.unboundedPreceding,
-                                                                 Window.currentRow)
-    x = tagged.select("*", F.last(hit, ignorenulls=True).over(w).alias("__nb_in"))
-    hk = _hot_key_names(by)
-    # first match per hot bucket: min over (order..., value) of matching rows
-    first_hit = F.min(F.when(cond, F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"))))
-    per_bucket = tagged.where("__nb_hot").groupBy(*by, _SUB).agg(first_hit.alias("__nb_fh"))
-    later = Window.partitionBy(*by).orderBy(F.col(_SUB).desc())         .rowsBetween(Window.unboundedPreceding, -1)
-    nexts = F.broadcast(per_bucket.select(
-        *[F.col(c).alias(a) for c, a in zip(by, hk)], F.col(_SUB).alias("__nb_s"),
-        F.last(F.col("__nb_fh").getField("__v"), ignorenulls=True).over(later).alias("__nb_later")))
-    j = x.join(nexts, _null_safe_on(x, nexts, [*zip(by, hk), (_SUB, "__nb_s")]), "left")
-    return j.select(*[x[c] for c in df.columns],
-                    F.coalesce(F.col("__nb_in"), F.col("__nb_later")).alias(alias))
+    Inside a range a running ``last(.., ignorenulls)`` in *descending* order
+    (a running frame, not an unbounded-following one); rows without a match
+    there take the first match of a later range of the entity."""
+    tagged = segments(df, by, order, num_ranges)
+    hit = F.when(cond, F.struct(F.col(value).alias("v")))
+    down = (Window.partitionBy(*by, _SEG).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = tagged.withColumn("__nb_in", F.last(hit, ignorenulls=True).over(down))
+
+    key = F.struct(*[F.col(c) for c in order])
+    first_hit = F.min(F.when(cond, F.struct(key.alias("k"), F.col(value).alias("v"))))
+    groups = tagged.groupBy(*by, _SEG).agg(first_hit.alias("__nb_hit"))
+    found = F.when(F.col("__nb_hit").isNotNull(), F.struct(F.col("__nb_hit.v").alias("v")))
+    there = _across(groups, by, found, later=True)
+    j = x.join(there, _null_safe_on(x, there, [*zip(by, _aliases(by)), (_SEG, "__nb_s")]), "left")
+    return j.select(*[x[c] for c in df.columns], F.coalesce("__nb_in", "__nb_there").getField("v").alias(alias))

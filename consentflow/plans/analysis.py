@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from consentflow.functions import (
     CONSENT_ASKED, CONSENT_GIVEN, conversion_rate, hour_start, micros_between, seconds_between)
 from consentflow.operators.sequence import first_following_where, with_neighbour
-from consentflow.operators.joins import bounded_broadcast
 from consentflow.operators.shares import share_by
 from consentflow.plans import staging
 
 SEQ_ORDER = ["event_dttm", "event_id"]
-# ISO 3166 has ~250 countries; the bound leaves room for custom codes.
-MAX_COUNTRY_ROWS = 10_000
 
 
 # --------------------------------------------------------------------------- time to consent
@@ -40,7 +37,8 @@ def time_to_consent_company(fct_event: DataFrame, events: DataFrame | None = Non
 def consent_response_times(fct_event: DataFrame) -> DataFrame:
     """Backward form (WIN-04): a given preceded by an asked of the same user →
     elapsed seconds (exact, with fraction)."""
-    seq = with_neighbour(fct_event, ["user_id"], SEQ_ORDER, ["event_type", "event_dttm"], "prev")
+    src = fct_event.select("user_id", "company_id", "deployment_id", "event_id", "event_dttm", "event_type")
+    seq = with_neighbour(src, ["user_id"], SEQ_ORDER, ["event_type", "event_dttm"], "prev")
     resp = F.when((F.col("event_type") == CONSENT_GIVEN) & (F.col("event_type_prev") == CONSENT_ASKED),
                   micros_between("event_dttm_prev", "event_dttm") / 1e6)
     return (seq.select("user_id", "company_id", "deployment_id", "event_id", "event_dttm",
@@ -75,17 +73,18 @@ def first_consent_after(fct_event: DataFrame) -> DataFrame:
 
 
 def switching_users(fct_event: DataFrame, max_gap_minutes: int = 60) -> DataFrame:
-    """Same user seen in another country or on another device within a short
-    gap of the previous event (WIN-07)."""
-    seq = with_neighbour(fct_event, ["user_id"], SEQ_ORDER,
-                         ["country_code", "device_type", "event_dttm"], "prev")
+    """Same user seen in another country or region or on another device within
+    a short gap of the previous event (WIN-07)."""
+    places = ["country_code", "region_code", "device_type"]
+    seq = with_neighbour(fct_event.select("user_id", "event_id", "event_dttm", *places),
+                         ["user_id"], SEQ_ORDER, [*places, "event_dttm"], "prev")
     gap = seconds_between("event_dttm_prev", "event_dttm")
-    changed = ((F.col("country_code") != F.col("country_code_prev"))
-               | (F.col("device_type") != F.col("device_type_prev")))
+    changed = F.lit(False)
+    for c in places:
+        changed = changed | (F.col(c) != F.col(f"{c}_prev"))
     return (seq.where(changed & (gap <= max_gap_minutes * 60))
             .select("user_id", "event_id", "event_dttm",
-                    F.col("country_code_prev").alias("prev_country_code"), "country_code",
-                    F.col("device_type_prev").alias("prev_device_type"), "device_type",
+                    *[x for c in places for x in (F.col(f"{c}_prev").alias(f"prev_{c}"), F.col(c))],
                     gap.alias("gap_second")))
 
 
@@ -139,6 +138,13 @@ def events_per_company(fct_event: DataFrame) -> DataFrame:
         .orderBy(F.desc("cnt"), "company_id")
 
 
+def ranked(rows: DataFrame, *order) -> DataFrame:
+    """A sorted report with each row's place in its order as ``place``
+    (SORT-01..03), so that the order itself is data. For reports of one row a
+    group: the numbering is one task over the aggregated rows."""
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
 def top_companies(fct_event: DataFrame, k: int = 5) -> DataFrame:
     """Top-k companies by all-time conversion rate (TOPK-01). Ties broken by
     company id; the limit is the feature (a top-k report)."""
@@ -269,6 +275,28 @@ def raw_volume(raw: DataFrame) -> DataFrame:
              F.count(F.lit(1)).alias("raw_rows"))
 
 
+def raw_volume_total(raw: DataFrame) -> DataFrame:
+    """Unrounded extrapolated volume over all raw events (AGG-16)."""
+    return raw.agg(F.sum(F.col("COUNT") / F.col("RATE")).alias("raw_event_count"), F.count(F.lit(1)).alias("raw_rows"))
+
+
+def raw_volume_at(raw: DataFrame, company_id: str, day, country: str) -> DataFrame:
+    """Unrounded volume of one company on one day (PRJ-17), and of its events
+    whose raw country is the *quoted* text ``"<country>"`` (PRJ-22)."""
+    here = raw.where((F.col("APIKEY") == company_id) & (F.to_date("EVENT_TIME") == F.lit(day)))
+    volume = F.col("COUNT") / F.col("RATE")
+    quoted = F.col("COUNTRY") == F.lit(f'"{country}"')
+    return here.agg(F.sum(volume).alias("raw_event_count"), F.count(F.lit(1)).alias("raw_rows"),
+                    F.sum(F.when(quoted, volume)).alias("country_event_count"), F.count(F.when(quoted, 1)).alias("country_rows"))
+
+
+def company_statuses(fct_event: DataFrame) -> DataFrame:
+    """Each company's list of consent statuses unpacked again, one row each
+    with its place in the list (FN-21)."""
+    lists = fct_event.groupBy("company_id").agg(F.sort_array(F.collect_set("consent_status")).alias("statuses"))
+    return lists.select("company_id", F.posexplode("statuses").alias("place", "consent_status"))
+
+
 def known_countries(fct_event: DataFrame, dim_country: DataFrame) -> DataFrame:
     """Distinct event country codes present in the country reference (JOIN-05,
     compared on the alpha code, trap D19)."""
@@ -302,14 +330,15 @@ def events_with_industry(fct_event: DataFrame, dim_company: DataFrame) -> DataFr
 
 
 def events_by_country(fct_event: DataFrame, dim_country: DataFrame) -> DataFrame:
-    """Event fact ⟕ country dimension through ``country_fk`` (JOIN-08),
-    rolled up per country. The country dimension holds one row per country (a
-    few hundred); the broadcast is taken only after checking that bound."""
-    dc = bounded_broadcast(dim_country.select("country_sk", "country_name", "region"),
-                           MAX_COUNTRY_ROWS)
-    j = fct_event.join(dc, fct_event.country_fk == dc.country_sk, "left")
-    return j.groupBy("country_code", "country_name", "region").agg(
+    """Event fact ⟕ country dimension through ``country_fk`` (JOIN-08), rolled
+    up per country. Events are added up by their country key first (a partial
+    aggregate), so the join sees one row per key and no key is hot."""
+    by_key = fct_event.groupBy("country_fk", "country_code").agg(
         F.count(F.lit(1)).alias("event_rows"), F.sum("event_count").alias("event_count"))
+    dc = dim_country.select("country_sk", "country_name", "region")
+    j = by_key.join(dc, by_key.country_fk == dc.country_sk, "left")
+    return j.groupBy("country_code", "country_name", "region").agg(
+        F.sum("event_rows").alias("event_rows"), F.sum("event_count").alias("event_count"))
 
 
 def distinct_event_types(fct_event: DataFrame) -> DataFrame:

@@ -32,15 +32,12 @@ def consent_company_day(fct_consent: DataFrame, dim_company: DataFrame, dim_date
     validity filter after the outer joins makes them inner joins, trap D5).
     ``keep_unmatched`` keeps such facts and points them at the default member.
 
-    The date dimension is a fixed calendar (2000..2100 + default: 36,891 rows,
-    independent of the data), so it is broadcast with a proven bound. The
-    company dimension grows with the customer base: its join strategy is left
-    to the size estimate + AQE (broadcast below the threshold, else sort-merge).
+    Both joins are unhinted: the fact is already one row per company and day,
+    and size estimates and AQE choose between broadcast and sort-merge.
     """
     cons = window_bounds.apply(fct_consent, window, "event_dt", "date")
     comp = _current(dim_company).select("company_sk", "industry_front", "hq_country")
-    d = F.broadcast(_current(dim_date).select("date_sk", "date_day", "is_workday", "year",
-                                              "month", "week_no"))
+    d = _current(dim_date).select("date_sk", "date_day", "is_workday", "year", "month", "week_no")
     how = "left" if keep_unmatched else "inner"
     j = (cons.join(comp, cons.company_fk == comp.company_sk, how)
          .join(d, cons.date_fk == d.date_sk, how))

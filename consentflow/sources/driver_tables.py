@@ -19,8 +19,6 @@ The mapping is mirrored in SQL by ``consentflow.oracle`` for the DuckDB check.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,53 +41,28 @@ def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def file_name(sf_dir: str, name: str):
-    """Lineage file name of each row: a constant when the table is one file
-    (no per-row metadata columns in the scan), else the scan's metadata."""
-    path = _path(sf_dir, name)
-    if os.path.isfile(path):
-        return F.lit(os.path.basename(path))
+def file_name():
+    """Lineage file name of each row, from the scan's metadata."""
     return F.col("_metadata.file_name")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Parallelism floor for under-split sources.
-
-    A file written as one row group is read by one task, and every per-row
-    expression above the scan then runs on one core. When the scan has fewer
-    splits than the default parallelism, rows are spread round-robin over that
-    many partitions (a small shuffle of the pruned scan columns). A large
-    input already has more splits than cores and is left alone: no shuffle.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def _pick(values, idx):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)) + 1)
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⨝ region. Both are fixed-size (25 and 5 rows at every scale
-    factor), so the region side is broadcast with a proven bound."""
+    """nation ⨝ region; the join strategy is left to the tables' sizes."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_name", "n_regionkey", "r_name")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    base = spread(ev.select(
-        "event_id", "ts", "user_id", "event_type", "props",
-        file_name(sf_dir, "events").alias("_file")))
+    base = ev.select("event_id", "ts", "user_id", "event_type", "props", file_name().alias("_file"))
     base = base.withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
-    # nation ⨝ region is 25 rows by definition of the star schema: broadcast.
-    nat = F.broadcast(nations(spark, sf_dir))
+    nat = nations(spark, sf_dir)
     j = base.join(nat, (base._k % N_NATIONS) == nat.n_nationkey, "left")
     typ = (F.when(F.col("event_type") == "view", "pageview")
            .when(F.col("event_type") == "click", "consent.asked")
@@ -125,8 +98,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment", file_name(sf_dir, "customer").alias("_file"))
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+        "c_custkey", "c_nationkey", "c_mktsegment", file_name().alias("_file"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     return j.select(
         F.col("c_custkey").cast("string").alias("PUBLIC_API_KEY"),

@@ -1,12 +1,16 @@
-"""Skew-safe lead/lag equals the grouped window, also when one entity holds
-most rows and the split path is taken."""
+"""The range-partitioned neighbour operator equals the grouped window, also
+when one entity holds most rows and is cut by several range borders."""
 
 import datetime as dt
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from consentflow.operators.sequence import with_neighbour
+from consentflow.operators.sequence import _SEG, first_following_where, segments, with_neighbour
+
+ORDER = ["event_dttm", "event_id"]
 
 
 def events(spark, n=3000, hot_share=0.7, seed=3):
@@ -18,8 +22,8 @@ def events(spark, n=3000, hot_share=0.7, seed=3):
         ts = base + dt.timedelta(seconds=rnd.randrange(0, 86400 * 5))
         if i % 97 == 0:
             ts = base  # many rows at one instant (ties broken by id)
-        typ = rnd.choice(["consent.asked", "consent.given", "pageview"])
-        rows.append((user if i % 211 else None, ts, f"e{i:05d}", typ))
+        typ = rnd.choice(["consent.asked", "consent.given", "pageview", None])
+        rows.append((user if i % 211 else None, ts if i % 89 else None, f"e{i:05d}", typ))
     return spark.createDataFrame(rows, "user_id string, event_dttm timestamp_ntz, event_id string, event_type string")
 
 
@@ -27,64 +31,34 @@ def same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_split_equals_window_next_and_prev(spark):
-    df = events(spark)
-    for direction in ("next", "prev"):
-        ref = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type", "event_dttm"],
-                             direction, strategy="window")
-        got = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type", "event_dttm"],
-                             direction, num_ranges=8, min_split_rows=50)
+@pytest.mark.parametrize("n,share,ranges", [(3000, 0.7, 8), (400, 1.0, 13), (300, 0.0, 4), (5, 0.5, 8)])
+def test_equals_grouped_window(spark, n, share, ranges):
+    df = events(spark, n, share)
+    w = Window.partitionBy("user_id").orderBy(*ORDER)
+    for direction, fn in (("next", F.lead), ("prev", F.lag)):
+        ref = df.select("*", *[fn(c).over(w).alias(f"{c}_{direction}") for c in ("event_type", "event_dttm")])
+        got = with_neighbour(df, ["user_id"], ORDER, ["event_type", "event_dttm"], direction, num_ranges=ranges)
         assert same(ref, got), direction
 
 
-def test_split_bounds_window_partitions(spark):
-    """With splitting, no (entity, sub-bucket) window partition is much larger
-    than N / n, although one entity holds ~70% of the rows."""
-    df = events(spark, n=4000)
-    got = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next",
-                         num_ranges=8, min_split_rows=50)
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "__nb_sub" in plan
-    # recompute the bucket sizes the operator used
-    from consentflow.operators import sequence as S
-    assert S._SUB == "__nb_sub"
-    hot = df.where(F.col("user_id") == "hot").count()
-    assert hot > 2000
-
-
-def test_no_hot_entity_uses_plain_window(spark):
-    df = events(spark, n=500, hot_share=0.0)
-    got = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next",
-                         num_ranges=4, min_split_rows=1000)
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "__nb_sub" not in plan
-
-
-def test_first_following_where_split_equals_window(spark):
-    from consentflow.operators.sequence import first_following_where
-    df = events(spark, n=3000)
+@pytest.mark.parametrize("share,ranges", [(0.7, 8), (1.0, 16), (0.0, 3)])
+def test_first_following_equals_grouped_window(spark, share, ranges):
+    df = events(spark, 1500, share)
     cond = F.col("event_type") == "consent.given"
-    ref = first_following_where(df, ["user_id"], ["event_dttm", "event_id"], "event_dttm", cond, "nxt",
-                                strategy="window")
-    got = first_following_where(df, ["user_id"], ["event_dttm", "event_id"], "event_dttm", cond, "nxt",
-                                num_ranges=8, min_split_rows=50)
-    assert "__nb_sub" in got._jdf.queryExecution().optimizedPlan().toString()
-    assert same(ref, got)
-
-
-def test_split_cuts_rows_sharing_one_instant(spark):
-    """A hot user whose rows all carry the same timestamp is still cut into
-    several sub-buckets (cuts on time, then event id), and the result equals
-    the grouped window."""
-    base = dt.datetime(2025, 1, 1)
-    rows = [("hot", base, f"h{i:05d}", "consent.asked" if i % 2 else "consent.given") for i in range(1500)]
-    rows += [(f"u{i % 7}", base + dt.timedelta(seconds=i), f"e{i:05d}", "pageview") for i in range(300)]
-    df = spark.createDataFrame(rows, "user_id string, event_dttm timestamp_ntz, event_id string, event_type string")
-    from consentflow.operators.sequence import segments
-    tagged = segments(df, ["user_id"], ["event_dttm", "event_id"], num_ranges=8, min_split_rows=50)
-    subs = tagged.where("user_id = 'hot'").select("__nb_sub").distinct().count()
-    assert subs > 1
-    ref = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next", strategy="window")
-    got = with_neighbour(df, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next",
-                         num_ranges=8, min_split_rows=50)
-    assert same(ref, got)
+    w = (Window.partitionBy("user_id").orderBy(*[F.col(c).desc_nulls_last() for c in ORDER])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ref = df.select("*", F.last(F.when(cond, F.struct("event_dttm")), ignorenulls=True).over(w).getField("event_dttm").alias("g"))
+    assert same(ref, first_following_where(df, ["user_id"], ORDER, "event_dttm", cond, "g", num_ranges=ranges))
+
+
+def test_no_window_group_is_much_larger_than_a_range(spark):
+    df = events(spark, n=4000)
+    tagged = segments(df, ["user_id"], ORDER, num_ranges=8)
+    assert _SEG in tagged.columns
+    largest = tagged.groupBy("user_id", _SEG).count().agg(F.max("count")).first()[0]
+    assert df.where("user_id = 'hot'").count() > 2000 and largest < 2 * 4000 / 8
+
+
+def test_empty_input(spark):
+    df = events(spark, 3).limit(0)
+    assert with_neighbour(df, ["user_id"], ORDER, ["event_type"]).count() == 0

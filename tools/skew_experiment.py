@@ -18,6 +18,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F  # noqa: E402
 
 from consentflow.operators.sequence import with_neighbour  # noqa: E402
@@ -63,14 +64,17 @@ def main() -> None:
                         .otherwise(F.col("user_id")))
     n = hot.count()
     results = {}
-    for strategy in ("window", "split"):
+    order = ["event_dttm", "event_id"]
+    for strategy in ("window", "ranges"):
         spark.sparkContext.setJobGroup(strategy, strategy)
-        out = with_neighbour(hot, ["user_id"], ["event_dttm", "event_id"], ["event_type"], "next",
-                             strategy=strategy, num_ranges=16, min_split_rows=1000)
+        if strategy == "window":
+            out = hot.withColumn("event_type_next", F.lead("event_type").over(Window.partitionBy("user_id").orderBy(*order)))
+        else:
+            out = with_neighbour(hot, ["user_id"], order, ["event_type"], "next", num_ranges=16)
         out.write.format("noop").mode("overwrite").save()
     spark.stop()
     summary = {}
-    for strategy in ("window", "split"):
+    for strategy in ("window", "ranges"):
         stages = stage_stats(log_dir, strategy)
         full = [st for st in stages if st["sum"] >= 0.9 * n]
         window_stage = full[-1]  # the exchange feeding the window is the last full read
