@@ -6,33 +6,13 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------------------
 # Fixed values. These must equal the values the modelled warehouse uses, so
 # that keys, default rows, filters and labels give identical results.
-#   default string         'n/a'
-#   default integer        0
-#   minimum date           1900-01-01
-#   maximum date           9999-12-31
-#   minimum timestamp      1900-01-01 00:00:00
-#   maximum timestamp      9999-12-31 00:00:00
-#   default json           '{}'
-#   default currency       'EUR'
-#   surrogate-key null     '_dbt_utils_surrogate_key_null_'
-#   surrogate-key joiner   '-'
-#   date spine             2000-01-01 .. 2100-12-31
-#   event types            pageview, consent.asked, consent.given, ui.action
-#   consent statuses       full opt-in, opt-out, partial opt-in, empty
-#   origin labels          consent rows 'fct_event', report rows 'fct_consent',
-#                          country rows 'seed'
-# ---------------------------------------------------------------------------
 DEFAULT_STRING = "n/a"
 DEFAULT_INT = 0
 DATE_MIN = _dt.date(1900, 1, 1)
-DATE_MAX = _dt.date(9999, 12, 31)
 TS_MIN = _dt.datetime(1900, 1, 1)
 TS_MAX = _dt.datetime(9999, 12, 31)
-DEFAULT_JSON = "{}"
-DEFAULT_CURRENCY = "EUR"
 SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 SURROGATE_JOINER = "-"
 DATE_SPINE_START = _dt.date(2000, 1, 1)
@@ -41,7 +21,6 @@ PAGEVIEW = "pageview"
 CONSENT_ASKED = "consent.asked"
 CONSENT_GIVEN = "consent.given"
 UI_ACTION = "ui.action"
-EVENT_TYPES = (PAGEVIEW, CONSENT_ASKED, CONSENT_GIVEN, UI_ACTION)
 CONSENT_STATUSES = ("full opt-in", "opt-out", "partial opt-in", "empty")
 ORIGIN_CONSENT = "fct_event"
 ORIGIN_REPORT = "fct_consent"

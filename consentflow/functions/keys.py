@@ -21,3 +21,8 @@ def surrogate_key(*fields) -> Column:
     parts = [F.coalesce(_as_col(f).cast("string"), F.lit(SURROGATE_NULL_TOKEN)) for f in fields]
     text = parts[0] if len(parts) == 1 else F.concat_ws(SURROGATE_JOINER, *parts)
     return F.md5(text)
+
+
+def random_id() -> Column:
+    """A random (version 4) UUID for each row, as text."""
+    return F.expr("uuid()")

@@ -2,13 +2,13 @@
 
 A batch replaces every target row whose unique key occurs in the batch; the
 batch itself is inserted whole (duplicates inside a batch are not removed,
-use ``duplicate_keys`` as a guard). Writers never overwrite the folder they
-read: a new version folder is written and becomes current only after the
-job committed, so a failed or retried job never leaves a half table.
+use ``duplicate_keys`` as a guard).
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -29,18 +29,6 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def delete_insert_partitions(target: DataFrame, batch: DataFrame, keys: list[str],
-                             partition_col: str) -> DataFrame:
-    """Same result, restricted to the partitions present in the batch: when
-    the key contains the partition value (event and consent keys hash the
-    day), rows never move across partitions (INC-08). On a partitioned file
-    table use ``warehouse.PartitionedTable.key_replace``, which prunes the
-    scan with a static partition filter."""
-    days = batch.select(partition_col).distinct()
-    touched = target.join(days, partition_col, "left_semi")
-    return delete_insert(touched, batch, keys)
-
-
 def append_new_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Union by name; columns missing on either side become null (INC-02)."""
     return target.unionByName(batch, allowMissingColumns=True)
@@ -52,96 +40,108 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- durable tables
+#
+# A Parquet folder is never overwritten from the job that computes the new
+# rows. They are written to a staged copy in the shared folder first; a marker
+# beside the table then records the copy, the table is overwritten from it, and
+# only after that the marker and the copy go. A failure while the rows are
+# computed leaves the table as it was; a failure inside the overwrite leaves the
+# marker, and the next reader or writer finishes it from the copy (``recover``).
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def _marker_dir(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_pending_{name}"
 
-class VersionedTable:
-    """A Parquet table stored as immutable version folders.
-
-    ``<root>/_v=<id>/`` holds one complete version; ``<root>/_CURRENT`` names
-    the committed one. ``write`` stages a new version and switches the pointer
-    only after Spark committed every file. Readers of the old version are
-    unaffected; the lineage of the new version is cut by the write.
-
-    Every write is a full copy, so this suits small tables (dimensions, lookup
-    tables) that need an atomic switch. Large facts keyed by day use
-    ``warehouse.PartitionedTable``, which rewrites only the touched days.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_by = partition_by or []
-
-    def _pointer(self) -> str:
-        return f"{self.root}/_CURRENT"
-
-    def current_version(self) -> str | None:
-        try:
-            rows = self.spark.read.text(self._pointer()).collect()  # one line
-        except Exception:
-            return None
-        return rows[0][0].strip() if rows else None
-
-    def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(f"{self.root}/{v}")
-
-    def write(self, df: DataFrame) -> str:
-        version = f"_v={uuid.uuid4().hex[:12]}"
-        w = df.write.mode("errorifexists")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.root}/{version}")
-        self.spark.createDataFrame([(version,)], "v string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer())
-        return version
-
-    def key_replace(self, batch: DataFrame, keys: list[str]) -> str:
-        """First run: the batch is the table (INC-04). Later runs: delete+insert."""
-        if not self.exists():
-            return self.write(batch)
-        return self.write(delete_insert(self.read(), batch, keys))
-
-    def full_refresh(self, df: DataFrame) -> str:
-        """INC-05: replace everything."""
-        return self.write(df)
-
-
-def partition_replace(df: DataFrame, path: str, partition_col: str) -> None:
-    """Dynamic partition overwrite (INC-08): only the partitions present in
-    ``df`` are replaced. ``df`` must not be read from ``path`` itself unless
-    its lineage was cut first (see ``stage``)."""
-    # rebalance: AQE sizes the write tasks by data volume, splitting a hot
-    # day over several tasks and packing small days together
-    (df.hint("rebalance", partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file and give it its name in one step."""
+    fs, p, jvm = _hadoop(spark, path)
+    temporary = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    out = fs.create(temporary, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(temporary, p):
+        raise OSError(f"cannot name {path}")
+
+
+def _swap(spark: SparkSession, plan: dict) -> None:
+    df = spark.read.parquet(plan["staged"])
+    if plan["partition_by"]:
+        # rebalance: AQE sizes the write tasks by volume, splitting a hot day
+        df = df.hint("rebalance", *plan["partition_by"])
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", plan["mode"])
+    if plan["partition_by"]:
+        writer = writer.partitionBy(*plan["partition_by"])
+    writer.parquet(plan["path"])
+
+
+READ_LEASE_S = 3600
+
+
+def recover(spark: SparkSession, path: str, min_age_s: float = 0) -> int:
+    """Finish overwrites of ``path`` that broke off; how many there were. A
+    table has one writer at a time, which recovers at once; readers leave
+    markers younger than ``min_age_s`` to a writer that may be at work."""
+    folder = _marker_dir(path)
+    fs, p, jvm = _hadoop(spark, folder)
+    if not fs.exists(p):
+        return 0
+    markers = sorted(str(s.getPath()) for s in fs.listStatus(p) if s.getPath().getName().endswith(".json")
+                     and time.time() - s.getModificationTime() / 1000 >= min_age_s)
+    for marker in markers:
+        lines = spark.read.text(marker).collect()  # one line
+        plan = json.loads(lines[0][0])
+        _swap(spark, plan)
+        delete_path(spark, marker)
+        delete_path(spark, plan["staged"])
+    return len(markers)
+
+
+def replace_rows(df: DataFrame, path: str, partition_by: list[str] | None = None, dynamic: bool = False) -> None:
+    """Overwrite the table at ``path`` (only the partitions in ``df`` when
+    ``dynamic``) so that no failure loses rows. ``df`` may read the table."""
+    spark = df.sparkSession
+    recover(spark, path)
+    staged_path = scratch_path(spark, f"stage/replace-{uuid.uuid4().hex[:12]}")
+    try:
+        df.write.mode("errorifexists").parquet(staged_path)
+    except BaseException:
+        delete_path(spark, staged_path)
+        raise
+    plan = {"path": path, "staged": staged_path, "partition_by": partition_by or [],
+            "mode": "dynamic" if dynamic else "static"}
+    marker = f"{_marker_dir(path)}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}.json"
+    _put(spark, marker, json.dumps(plan))
+    _swap(spark, plan)  # after a failure here the marker and the copy stay
+    delete_path(spark, marker)
+    delete_path(spark, staged_path)
 
 
 @contextmanager
 def staged(df: DataFrame, name: str):
-    """``stage`` for the duration of a block; the staged copy is deleted
-    afterwards. Safe for key replacement: the merge is idempotent, so a rerun
-    after a failure recomputes it from the table and the batch."""
+    """``df`` written to the shared folder for the duration of a block."""
     spark = df.sparkSession
     path = scratch_path(spark, f"stage/{name}-{uuid.uuid4().hex[:8]}")
-    df.write.mode("errorifexists").parquet(path)
     try:
+        df.write.mode("errorifexists").parquet(path)
         yield spark.read.parquet(path)
     finally:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder and read it back:
-    cuts lineage so a later overwrite of the source is safe and a lost
-    executor does not recompute the whole chain."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"stage/{name}-{uuid.uuid4().hex[:8]}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+        delete_path(spark, path)

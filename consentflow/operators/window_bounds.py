@@ -58,12 +58,6 @@ class LoadWindow:
         hi = F.date_add(self.end_col(), 1).cast("timestamp_ntz")
         return (c >= lo) & (c < hi)
 
-    def days(self, spark) -> list[_dt.date]:
-        """The window's calendar days (bounds resolved once on the driver: a
-        one-row query), for static partition pruning."""
-        lo, hi = spark.range(1).select(self.start_col(), self.end_col()).first()
-        return [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-
     def on_date(self, col) -> Column:
         c = F.col(col) if isinstance(col, str) else col
         return (c >= self.start_col()) & (c <= self.end_col())

@@ -27,24 +27,33 @@ def check_not_empty(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") == 0)
 
 
+def report_violations(df: DataFrame, key: str, count: str) -> dict[str, int]:
+    """Numbers of violating rows of the standing checks, from one aggregate."""
+    k = F.col(key)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(count) <= 0, 1)).alias("low"))
+    r = per_key.agg(F.count(F.when(k.isNotNull() & (F.col("n") > 1), 1)).alias("twice"), F.sum(F.when(k.isNull(), F.col("n"))).alias("none"),
+                    F.sum("low").alias("low"), F.sum("n").alias("n")).first()
+    return {f"unique_{key}": r.twice, f"not_null_{key}": r.none or 0, f"is_positive_{count}": r.low or 0,
+            "not_empty_consent_company_day": 0 if r.n else 1}
+
+
 def check_expected(df: DataFrame, key: dict, col: str, expected) -> DataFrame:
     """Rows for ``key`` whose ``col`` differs from ``expected`` (CHK-05), plus
     one row when the key is missing or duplicated (the plain test passes
     vacuously on a missing row, trap D23)."""
-    cond = None
-    for k, v in key.items():
-        c = F.col(k) == F.lit(v)
-        cond = c if cond is None else cond & c
-    rows = df.where(cond)
-    keycols = list(key)
-    wrong = rows.where(~(F.col(col) == F.lit(expected))).select(
-        *keycols, F.col(col).cast("double").alias("actual"), F.lit("mismatch").alias("problem"))
-    n = rows.agg(F.count(F.lit(1)).alias("n"))
-    cardinality = n.where(F.col("n") != 1).select(
-        *[F.lit(v).alias(k) for k, v in key.items()],
-        F.lit(None).cast("double").alias("actual"),
-        F.when(F.col("n") == 0, "missing").otherwise("duplicate").alias("problem"))
-    return wrong.unionByName(cardinality)
+    spark = df.sparkSession
+    wanted = spark.range(1).select(*[F.lit(v).alias(k) for k, v in key.items()], F.lit(expected).cast("double").alias("expected"))
+    return check_expected_values(df, wanted, list(key), col)
+
+
+def check_expected_values(df: DataFrame, wanted: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """The same for a table of expected values: one join, one aggregate."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.first(F.col(col)).cast("double").alias("actual"))
+    j = wanted.join(found, keys, "left")
+    problem = (F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "duplicate")
+               .when(~F.col("actual").eqNullSafe(F.col("expected")), "mismatch"))
+    return j.select(*keys, F.when(F.col("n") == 1, F.col("actual")).alias("actual"), problem.alias("problem")).where(
+        F.col("problem").isNotNull())
 
 
 def reconcile_raw_report(raw: DataFrame, report: DataFrame) -> DataFrame:

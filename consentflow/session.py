@@ -56,8 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     Read ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    folder there). Only when it is unset -- local tests -- a scratch folder is
-    created and registered.
+    folder there). Only when it is unset in a local session -- tests -- a scratch
+    folder is created and registered; elsewhere that is an error, because a
+    folder of one machine would not be seen by the others.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -68,6 +69,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="consentflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:

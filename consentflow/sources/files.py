@@ -2,15 +2,61 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consentflow.sources.schemas import COUNTRY_SEED_SCHEMA, RAW_COMPANY_SCHEMA
+from consentflow.sources.schemas import COUNTRY_SEED_SCHEMA, LINEAGE_COLUMNS, RAW_COMPANY_SCHEMA
+
+
+def expand(spark: SparkSession, paths) -> list[str]:
+    """Files behind paths, globs and folders."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in [paths] if isinstance(paths, str) else list(paths):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        found = list(fs.globStatus(p) or [])
+        if not found:
+            raise FileNotFoundError(path)
+        for s in found:
+            inside = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+            out += [str(f.getPath()) for f in inside if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return out
 
 
-def read_events_csv(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
-    """Event CSVs: header, quoted multi-line JSON with doubled quotes.
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The column names in a CSV file's first line (nothing else is read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    opened = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    stream = codec.createInputStream(opened) if codec is not None else opened
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        opened.close()
+    return tuple(next(csv.reader([line]), ())) if line else ()
+
+
+def header_groups(spark: SparkSession, paths, threads: int = 16) -> list[list[str]]:
+    """Files by equal header: Spark's reader takes the header of one file for
+    all the files of a scan, so files that differ need scans of their own."""
+    files = expand(spark, paths)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        headers = list(pool.map(lambda f: header_of(spark, f), files))
+    groups: dict[tuple, list[str]] = {}
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
+    return [groups[h] for h in sorted(groups)]
+
+
+def csv_scans(spark: SparkSession, paths, schema: T.StructType | None = None) -> list[DataFrame]:
+    """One scan for each header among event CSVs: quoted multi-line JSON with
+    doubled quotes.
 
     ``escape='"'`` is required: with the default backslash escape a field such
     as ``"{""a"": 1}"`` is split. With a ``schema`` the columns are matched by
@@ -18,12 +64,27 @@ def read_events_csv(spark: SparkSession, paths, schema: T.StructType | None = No
     position): fields are read as text and cast to the schema's types, absent
     ones are null (trap D13). Under ANSI a value that does not cast fails the
     job, so the loader records the file as failed. ``inferSchema`` only when no
-    schema is given (reads the data twice)."""
+    schema is given (reads the data twice). A file is one task: a quoted field
+    may hold line feeds."""
     r = (spark.read.option("header", True).option("multiLine", True)
          .option("escape", '"').option("quote", '"').option("mode", "FAILFAST"))
     if schema is None:
-        return r.option("inferSchema", True).csv(paths)
-    return by_name(r.csv(paths), schema)  # every column read as text, named by the header
+        return [r.option("inferSchema", True).csv(g) for g in header_groups(spark, paths)]
+    return [by_name(r.csv(g), schema) for g in header_groups(spark, paths)]  # every column read as text
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    if not parts:
+        raise ValueError("no input files")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def read_events_csv(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
+    """Event CSVs, columns matched by name across files (see ``csv_scans``)."""
+    return _union(csv_scans(spark, paths, schema))
 
 
 def by_name(text: DataFrame, schema: T.StructType) -> DataFrame:
@@ -56,21 +117,17 @@ def read_any(spark: SparkSession, paths, schema: T.StructType | None = None,
     With ``load_no`` the lineage columns are attached to each scan before the
     union (the file-name metadata column exists only on a scan)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    csv = [p for p in paths if p.lower().endswith(".csv")]
+    if schema is not None and load_no is not None:  # the load itself adds these
+        added = {n.lower() for n, _ in LINEAGE_COLUMNS}
+        schema = T.StructType([f for f in schema.fields if f.name.lower() not in added])
+    text = [p for p in paths if p.lower().endswith(".csv")]
     pq = [p for p in paths if not p.lower().endswith(".csv")]
-    parts = []
-    if csv:
-        parts.append(read_events_csv(spark, csv, schema))
+    parts = csv_scans(spark, text, schema) if text else []
     if pq:
         parts.append(read_events_parquet(spark, pq, schema))
-    if not parts:
-        raise ValueError("no input files")
     if load_no is not None:
         parts = [with_lineage(p, load_no) for p in parts]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return _union(parts)
 
 
 def with_lineage(df: DataFrame, load_no: str) -> DataFrame:
@@ -82,8 +139,8 @@ def with_lineage(df: DataFrame, load_no: str) -> DataFrame:
 
 def read_company_csv(spark: SparkSession, paths) -> DataFrame:
     """Company reference CSV, columns matched by header name."""
-    return by_name(spark.read.option("header", True).option("escape", '"').csv(paths),
-                   RAW_COMPANY_SCHEMA)
+    r = spark.read.option("header", True).option("escape", '"')
+    return _union([by_name(r.csv(g), RAW_COMPANY_SCHEMA) for g in header_groups(spark, paths)])
 
 
 def read_country_seed(spark: SparkSession, path: str) -> DataFrame:

@@ -14,6 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from consentflow.operators.incremental import path_exists
 from consentflow.sources.schemas import LEDGER_SCHEMA
 
 FILE_KEY = ["filename", "modification_time", "length"]
@@ -35,10 +36,22 @@ def list_files(spark: SparkSession, pattern: str, recursive: bool = False) -> Da
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception:  # no ledger yet
+    """The ledger; empty when there is none yet. Any other error is one."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def current_rows(rows: DataFrame, ledger: DataFrame, table_name: str) -> DataFrame:
+    """``rows`` without those of superseded loads: a file that changed is loaded
+    anew (other time or size) and its earlier load no longer counts. Rows carry
+    the file's base name and load number; only loads of changed files take part,
+    so the anti join's right side holds as many rows as files were replaced."""
+    done = ledger.where((F.col("status") == "loaded") & (F.col("table_name") == table_name))
+    newest = done.groupBy("filename").agg(F.max(F.struct("load_time", "load_no")).alias("last"))
+    old = done.join(newest, "filename").where(F.col("load_no") != F.col("last.load_no")).select(
+        F.element_at(F.split("filename", "/"), -1).alias("__file"), F.col("load_no").alias("__load")).distinct()
+    return rows.join(old, (rows["filename"] == old["__file"]) & (rows["load_no"] == old["__load"]), "left_anti")
 
 
 def new_files(candidates: DataFrame, ledger: DataFrame, table_name: str,
@@ -62,4 +75,4 @@ def ledger_rows(spark: SparkSession, files: list[tuple], table_name: str, load_n
 
 def append_ledger(df: DataFrame, path: str) -> None:
     """SRC-10: append this run's per-file rows."""
-    df.coalesce(1).write.mode("append").parquet(path)
+    df.write.mode("append").parquet(path)

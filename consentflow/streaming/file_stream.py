@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from consentflow.operators.incremental import staged
 from consentflow.plans import mart, staging
 
 
@@ -66,42 +67,41 @@ def stream_upsert_events(spark: SparkSession, source_dir: str, schema: T.StructT
 
 
 def stream_consent_daily(spark: SparkSession, source_dir: str, schema: T.StructType,
-                         table_path: str, checkpoint: str, lateness: str = "2 days",
-                         fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
-    """Company × day consent fact maintained by a watermarked streaming
-    aggregation: raw files → staged events → per (company, event day) sums in
-    Spark's state store (partial aggregation before the shuffle) → each
-    micro-batch's updated company-days key-replaced into the fact (update
-    mode + ``foreachBatch``). Events later than ``lateness`` behind the
-    watermark are left to a batch backfill (``Warehouse.build(window)``).
-
-    Event times are UTC wall-clock ``timestamp_ntz``; the watermark needs an
-    instant, derived without the session time zone. The state store has
-    ``spark.sql.shuffle.partitions`` partitions, fixed in the checkpoint at the
-    first start (AQE does not resize streaming state): size it to the number
-    of company-days kept in state, not to the raw volume."""
-    from consentflow.functions import conversion_rate, micros_between
+                         table_path: str, checkpoint: str, fmt: str = "parquet",
+                         max_files_per_trigger: int | None = None) -> int:
+    """Company × day consent fact kept up to date from a stream of raw files.
+
+    Events may come late by any time, repeat, or have no event time: nothing is
+    held against a watermark. Each micro-batch's events go to an event store
+    beside the fact, partitioned by event day and micro-batch (a replayed
+    micro-batch replaces its own folders), and the days it touches -- the null
+    day too -- are computed anew from the store and replaced in the fact. The
+    work of a micro-batch follows the days it touches, its state is a table."""
     from consentflow.warehouse import PartitionedTable  # avoid an import cycle
 
-    table = PartitionedTable(spark, table_path, "event_dt")
-    raw = read_event_files(spark, source_dir, schema, fmt, max_files_per_trigger).select(
-        "*", F.current_timestamp().alias("load_time"), F.lit("stream").alias("load_no"),
-        F.col("_metadata.file_name").alias("filename"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    ev = (mart.fct_event(staging.stg_event(raw))
-          .withColumn("event_ts", F.timestamp_micros(micros_between(epoch, "event_dttm")))
-          .withWatermark("event_ts", lateness))
-    totals = ev.groupBy("company_id", F.window("event_ts", "1 day").alias("day")) \
-        .agg(*staging.consent_measures())
+    fact = PartitionedTable(spark, table_path, "event_dt")
+    store = f"{table_path.rstrip('/')}_events"
+    src = read_event_files(spark, source_dir, schema, fmt, max_files_per_trigger).select(
+        "*", F.col("_metadata.file_name").alias("filename"))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("day.start")) / 86400).cast("int"))
-        m = batch.withColumn("event_dt", day).drop("day").withColumn(
-            "consent_conversion_rate",
-            conversion_rate("event_consent_given_count", "event_consent_asked_count"))
-        table.key_replace(mart.fct_consent(staging.key_consent(m)), ["consent_uq"])
-
-    q = (totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(upsert).trigger(availableNow=True).start())
+        raw = batch.select(*[c for c in batch.columns if c != "filename"],
+                           F.current_timestamp().alias("load_time"), F.lit(f"epoch-{epoch_id}").alias("load_no"), "filename")
+        events = mart.fct_event(staging.stg_event(raw)).withColumns(
+            {"event_dt": F.to_date("event_dttm"), "epoch": F.lit(f"e{epoch_id}")})
+        with staged(events, "epoch") as events:
+            days = [r[0] for r in events.select("event_dt").distinct().collect()]  # one row a day
+            if not days:
+                return
+            (events.hint("rebalance", "event_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_dt", "epoch").parquet(store))
+            stored = spark.read.schema(events.schema).parquet(store)
+        here = F.col("event_dt").isin([d for d in days if d is not None])
+        if None in days:
+            here = here | F.col("event_dt").isNull()
+        fact.partition_replace(mart.fct_consent(staging.stg_consent(stored.where(here))))
+
+    q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(q.recentProgress)

@@ -16,26 +16,27 @@ window (not persisted, trap D16); each fact receives only the batch. Every
 key in the facts embeds the day (``event_uq = md5(event_id-day)``,
 ``consent_uq = md5(company-day)``), so a batch can only replace rows of the
 days it contains: only those partitions are read (static partition filter
-on the window's days), merged and rewritten (dynamic partition overwrite,
-INC-08). Merged partitions are first staged in
-the shared checkpoint folder, so the overwrite never reads the folder it
-writes and a lost executor recomputes from the staged copy.
+on the batch's days), merged and rewritten (dynamic partition overwrite,
+INC-08). Every overwrite goes through a staged copy and a marker
+(``incremental.replace_rows``), so no failure leaves a table without its rows.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from consentflow.operators import incremental
 from consentflow.operators.window_bounds import LoadWindow
 from consentflow.plans import checks, mart, report, staging
-from consentflow.sources import files, ingest as ing
+from consentflow.sources import files, ingest as ing, ledger as led
 
 RAW_EVENT_DATE = "EVENT_DATE"
 
@@ -44,13 +45,6 @@ class DataCheckError(AssertionError):
     """A data check returned violating rows."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 class PartitionedTable:
     """A Parquet table partitioned by one date column with key replacement
     restricted to the partitions present in a batch."""
@@ -58,42 +52,75 @@ class PartitionedTable:
     def __init__(self, spark: SparkSession, path: str, partition_col: str):
         self.spark, self.path, self.partition_col = spark, path.rstrip("/"), partition_col
 
+    @property
+    def _schema_path(self) -> str:
+        parent, _, name = self.path.rpartition("/")
+        return f"{parent}/_schema_{name}"
+
     def exists(self) -> bool:
-        return _exists(self.spark, f"{self.path}/_SUCCESS") or _exists(self.spark, self.path)
+        incremental.recover(self.spark, self.path)
+        return incremental.path_exists(self.spark, self.path)
+
+    def schema(self) -> T.StructType | None:
+        """The table's columns, kept beside it by every write: reading needs
+        no file footer, whatever the number of days."""
+        if not incremental.path_exists(self.spark, self._schema_path):
+            return None
+        lines = self.spark.read.text(self._schema_path).orderBy("value").collect()  # one per write that added a column
+        return T.StructType.fromJson(json.loads(lines[-1][0].split("\t", 1)[1]))
+
+    def _keep_schema(self, df: DataFrame, replace: bool) -> T.StructType:
+        known = None if replace else self.schema()
+        fields = list(known.fields) if known else []
+        names = {f.name for f in fields}
+        fields += [T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in names]
+        found = T.StructType(fields)
+        if known is None or len(found) > len(known):
+            incremental._put(self.spark, f"{self._schema_path}/{time.time_ns():020d}.txt", f"{time.time_ns():020d}\t{found.json()}")
+        return found
 
     def read(self) -> DataFrame:
         """Partitions written before a model gained a column lack it
-        (append_new_columns, INC-02): footers are merged so such columns read
-        as null in old partitions instead of depending on which file is seen
-        first."""
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        (append_new_columns, INC-02): the kept schema reads them as null."""
+        incremental.recover(self.spark, self.path, incremental.READ_LEASE_S)
+        schema = self.schema()
+        if schema is None:  # a table of an older layout
+            return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def overwrite(self, df: DataFrame) -> None:
-        """Full refresh (INC-05): static overwrite of the whole table."""
-        (df.hint("rebalance", self.partition_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(self.partition_col).parquet(self.path))
+        """Full refresh (INC-05): the whole table is replaced."""
+        incremental.replace_rows(df, self.path, [self.partition_col])
+        self._keep_schema(df, replace=True)
 
-    def key_replace(self, batch: DataFrame, keys: list[str], days: list | None = None) -> None:
+    def key_replace(self, batch: DataFrame, keys: list[str]) -> None:
         """Replace the rows of ``batch``'s keys, touching only its partitions.
 
-        The partitions are selected statically (``col IN (days)``), so the
-        scan lists and reads only those folders; dynamic partition pruning
-        is not reliable for a semi join against a derived batch. ``days`` is
-        passed by callers that know the load window; otherwise the batch is
-        staged once and its distinct partition values (one per day) are read."""
+        The batch is staged once and its distinct partition values -- one per
+        day, the null day too -- select the partitions statically, so the scan
+        lists and reads only those folders."""
         if not self.exists():
             self.overwrite(batch)  # first run: the batch is the table (INC-04)
             return
-        with ExitStack() as stack:
-            if days is None:
-                batch = stack.enter_context(incremental.staged(batch, "batch"))
-                days = [r[0] for r in batch.select(self.partition_col).distinct().collect()]
+        with incremental.staged(batch, "batch") as batch:
+            days = [r[0] for r in batch.select(self.partition_col).distinct().collect()]
             if not days:
                 return
-            current = self.read().where(F.col(self.partition_col).isin(list(days)))
-            merged = incremental.delete_insert(current, batch, keys)
-            with incremental.staged(merged, "merge") as m:
-                incremental.partition_replace(m, self.path, self.partition_col)
+            col = F.col(self.partition_col)
+            here = col.isin([d for d in days if d is not None])
+            if None in days:
+                here = here | col.isNull()
+            merged = incremental.delete_insert(self.read().where(here), batch, keys)
+            incremental.replace_rows(merged, self.path, [self.partition_col], dynamic=True)
+            self._keep_schema(merged, replace=False)
+
+    def partition_replace(self, df: DataFrame) -> None:
+        """Replace whole partitions by the rows of ``df``."""
+        if not self.exists():
+            self.overwrite(df)
+            return
+        incremental.replace_rows(df, self.path, [self.partition_col], dynamic=True)
+        self._keep_schema(df, replace=False)
 
 
 @dataclass
@@ -106,6 +133,7 @@ class Warehouse:
 
     def read(self, layer: str, name: str) -> DataFrame:
         """``ref()`` / ``source()`` (SRC-18)."""
+        incremental.recover(self.spark, self.path(layer, name), incremental.READ_LEASE_S)
         return self.spark.read.parquet(self.path(layer, name))
 
     # ----------------------------------------------------------------- load
@@ -127,8 +155,12 @@ class Warehouse:
 
     def seed_countries(self, csv_path: str) -> None:
         """SRC-05: the country seed, replaced on every seed run."""
-        files.read_country_seed(self.spark, csv_path).write.mode("overwrite") \
-            .parquet(self.path("raw", "countries"))
+        incremental.replace_rows(files.read_country_seed(self.spark, csv_path), self.path("raw", "countries"))
+
+    def raw_events(self) -> DataFrame:
+        """Loaded raw events; of a file that was loaded again after a change,
+        the newest load alone."""
+        return led.current_rows(self.read("raw", "events"), led.read_ledger(self.spark, self.path("raw", "_ledger")), "events")
 
     # ----------------------------------------------------------------- build
 
@@ -144,7 +176,7 @@ class Warehouse:
         their jobs side by side."""
         spark = self.spark
         run_id = run_id or uuid.uuid4().hex
-        raw_events = self.read("raw", "events")
+        raw_events = self.raw_events()
         done = {}
 
         # dimensions: full rebuild, concurrently
@@ -154,7 +186,7 @@ class Warehouse:
             "dim_date": mart.build_dim_date(spark, run_id),
         }
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            futures = {name: pool.submit(df.write.mode("overwrite").parquet, self.path("mart", name))
+            futures = {name: pool.submit(incremental.replace_rows, df, self.path("mart", name))
                        for name, df in dims.items()}
             for name, fut in futures.items():
                 fut.result()
@@ -171,9 +203,8 @@ class Warehouse:
             raw_events = raw_events.where(w.on_date(RAW_EVENT_DATE))  # partition pruning
         batch = mart.fct_event(staging.stg_event(raw_events, w, run_id)) \
             .withColumn("event_dt", F.to_date("event_dttm"))
-        days = w.days(spark) if w is not None else None
         if incremental_run:
-            fct_event_t.key_replace(batch, ["event_uq"], days)
+            fct_event_t.key_replace(batch, ["event_uq"])
         else:
             fct_event_t.overwrite(batch)
         done["fct_event"] = "key-replaced" if incremental_run else "full"
@@ -184,7 +215,7 @@ class Warehouse:
             fct_event = fct_event.where(w.on_date("event_dt"))
         consent_batch = mart.fct_consent(staging.stg_consent(fct_event, w, run_id))
         if incremental_run:
-            fct_consent_t.key_replace(consent_batch, ["consent_uq"], days)
+            fct_consent_t.key_replace(consent_batch, ["consent_uq"])
         else:
             fct_consent_t.overwrite(consent_batch)
         done["fct_consent"] = done["fct_event"]
@@ -194,7 +225,7 @@ class Warehouse:
                                          self.read("mart", "dim_date"), w, run_id,
                                          keep_unmatched=keep_unmatched)
         if incremental_run:
-            report_t.key_replace(rep, ["consent_uq"], days)
+            report_t.key_replace(rep, ["consent_uq"])
         else:
             report_t.overwrite(rep)
         done["consent_company_day"] = done["fct_event"]
@@ -208,12 +239,7 @@ class Warehouse:
         violating rows (0 = pass). With ``raise_on_failure`` a failing check
         raises (every check has error severity), listing all failures."""
         rep = self.read("report", "consent_company_day")
-        out = {
-            "unique_consent_uq": checks.check_unique(rep, "consent_uq").count(),
-            "not_null_consent_uq": checks.check_not_null(rep, "consent_uq").count(),
-            "is_positive_event_count": checks.check_positive(rep, "event_count").count(),
-            "not_empty_consent_company_day": checks.check_not_empty(rep).count(),
-        }
+        out = checks.report_violations(rep, "consent_uq", "event_count")
         for i, (key, col, value) in enumerate(expected or []):
             out[f"expected_{i}"] = checks.check_expected(rep, key, col, value).count()
         failed = {k: v for k, v in out.items() if v}

@@ -36,15 +36,15 @@ def test_not_empty(spark):
 
 def test_expected_value_mismatch_missing_duplicate(spark):
     key = {"company_id": "c", "date_day": D}
-    good = rep(spark, [("a", "c", D, 64937.0)])
-    assert checks.check_expected(good, key, "event_count", 64937).count() == 0
-    wrong = rep(spark, [("a", "c", D, 64936.0)])
-    assert [r.problem for r in checks.check_expected(wrong, key, "event_count", 64937).collect()] == ["mismatch"]
+    good = rep(spark, [("a", "c", D, 4321.0)])
+    assert checks.check_expected(good, key, "event_count", 4321).count() == 0
+    wrong = rep(spark, [("a", "c", D, 4320.0)])
+    assert [r.problem for r in checks.check_expected(wrong, key, "event_count", 4321).collect()] == ["mismatch"]
     # trap D23: the plain test passes on a missing row; ours reports it
     missing = rep(spark, [("a", "other", D, 1.0)])
-    assert [r.problem for r in checks.check_expected(missing, key, "event_count", 64937).collect()] == ["missing"]
-    dup = rep(spark, [("a", "c", D, 64937.0), ("b", "c", D, 64937.0)])
-    assert [r.problem for r in checks.check_expected(dup, key, "event_count", 64937).collect()] == ["duplicate"]
+    assert [r.problem for r in checks.check_expected(missing, key, "event_count", 4321).collect()] == ["missing"]
+    dup = rep(spark, [("a", "c", D, 4321.0), ("b", "c", D, 4321.0)])
+    assert [r.problem for r in checks.check_expected(dup, key, "event_count", 4321).collect()] == ["duplicate"]
 
 
 def test_reconcile_tolerates_rounding_only(spark):
