@@ -9,18 +9,22 @@ update stamps, load stamps) is dropped and decimals are exposed as doubles.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consentflow.functions import surrogate_key
+from consentflow.functions import random_id, surrogate_key
 from consentflow.operators import incremental
+from consentflow.operators.sequence import with_neighbour
 from consentflow.operators.window_bounds import LoadWindow
-from consentflow.plans import analysis, checks, mart, staging
+from consentflow.plans import analysis, checks, mart, report, staging
 from consentflow.plans.graph import ModelGraph
-from consentflow.sources import roundtrip
+from consentflow.session import scratch_path
+from consentflow.sources import driver_tables, roundtrip
+from consentflow.warehouse import PartitionedTable
 
 VOLATILE = ("run_id", "ingest_dttm", "update_dttm", "load_time", "load_no")
 # 9999-12-31 lies outside some clients' nanosecond timestamps: compared as text
@@ -28,9 +32,6 @@ VALIDITY_BOUNDS = ("valid_from", "valid_to")
 
 # Backfill window used by the incremental queries (whole days, inclusive).
 BACKFILL = LoadWindow(_dt.date(2024, 1, 10), _dt.date(2024, 1, 12))
-# Expected-value check fixture: company '0' on 2024-01-05 (sf0.01 value).
-EXPECTED_KEY = {"company_id": "0", "date_day": _dt.date(2024, 1, 5)}
-EXPECTED_EVENT_COUNT = 739.0
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -53,20 +54,10 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_GRAPHS: dict = {}
-
-
 def _g(spark, sf_dir, window=None) -> ModelGraph:
-    """One lazy model graph per (session, input directory): queries share the
-    already built raw → staging → mart plans instead of rebuilding them
-    (plan construction costs thousands of JVM calls per model chain)."""
-    key = (id(spark._jsparkSession), sf_dir, window)
-    g = _GRAPHS.get(key)
-    if g is None or g.spark is not spark:
-        if len(_GRAPHS) > 16:
-            _GRAPHS.clear()
-        g = _GRAPHS[key] = ModelGraph(spark, sf_dir, window)
-    return g
+    """The lazy model graph over one input directory, built for each call: the
+    files are listed anew, so a changed input shows in the next result."""
+    return ModelGraph(spark, sf_dir, window)
 
 
 def _q(build: Callable[[ModelGraph], DataFrame]):
@@ -89,10 +80,86 @@ def _delete_insert(g: ModelGraph) -> DataFrame:
 
 
 def _schema_drift(g: ModelGraph) -> DataFrame:
-    old = ModelGraph(g.spark, g.sf_dir, LoadWindow(_dt.date(2000, 1, 1), _dt.date(2024, 1, 9)))
-    new = ModelGraph(g.spark, g.sf_dir, LoadWindow(_dt.date(2024, 1, 10), _dt.date(2100, 12, 31)))
-    target = old.fct_event.drop("parameters")
-    return incremental.append_new_columns(target, new.fct_event)
+    """Events before a day were stored without ``parameters``; all others,
+    events without a time too, have it."""
+    before = F.col("event_dttm") < F.lit(_dt.datetime(2024, 1, 10)).cast("timestamp_ntz")
+    old, new = g.fct_event.where(before), g.fct_event.where(~F.coalesce(before, F.lit(False)))
+    return incremental.append_new_columns(old.drop("parameters"), new)
+
+
+def _key_replace_changed(g: ModelGraph) -> DataFrame:
+    """A stored fact with a null day, key-replaced by a batch that changes
+    values, repeats keys, adds keys and has rows of the null day."""
+    day = F.when(F.col("company_id") != "3", F.col("event_dt"))
+    target = g.fct_consent.select("consent_uq", "company_id", day.alias("event_dt"), "event_count")
+    days = target.where(F.col("event_dt").between(BACKFILL.start, BACKFILL.end))
+    batch = (days.withColumn("event_count", F.col("event_count") * 2)
+             .unionByName(days.where("company_id = '1'").withColumn("event_count", F.col("event_count") + 1))
+             .unionByName(days.withColumn("consent_uq", F.concat("consent_uq", F.lit("-new"))))
+             .unionByName(target.where("event_dt IS NULL AND consent_uq < '8'").withColumn("event_count", F.lit(-1.0))))
+    base = scratch_path(g.spark, f"roundtrip/replace-{uuid.uuid4().hex[:10]}")
+    try:
+        table = PartitionedTable(g.spark, f"{base}/fact", "event_dt")
+        table.overwrite(target)
+        table.key_replace(batch, ["consent_uq"])
+        return table.read().checkpoint()
+    finally:
+        incremental.delete_path(g.spark, base)
+
+
+def _hot_user(g: ModelGraph) -> DataFrame:
+    """Next events where one user holds three of five events."""
+    e = g.fct_event.select("event_id", "event_dttm", "event_type",
+                           F.when(F.col("event_id").cast("long") % 5 < 3, "hot").otherwise(F.col("user_id")).alias("user_id"))
+    return with_neighbour(e, ["user_id"], ["event_dttm", "event_id"], ["event_id", "event_type"], "next")
+
+
+def _versioned(g: ModelGraph) -> DataFrame:
+    """Company members with an ended, a current and a future version; two
+    companies have no current one."""
+    d = g.dim_company
+    ts = lambda y: F.lit(_dt.datetime(y, 1, 1)).cast("timestamp_ntz")
+    ended = d.withColumns({"valid_to": ts(2000), "industry_front": F.lit("ended")})
+    future = d.withColumns({"valid_from": ts(2200), "industry_front": F.lit("future")})
+    return ended.unionByName(d.where(~F.col("company_id").isin("4", "7"))).unionByName(future)
+
+
+def _report_versions(g: ModelGraph, keep: bool) -> DataFrame:
+    return report.consent_company_day(g.fct_consent, _versioned(g), g.dim_date, keep_unmatched=keep)
+
+
+def _calendar_orders(g: ModelGraph) -> DataFrame:
+    """Every day between the first and the last order, and the default member,
+    with its calendar attributes and number of orders."""
+    orders = driver_tables.table(g.spark, g.sf_dir, "orders").select(F.to_date("o_orderdate").alias("date_day"))
+    lo, hi = orders.agg(F.min("date_day"), F.max("date_day")).first()
+    cal = mart.dim_date(staging.stg_date(g.spark, lo, hi))
+    n = orders.groupBy("date_day").agg(F.count(F.lit(1)).alias("order_count"))
+    return cal.join(n, "date_day", "left").withColumn("order_count", F.coalesce("order_count", F.lit(0)))
+
+
+def _broken_report(g: ModelGraph) -> DataFrame:
+    """The report without company 2, with company 9 twice and company 3 doubled."""
+    r = g.consent_company_day.where("company_id <> '2'")
+    r = r.withColumn("event_count", F.when(F.col("company_id") == "3", F.col("event_count") * 2).otherwise(F.col("event_count")))
+    return r.unionByName(r.where("company_id = '9'"))
+
+
+def _expected(g: ModelGraph) -> DataFrame:
+    """The report's expected counts: the fact's."""
+    return g.fct_consent.select("company_id", F.col("event_dt").alias("date_day"), F.col("event_count").alias("expected"))
+
+
+def _negative(g: ModelGraph) -> DataFrame:
+    r = g.consent_company_day
+    return r.withColumn("event_count", F.when(F.col("company_id") == "5", -F.col("event_count")).otherwise(F.col("event_count")))
+
+
+def _uuids(g: ModelGraph) -> DataFrame:
+    """A random id for every event (FN-23): all of one form, none twice."""
+    ids = g.raw_events.select(random_id().alias("id"))
+    ok = F.rlike("id", F.lit("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"))
+    return ids.agg(F.count(F.lit(1)).alias("event_rows"), F.countDistinct("id").alias("distinct_ids"), F.count(F.when(ok, 1)).alias("well_formed"))
 
 
 def _pending_days(g: ModelGraph) -> DataFrame:
@@ -186,11 +253,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_consent_daily": _q(_stream_consent),
     # checks
     "check_unique": _q(lambda g: checks.check_unique(g.consent_company_day, "consent_uq")),
-    "check_not_null": _q(lambda g: checks.check_not_null(g.consent_company_day, "consent_uq")),
+    "check_not_null": _q(lambda g: checks.check_not_null(g.stg_company, "hq_country").select("company_id", "industry_front")),
     "check_positive": _q(lambda g: checks.check_positive(g.consent_company_day, "event_count")),
     "check_not_empty": _q(lambda g: checks.check_not_empty(g.consent_company_day)),
-    "check_expected": _q(lambda g: checks.check_expected(
-        g.consent_company_day, EXPECTED_KEY, "event_count", EXPECTED_EVENT_COUNT)),
+    "check_expected": _q(lambda g: checks.check_expected_values(
+        g.consent_company_day, _expected(g), ["company_id", "date_day"], "event_count")),
     "reconcile_raw_report": _q(lambda g: checks.reconcile_raw_report(g.raw_events,
                                                                      g.consent_company_day)),
+    # checks on rows that break them
+    "violations_unique": _q(lambda g: checks.check_unique(_broken_report(g), "consent_uq")),
+    "violations_positive": _q(lambda g: checks.check_positive(_negative(g), "event_count")),
+    "violations_not_empty": _q(lambda g: checks.check_not_empty(g.consent_company_day.where("company_id = 'none'"))),
+    "violations_expected": _q(lambda g: checks.check_expected_values(
+        _broken_report(g), _expected(g), ["company_id", "date_day"], "event_count")),
+    "violations_reconcile": _q(lambda g: checks.reconcile_raw_report(
+        g.raw_events, _broken_report(g).where("company_id <> '9'"))),
+    "unknown_countries_found": _q(lambda g: analysis.unknown_countries(g.fct_event, g.dim_country.where("region <> 'ASIA'"))),
+    "orphan_companies_found": _q(lambda g: analysis.orphan_companies(
+        g.fct_event, g.dim_company.where(~F.col("company_id").isin("2", "5")))),
+    "duplicate_event_ids_found": _q(lambda g: analysis.key_counts(
+        g.raw_events.unionByName(g.raw_events.where("EVENT_ID LIKE '%7'")), ["EVENT_ID"], 2)),
+    "duplicate_consent_keys_found": _q(lambda g: incremental.duplicate_keys(
+        g.fct_consent.unionByName(g.fct_consent.where("company_id IN ('1', '8')")), ["consent_uq"])),
+    # versions, calendar, order, raw filters, lists, ids
+    "report_versions": _q(lambda g: _report_versions(g, False)),
+    "report_versions_unmatched": _q(lambda g: _report_versions(g, True)),
+    "calendar_orders": _q(_calendar_orders),
+    "time_to_next_hot_user": _q(_hot_user),
+    "key_replace_changed": _q(_key_replace_changed),
+    "hourly_given_ranked": _q(lambda g: analysis.ranked(analysis.hourly_given(g.fct_event), "hour_ts")),
+    "events_per_company_ranked": _q(lambda g: analysis.ranked(
+        analysis.events_per_company(g.fct_event), F.desc("cnt"), "company_id")),
+    "industry_rate_ranked": _q(lambda g: analysis.ranked(
+        analysis.industry_rate_of_sums(g.consent_company_day), F.col("conversion_rate").asc_nulls_last(), "industry_front")),
+    "raw_volume_total": _q(lambda g: analysis.raw_volume_total(g.raw_events)),
+    "raw_volume_quoted": _q(lambda g: analysis.raw_volume_at(g.raw_events, "0", BACKFILL.start, "FRANCE")),
+    "company_statuses": _q(lambda g: analysis.company_statuses(g.fct_event)),
+    "event_uuids": _q(_uuids),
 }

@@ -23,27 +23,40 @@ def fct_rows(spark, rows):
     return spark.createDataFrame(rows, FCT_EVENT_DDL)
 
 
-def test_stg_consent_basic_flow(spark):
-    """Two events of one user / company → one row: count 2, asked 1, given 1,
-    rate 1.00, absent types null, origin fct_event; time to consent 120 s."""
-    ev = fct_rows(spark, [
-        ("e1", "consent.asked", 1.0, dt.datetime(2025, 5, 1, 10, 0), "u1", "c1", None),
-        ("e2", "consent.given", 1.0, dt.datetime(2025, 5, 1, 10, 2), "u1", "c1", "full opt-in"),
-    ])
-    out = staging.stg_consent(ev, LoadWindow("2025-05-01", "2025-05-01")).collect()
-    assert len(out) == 1
-    r = out[0]
-    assert (r.company_id, r.event_dt) == ("c1", dt.date(2025, 5, 1))
-    assert r.event_count == 2 and r.event_consent_asked_count == 1 and r.event_consent_given_count == 1
-    assert r.event_pageview_count is None and r.event_ui_action_count is None
-    assert r.consent_given_full_opt_in_count == 1
-    assert r.consent_given_opt_out_count is None and r.consent_given_partial_opt_in_count is None
-    assert r.consent_given_empty_count is None
-    assert str(r.consent_conversion_rate) == "1.00"
-    assert r.origin == "fct_event"
-    assert r.consent_uq == md5("c1-2025-05-01") and r.date_fk == md5("2025-05-01")
-    lag = staging.stg_consent(ev, with_lag=True).first().lag_consent_asked_given_second_avg
-    assert lag == 120.0
+def test_stg_consent_by_hand(spark):
+    """Several users, days, types and statuses, ties and an absent type,
+    against sums written out in Python."""
+    day = lambda d, h, m=0: dt.datetime(2031, 6, d, h, m)
+    rows = [
+        ("x1", "consent.asked", 4.0, day(3, 8), "ann", "north", "empty"),
+        ("x2", "consent.given", 1.0, day(3, 8, 7), "ann", "north", "opt-out"),
+        ("x3", "consent.asked", 6.0, day(3, 8, 7), "bo", "north", "empty"),
+        ("x4", "consent.given", 2.0, day(3, 8, 7), "bo", "north", "partial opt-in"),  # same instant, later id
+        ("x5", "pageview", 30.0, day(3, 9), "bo", "north", None),
+        ("x6", "consent.asked", 5.0, day(3, 23, 59), "ann", "north", "empty"),
+        ("x7", "consent.given", 1.0, day(4, 0, 1), "ann", "north", "full opt-in"),  # next day: other row
+        ("x8", "consent.given", 3.0, day(3, 10), "cy", "south", "empty"),
+        ("x9", "consent.asked", 8.0, day(3, 9), "cy", "south", None),
+    ]
+    out = {(r.company_id, r.event_dt.day): r for r in staging.stg_consent(fct_rows(spark, rows), with_lag=True).collect()}
+    assert set(out) == {("north", 3), ("north", 4), ("south", 3)}
+    for (company, d), r in out.items():
+        own = [x for x in rows if x[5] == company and x[3].day == d]
+
+        def total(kind=None, status=None):
+            counts = [x[2] for x in own if kind in (None, x[1]) and status in (None, x[6])]
+            return sum(counts) if counts else None
+        assert r.event_count == total() and r.event_pageview_count == total("pageview")
+        assert r.event_consent_asked_count == total("consent.asked") and r.event_consent_given_count == total("consent.given")
+        assert r.event_ui_action_count is None
+        for column, status in (("full_opt_in", "full opt-in"), ("opt_out", "opt-out"), ("partial_opt_in", "partial opt-in"), ("empty", "empty")):
+            assert r[f"consent_given_{column}_count"] == total("consent.given", status)
+        assert r.consent_uq == md5(f"{company}-2031-06-0{d}") and r.date_fk == md5(f"2031-06-0{d}") and r.origin == "fct_event"
+    assert str(out["north", 3].consent_conversion_rate) == "0.20"
+    assert out["north", 4].consent_conversion_rate is None
+    # asked at 8:00 answered after 7 min; 8:07 at once; 23:59 after 2 min, on the next day
+    assert out["north", 3].lag_consent_asked_given_second_avg == (420 + 0 + 120) / 3
+    assert out["south", 3].lag_consent_asked_given_second_avg == 3600.0
 
 
 def test_window_pruned_when_lag_not_requested(spark):
