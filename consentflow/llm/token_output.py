@@ -3,7 +3,8 @@
 File format: a Parquet table of *segments*, in shards that follow ascending
 document ids. A segment holds consecutive documents:
 
-* ``ids`` -- the concatenated token ids, little-endian unsigned 32 bit;
+* ``ids`` -- the concatenated token ids, little-endian, ``width`` bytes each: 2
+  where the vocabulary has at most 65,536 ids, else 4;
 * ``ends_high``, ``ends_low``, ``ends_select`` -- the running document ends
   (exclusive, within the segment) as an Elias-Fano sequence: ``low_bits`` low
   bits of every value packed, the high parts as a unary bit vector, and the bit
@@ -31,6 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,9 +41,10 @@ from consentflow.llm.common import stage, text_key
 
 SELECT_STEP = 64
 SEGMENT_IDS = 1 << 18
-CACHE_UNITS = 400_000
+CACHE_UNITS = 500_000  # a generation; two are held
+BATCH_CHARS = 1 << 25
 
-SEGMENT_DDL = ("shard int, seq int, shard_start bigint, n_docs bigint, n_ids bigint, ids binary, "
+SEGMENT_DDL = ("shard int, seq int, shard_start bigint, n_docs bigint, n_ids bigint, width int, ids binary, "
                "ends_low_bits int, ends_low binary, ends_high binary, ends_select binary, "
                "n_null_ids bigint, first_id bigint, ids_low_bits int, ids_low binary, ids_high binary, ids_select binary")
 
@@ -117,39 +120,111 @@ def _tokenizer(path: str):
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
+    t.model._resize_cache(0)  # each unit comes once: the library's own store only costs time
     return t
 
 
+# Blanks of the pre-tokeniser other than the space and the line feed (a few more do no harm).
+OTHER_BLANKS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B)))
+# A text in which some space does not stand between non-blank characters.
+IRREGULAR = r"^ | $|  | \n|\n |[" + "".join(OTHER_BLANKS) + "]"
+GLUE = "\t"
+GLUED = 64
+
+
 def units(text: str) -> list[str]:
-    """Cut before every single space that stands between non-blank characters."""
+    """Cut before every single space that stands between non-blank characters;
+    the first unit, then the others without that space."""
     parts = text.split(" ")
     out = [parts[0]]
     for a, b in zip(parts, parts[1:]):
         if a and b and not a[-1].isspace() and not b[0].isspace():
-            out.append(" " + b)
+            out.append(b)
         else:
             out[-1] += " " + b
     return out
 
 
 class UnitEncoder:
-    """Encodes texts by their distinct units; the store of units is emptied
-    when it is full, which changes the time taken and nothing else."""
+    """Encodes texts by their distinct units; the store is emptied when it is
+    full, which changes the time taken and nothing else.
 
-    def __init__(self, path: str, limit: int = CACHE_UNITS):
-        self.tok, self.limit, self.known = _tokenizer(path), limit, {}
+    Words are split, made distinct and put back in order by Arrow kernels;
+    Python sees each distinct unit of a batch once. New units go to the library
+    glued by tabs, 64 at a time: no unit holds a tab, and the pre-tokeniser
+    makes a piece of its own of a tab that has a non-blank character before it
+    and at most one space behind it. Others are encoded alone."""
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def __init__(self, path: str, limit: int = CACHE_UNITS):
+        self.tok, self.limit = _tokenizer(path), limit
+        self.width = 2 if max(self.tok.get_vocab().values()) < 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        self.glue = self._alone([GLUE])[0]
+        # ids of units with the space in front; the older half goes when the younger is full
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_units(self, found: list[str]) -> list[bytes]:
+        """Ids of units that stand behind a space."""
+        plain = [u for u in found if u and GLUE not in u and not u[0].isspace() and not u[-1].isspace()]
+        ids: dict[str, bytes] = {}
+        if len(self.glue) == self.width:
+            glue, width = int.from_bytes(self.glue, "little"), self.width
+            for i in range(0, len(plain), GLUED << 6):
+                part = plain[i:i + (GLUED << 6)]
+                texts = [(GLUE + " ").join(part[j:j + GLUED]) for j in range(0, len(part), GLUED)]
+                at = 0
+                for e in self.tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False):
+                    data = np.array(e.ids, self.kind)
+                    ends = np.flatnonzero(data == glue).tolist()
+                    raw, start = data.tobytes(), 0
+                    for end in [*ends, len(data)]:
+                        ids[part[at]] = raw[width * start:width * end]
+                        start, at = end + 1, at + 1
+        rest = [u for u in found if u not in ids]
+        ids.update(zip(rest, self._alone([" " + u for u in rest])))
+        return [ids[u] for u in found]
+
+    def _lookup(self, found: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
-            self.known.clear()
-        cut = [units(t) if t else [] for t in texts]
-        known = self.known
-        new = list({u for c in cut for u in c if u not in known})
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for u, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[u] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[u] for u in c]) for c in cut]
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = [u for u in found if u not in known]
+        if older:
+            known.update((u, older[u]) for u in new if u in older)
+            new = [u for u in new if u not in known]
+        known.update(zip(new, self._encode_units(new)))
+        return [known[u] for u in found]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text, little-endian, ``width`` bytes each (nulls are empty)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        split = pc.split_pattern(texts, " ")
+        odd = pc.match_substring_regex(texts, IRREGULAR).to_numpy(zero_copy_only=False)
+        if odd.any():
+            parts = split.to_pylist()
+            for i in np.flatnonzero(odd).tolist():
+                parts[i] = units(texts[i].as_py())
+            split = pa.array(parts, pa.large_list(pa.large_string()))
+        offsets = split.offsets.to_numpy()
+        words = split.flatten()
+        coded = words.dictionary_encode()
+        place, n = coded.indices.to_numpy().copy(), len(coded.dictionary)
+        heads = words.take(pa.array(offsets[:-1])).to_pylist()
+        place[offsets[:-1]] = n + np.arange(len(heads))  # a text's first unit has no space in front
+        # a word that only ever comes first would be looked up for nothing, and harmlessly
+        ids = self._lookup(coded.dictionary.to_pylist()) + self._alone(heads)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+        taken = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(ids))]).take(pa.array(place))
+        at, raw = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:], taken.buffers()[2]
+        cut = at[offsets].tolist()
+        data = memoryview(raw)
+        return [bytes(data[a:b]) for a, b in zip(cut, cut[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -157,25 +232,37 @@ def _encoder(path: str) -> UnitEncoder:
     return UnitEncoder(path)
 
 
-def _segment(shard, seq, start, doc_ids, ids: list[bytes]) -> dict:
-    ends = EliasFano.of(np.cumsum([len(x) // 4 for x in ids]))
+def _segment(shard, seq, start, width, doc_ids, ids: list[bytes]) -> dict:
+    ends = EliasFano.of(np.cumsum([len(x) // width for x in ids]))
     known = [d for d in doc_ids if d is not None]
     first = known[0] if known else 0
     names = EliasFano.of([d - first for d in known])
     data = b"".join(ids)
-    return {"shard": shard, "seq": seq, "shard_start": start, "n_docs": len(ids), "n_ids": len(data) // 4, "ids": data,
+    return {"shard": shard, "seq": seq, "shard_start": start, "n_docs": len(ids), "n_ids": len(data) // width, "width": width, "ids": data,
             "ends_low_bits": ends.low_bits, "ends_low": ends.low, "ends_high": ends.high, "ends_select": ends.select,
             "n_null_ids": len(doc_ids) - len(known), "first_id": first, "ids_low_bits": names.low_bits,
             "ids_low": names.low, "ids_high": names.high, "ids_select": names.select}
 
 
 SEGMENT_ARROW = pa.schema([
-    ("shard", pa.int32()), ("seq", pa.int32()), ("shard_start", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()),
+    ("shard", pa.int32()), ("seq", pa.int32()), ("shard_start", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()),
     ("ids", pa.binary()), ("ends_low_bits", pa.int32()), ("ends_low", pa.binary()), ("ends_high", pa.binary()),
     ("ends_select", pa.binary()), ("n_null_ids", pa.int64()), ("first_id", pa.int64()), ("ids_low_bits", pa.int32()),
     ("ids_low", pa.binary()), ("ids_high", pa.binary()), ("ids_select", pa.binary())])
 
 
+def _larger(batches: Iterator[pa.RecordBatch], size: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``size`` bytes: fewer look-ups of one unit."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held and sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def encode_segments(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id",
                     text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Segments of all documents in ascending order of id (nulls first)."""
@@ -187,21 +274,24 @@ def encode_segments(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_co
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, enc = TaskContext.get().partitionId(), _encoder(tokenizer_path)
-        tail = np.array([end_id], "<u4").tobytes()
+        width = enc.width if end_id < 1 << 8 * enc.width else 4
+        tail = end_id.to_bytes(width, "little")
         doc_ids: list = []
         ids: list[bytes] = []
         seq = start = held = 0
-        for b in batches:
-            got = enc.encode([t or "" for t in b.column("t").to_pylist()])
+        for b in _larger(batches):
+            got = enc.encode(b.column("t"))
+            if width != enc.width:
+                got = [np.frombuffer(x, enc.kind).astype("<u4").tobytes() for x in got]
             for d, x in zip(b.column("id").to_pylist(), got):
                 doc_ids.append(d)
                 ids.append(x + tail)
-                held += len(x) // 4 + 1
+                held += len(x) // width + 1
                 if held >= segment_ids:
-                    yield pa.RecordBatch.from_pylist([_segment(shard, seq, start, doc_ids, ids)], SEGMENT_ARROW)
+                    yield pa.RecordBatch.from_pylist([_segment(shard, seq, start, width, doc_ids, ids)], SEGMENT_ARROW)
                     seq, start, held, doc_ids, ids = seq + 1, start + held, 0, [], []
         if ids:
-            yield pa.RecordBatch.from_pylist([_segment(shard, seq, start, doc_ids, ids)], SEGMENT_ARROW)
+            yield pa.RecordBatch.from_pylist([_segment(shard, seq, start, width, doc_ids, ids)], SEGMENT_ARROW)
 
     return ordered.mapInArrow(write, SEGMENT_DDL)
 
@@ -223,7 +313,7 @@ def read_documents(segments: DataFrame) -> DataFrame:
                                   r["ids_select"]).all() + r["first_id"]
                 doc_ids = [None] * r["n_null_ids"] + known.tolist()
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                data = memoryview(r["ids"])
+                data = memoryview(np.frombuffer(r["ids"], f"<u{r['width']}").astype("<u4")).cast("B")
                 yield pa.RecordBatch.from_arrays([
                     pa.array([r["shard"]] * len(ends), pa.int32()), pa.array(doc_ids, pa.int64()),
                     pa.array(starts + r["shard_start"], pa.int64()), pa.array(ends - starts, pa.int64()),
