@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 class Unigram:
@@ -36,10 +36,12 @@ class Unigram:
 
     def __init__(self, logp: dict[str, float], byte_logp: float):
         self.logp, self.byte_logp = logp, byte_logp
+        self.one = {p: lp for p, lp in logp.items() if len(p) == 1}
         lengths: dict[str, set[int]] = {}
         for p in logp:
-            lengths.setdefault(p[-2:], set()).add(len(p))
-        # lengths of the pieces that end in these two characters (or are this one)
+            if len(p) > 1:
+                lengths.setdefault(p[-3:], set()).add(len(p))
+        # lengths of the pieces that end in these three (or are these two) characters
         self.lengths = {k: sorted(v) for k, v in lengths.items()}
 
     def spell(self, ch: str) -> tuple[float, int]:
@@ -54,7 +56,8 @@ class Unigram:
         best, count, total = [0.0], [0], [0.0]
         out: dict[str, tuple[int, float, float]] = {}
         before = ""
-        logp, lengths = self.logp, self.lengths
+        get, single, ending = self.logp.get, self.one.get, self.lengths.get
+        log1p, exp = math.log1p, math.exp
         for word in sorted(set(words)):
             shared = 0
             for a, b in zip(before, word):
@@ -63,20 +66,19 @@ class Unigram:
                 shared += 1
             del best[shared + 1:], count[shared + 1:], total[shared + 1:]
             for i in range(shared + 1, len(word) + 1):
-                ways = []
-                for n in lengths.get(word[max(0, i - 2):i], ()):
-                    if n <= i and (lp := logp.get(word[i - n:i])) is not None:
-                        ways.append((best[i - n] + lp, -count[i - n] - 1, total[i - n] + lp))
-                if (lp := logp.get(word[i - 1])) is not None:
-                    ways.append((best[i - 1] + lp, -count[i - 1] - 1, total[i - 1] + lp))
-                else:
-                    lp, n = self.spell(word[i - 1])
-                    ways.append((best[i - 1] + lp, -count[i - 1] - n, total[i - 1] + lp))
-                score, fewer, _ = max(ways)
-                top = max(w[2] for w in ways)
+                lp, k = single(word[i - 1]), 1
+                if lp is None:
+                    lp, k = self.spell(word[i - 1])
+                score, k, mass = best[i - 1] + lp, count[i - 1] + k, total[i - 1] + lp
+                for n in (*ending(word[i - 2:i], ()), *(ending(word[i - 3:i], ()) if i > 2 else ())) if i > 1 else ():
+                    if n <= i and (lp := get(word[i - n:i])) is not None:
+                        s, c, t = best[i - n] + lp, count[i - n] + 1, total[i - n] + lp
+                        if s > score or (s == score and c < k):
+                            score, k = s, c
+                        mass = t + log1p(exp(mass - t)) if t > mass else mass + log1p(exp(t - mass))
                 best.append(score)
-                count.append(-fewer)
-                total.append(top + math.log(math.fsum(math.exp(w[2] - top) for w in ways)))
+                count.append(k)
+                total.append(mass)
             out[word] = (count[-1], best[-1], total[-1])
             before = word
         return out
@@ -114,15 +116,19 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
             counted = [Counter((t or "").split()) for t in b.column("t").to_pylist()]
             new = {MARK + w for c in counted for w in c if w not in known}
             known.update((w[1:], v) for w, v in model.terminals(new).items())
-            got = [[(n, *known[w]) for w, n in c.items()] for c in counted]
-            yield pa.RecordBatch.from_arrays([
-                b.column("id"),
-                pa.array([sum(r[0] for r in g) for g in got], pa.int64()),
-                pa.array([len(g) for g in got], pa.int64()),
-                pa.array([sum(r[0] * r[1] for r in g) for g in got], pa.int64()),
-                pa.array([math.fsum(r[0] * r[2] for r in g) for g in got], pa.float64()),
-                pa.array([math.fsum(r[0] * r[3] for r in g) for g in got], pa.float64())],
-                names=["id", "n_pretokens", "n_distinct", "n_tokens", "best_logp", "forward_logp"])
+            cols: list[list] = [[] for _ in range(5)]
+            for c in counted:
+                tokens, best, mass = 0, 0.0, 0.0
+                for w, n in c.items():
+                    k, x, y = known[w]
+                    tokens += n * k
+                    best += n * x
+                    mass += n * y
+                for col, v in zip(cols, (c.total(), len(c), tokens, best, mass)):
+                    col.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                                             names=["id", "n_pretokens", "n_distinct", "n_tokens", "best_logp", "forward_logp"])
 
     return src.mapInArrow(run, f"id {id_type}, n_pretokens bigint, n_distinct bigint, n_tokens bigint, "
                                "best_logp double, forward_logp double").withColumnRenamed("id", id_col)
