@@ -2,7 +2,7 @@
 
 Each query is executed completely (``write.format("noop")`` forces every row
 through the plan without collecting to the driver), timed from plan
-construction; the best of two runs is reported (the first run separately). A load benchmark mirrors
+construction; first runs are reported, no state is kept between them. A load benchmark mirrors
 the published reference number: an existing Parquet file of 10,000,000
 synthetic rows (id, three random doubles, md5 text, random int) is loaded into
 a table (read → write), reported as seconds and rows/s.
@@ -52,18 +52,11 @@ def main() -> None:
         for name in ("consent_company_day", "time_to_consent"):
             run_noop(QUERIES[name](spark, warm_dir))
 
-    times, first_run = {}, {}
+    times = {}
     for name in HEADLINE:
-        # timed from plan construction (some operators run a small sizing
-        # aggregate while the plan is built); best of two runs against VM
-        # noise, the first (cold) run is reported separately
-        runs = []
-        for _ in range(2):
-            t0 = time.perf_counter()
-            run_noop(QUERIES[name](spark, sf_dir))
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(min(runs), 3)
-        first_run[name] = round(runs[0], 3)
+        t0 = time.perf_counter()
+        run_noop(QUERIES[name](spark, sf_dir))
+        times[name] = round(time.perf_counter() - t0, 3)
 
     # load benchmark, like for like with the published reference number
     # (INSERT ... SELECT of an existing 10M-row Parquet file into a table,
@@ -72,13 +65,10 @@ def main() -> None:
     scratch = os.environ.get("BENCH_SCRATCH") or scratch_path(spark, f"bench-load-{uuid.uuid4().hex[:10]}")
     src, dst = f"{scratch}/gen_data", f"{scratch}/bench_insert"
     files.synthetic_rows(spark, load_rows, seed=7).write.mode("overwrite").parquet(src)
-    load_runs = []
-    for i in range(2):  # best of two loads into fresh tables
-        t0 = time.perf_counter()
-        spark.read.parquet(src).write.mode("errorifexists").parquet(f"{dst}_{i}")
-        load_runs.append(time.perf_counter() - t0)
-    load_s = min(load_runs)
-    n = spark.read.parquet(f"{dst}_0").agg(F.count(F.lit(1))).first()[0]
+    t0 = time.perf_counter()
+    spark.read.parquet(src).write.mode("errorifexists").parquet(dst)
+    load_s = time.perf_counter() - t0
+    n = spark.read.parquet(dst).agg(F.count(F.lit(1))).first()[0]
     times["load_parquet_10m"] = round(load_s, 3)
     if not os.environ.get("BENCH_SCRATCH"):  # remove this run's own scratch output
         jvm = spark.sparkContext._jvm
@@ -94,8 +84,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "load_rows": n,
         "load_rows_per_sec": round(n / load_s) if load_s else None,
-        "first_run_queries": first_run,
-        "method": "best of 2 runs per query, timed from plan construction; noop sink",
+        "method": "first run of each query, timed from plan construction; noop sink",
     }))
     spark.stop()
 

@@ -108,15 +108,16 @@ def company_profile(fct_event: DataFrame, dim_company: DataFrame,
     """Volume, type breakdown, reach and time to consent per company, enriched
     with industry and HQ (AGG-23). All inputs are aggregated to one row per
     company before joining, so the joins are on small, unique keys."""
-    # volume, type breakdown and reach in one aggregate (one scan: the
-    # distinct count is planned with Expand next to the sums)
-    tot = fct_event.groupBy("company_id").agg(
-        *staging.consent_measures(), F.countDistinct("country_code").alias("distinct_countries"))
+    # all measures in one aggregate over the events with their gaps
+    ev = events if events is not None else staging.consent_events(fct_event)
+    tot = ev.groupBy("company_id").agg(
+        *staging.consent_measures(), F.countDistinct("country_code").alias("distinct_countries"),
+        F.avg(F.when(F.col("event_type") == CONSENT_ASKED, F.col("lag_consent_asked_given_second")))
+        .alias("avg_time_to_consent_second"))
     tot = tot.withColumn("consent_conversion_rate",
                          conversion_rate("event_consent_given_count", "event_consent_asked_count"))
-    ttc = time_to_consent_company(fct_event, events)
     comp = dim_company.select("company_id", "industry_back", "industry_front", "hq_country")
-    return tot.join(ttc, "company_id", "left").join(comp, "company_id", "left")
+    return tot.join(comp, "company_id", "left")
 
 
 def consent_status_share(fct_event: DataFrame) -> DataFrame:

@@ -73,6 +73,9 @@ def consent_events(fct_event: DataFrame, window: window_bounds.LoadWindow | None
     inside the load window only, as in the modelled warehouse, trap D6).
     """
     src = window_bounds.apply(fct_event, window, "event_dttm", "timestamp")
+    # the sequence writes its input once: only the columns that consumers use
+    used = {*session_keys, "event_id", "event_dttm", "event_type", "company_id", "event_count", "consent_status", "country_code"}
+    src = src.select(*[c for c in src.columns if c in used])
     seq = with_neighbour(src, list(session_keys), ["event_dttm", "event_id"],
                          ["event_type", "event_dttm"], "next")
     gap = F.when((F.col("event_type") == CONSENT_ASKED) & (F.col("event_type_next") == CONSENT_GIVEN),
