@@ -107,7 +107,9 @@ def search(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, D
     aligned = index.join(places, "term").select("id", "k", "item", (F.col("pos") - F.col("q")).alias("diag"), "q")
     # one row for an occurrence, not one for each of its windows
     lists = aligned.groupBy("id", "k", "item", "diag").agg(F.collect_set("q").alias("qs"))
-    pairs = anchors.groupBy("item").agg(F.collect_set(F.struct(F.col("one.q").alias("a"), F.col("two.q").alias("b"))).alias("pairs"))
+    # one row an item; as a stored table its size is known, so that a small one is broadcast and no item is hot
+    pairs = stage(anchors.groupBy("item").agg(
+        F.collect_set(F.struct(F.col("one.q").alias("a"), F.col("two.q").alias("b"))).alias("pairs")), "item-pairs")
     meet = F.exists("pairs", lambda p: F.array_contains(F.col("qs"), p.a) & F.array_contains(F.col("qs"), p.b))
     return index, anchors, stage(lists.join(pairs, "item").where(meet).select("id", "k", "item", "diag"), "diagonals")
 
@@ -208,12 +210,12 @@ ORACLE_SQL = """
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), x -> x <> '') AS w
+                     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
   FROM documents),
 b AS (
   SELECT item_id,
          list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), x -> x <> '') AS w
+                     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark),
 bw AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[s + 1 : s + least(len(w), 10)], ' ') AS win
@@ -226,7 +228,7 @@ hit AS (SELECT dw.r, dw.s, dw.size, bw.item_id FROM dw JOIN bw USING (size, win)
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + size - 1)) AS p FROM hit) GROUP BY r),
 its AS (
   SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
-  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hit WHERE item_id IS NOT NULL) GROUP BY r),
 dt AS (SELECT r, unnest(w) AS term, unnest(range(len(w))) AS p FROM d),
 bi AS (SELECT row_number() OVER () AS item, item_id, w FROM (SELECT DISTINCT item_id, w FROM b WHERE len(w) > 0)),
 df AS (SELECT term, count(*) AS df FROM dt GROUP BY term),
