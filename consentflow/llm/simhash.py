@@ -68,8 +68,8 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> D
 def radii(max_bits: int, segments: int) -> list[int]:
     """A radius a segment, as even as possible, adding up to max_bits - segments + 1."""
     left = max_bits - segments + 1
-    if left < 0:
-        raise ValueError("more segments than max_bits + 1")
+    if left < 0 or segments < 2:
+        raise ValueError("segments must be 2 to max_bits + 1")
     return [left // segments + (i < left % segments) for i in range(segments)]
 
 
