@@ -7,14 +7,16 @@ earlier line itself stays does not matter. Lines without words always stay.
 
 1. Words are counted by hash bucket over all lines; every set is ordered by
    (rank of the bucket's count, word hash), rarest first -- one order for all.
-2. Equal sets are one class, named by its first place; copies never meet again.
-3. Prefix filter: two sets that are similar enough share ``SHARED`` words in
-   their first n - ceil(similarity * n) + SHARED. Only these are shuffled.
-4. Length and positional filters drop candidates; pairs that share fewer than
-   ``SHARED`` prefix words are dropped.
-5. Each class meets the first class of each of its prefix words before any
-   other: in a large group of near copies nearly all are settled here, in as
-   many rows as there are words. Only classes that are still open meet the rest.
+2. Equal sets are one class, numbered in the order of first places; copies never
+   meet again.
+3. Prefix filter: two sets that are similar enough share a word in their first
+   n - ceil(similarity * n) + 1. Only these are shuffled.
+4. Length and positional filters drop candidates, and so does a bound on the
+   overlap from 64 parity bits of each set.
+5. A class meets the first class and the ``NEAR`` last ones before it of each of
+   its prefix words: all there are of rare words, and in a large group of near
+   copies nearly all classes are settled by these, in rows linear in the words.
+   Only classes that are still open and had more before them meet the rest.
 6. The Jaccard similarity of the remaining pairs is verified on the whole sets.
 
 Words are compared by 63 bits of a hash (of one line's words with another's).
@@ -37,19 +39,26 @@ from pyspark.sql import functions as F
 from consentflow.llm.common import drop_empty, stage, text_key
 
 BLANKS = r"[\x20\x09-\x0D]+"
-BUCKETS = 1 << 16
-SHARED = 2
+BUCKETS = 1 << 15  # a constant of the plan: its text is kept by the driver for each job
+NEAR = 16
 EPS = 1e-9
 
 
-def _bucket(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+def words_of(line: Column) -> Column:
+    """Words of a line; the plain split of the common case needs no pattern."""
+    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\f"))
+    return drop_empty(F.when(other, F.split(line, BLANKS)).otherwise(F.split(line, " ")))
+
+
+def _bucket(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Array of the rank of each bucket of words by its count, rarest first."""
-    counts = {r.b: r["count"] for r in docs.select(F.explode(F.split("t", BLANKS)).alias("w")).where("w <> ''").groupBy(
-        _bucket(F.col("w")).alias("b")).count().collect()}
+    """Array over buckets of words: the rank of the bucket's count, rarest
+    first."""
+    words = docs.select(F.explode(F.split("t", "\n")).alias("line")).select(F.explode(words_of(F.col("line"))).alias("w"))
+    counts = {r.b: r["count"] for r in words.groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()}
     order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
     rank = [0] * BUCKETS
     for i, b in enumerate(order):
@@ -58,24 +67,11 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def word_set(line: Column, ranks: Column) -> Column:
-    """The line's distinct words as longs: 16 bits of rank, 47 bits of hash."""
-    def key(w):
-        h = F.xxhash64(w)
-        rank = F.coalesce(F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("bigint"))
-        return F.shiftleft(rank, 47).bitwiseOR(F.shiftrightunsigned(h, 17))
-    return F.sort_array(F.array_distinct(F.transform(drop_empty(F.split(line, BLANKS)), key)))
-
-
-def _place(prefix: str = "") -> list[str]:
-    return [f"{prefix}id", f"{prefix}no", f"{prefix}h1"]
-
-
-def _before(a: str, b: str) -> Column:
-    return F.struct(*_place(a)) < F.struct(*_place(b))
-
-
-def _same(left: DataFrame, right: DataFrame, a: str, b: str) -> Column:
-    return left[f"{a}id"].eqNullSafe(right[f"{b}id"]) & (left[f"{a}no"] == right[f"{b}no"]) & (left[f"{a}h1"] == right[f"{b}h1"])
+    """The line's distinct words as longs: 15 bits of rank, 48 bits of hash."""
+    hashed = F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w)))
+    keyed = F.transform(hashed, lambda h: F.shiftleft(
+        F.coalesce(F.get(ranks, _bucket(h)), F.lit(0).cast("bigint")), 48).bitwiseOR(F.shiftrightunsigned(h, 16)))
+    return F.sort_array(keyed)
 
 
 def line_table(docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
@@ -85,69 +81,87 @@ def line_table(docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     n = F.size("s")
     # a set of fewer words has no other set this similar
     least = math.ceil(similarity / (1 - similarity) - EPS) if similarity < 1 else 1 << 30
-    size = F.when(n >= least, F.least(n, n - F.ceil(n * similarity - EPS).cast("int") + SHARED)).otherwise(0)
-    return sets.select("id", "k", "no", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2"), n.alias("n"),
+    size = F.when(n >= least, n - F.ceil(n * similarity - EPS).cast("int") + 1).otherwise(0)
+    # a set's name is its hash and its rarest word
+    # 64 parities of the words: every word that only one of two sets has can change one
+    parity = F.expr("aggregate(s, 0L, (acc, w) -> acc ^ shiftleft(1L, CAST(w & 63L AS INT)))")
+    return sets.select("id", "k", "no", F.xxhash64("s").alias("h1"), F.get("s", F.lit(0)).alias("w1"), n.alias("n"), parity.alias("sig"),
                        F.slice("s", F.lit(1), size).alias("prefix"))
 
 
-def _pairs(cand: DataFrame, similarity: float) -> DataFrame:
-    """Candidates x, y (y before x) by the length and positional filters and
-    the number of shared prefix words."""
+def _may_match(similarity: float) -> Column:
+    """Length filter; positional filter (the shared words before a place and
+    after it are too few); parity filter (too many words in one set alone)."""
     t = similarity
-    need = F.ceil((F.col("xn") + F.col("yn")) * (t / (1 + t)) - EPS)
+    total = F.col("xn") + F.col("yn")
+    need = F.ceil(total * (t / (1 + t)) - EPS)
     best = F.least("xi", "yi") + 1 + F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi")) - 1
-    return cand.where((F.least("xn", "yn") >= t * F.greatest("xn", "yn") - EPS) & (best >= need)).groupBy(
-        *_place("x"), *_place("y")).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= SHARED).drop("shared")
-
-
-def verify(pairs: DataFrame, docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
-    """Classes x (their places) that have a verified partner y."""
-    need = pairs.select(*[F.col(f"x{c}").alias(c) for c in _place()]).union(
-        pairs.select(*[F.col(f"y{c}").alias(c) for c in _place()])).distinct()
-    wanted = need.groupBy(F.col("id").alias("id_")).agg(F.collect_list(F.struct("no", "h1")).alias("x"))
-    held = docs.join(wanted, docs["id"].eqNullSafe(wanted["id_"])).select("id", F.split("t", "\n").alias("lines"), F.explode("x").alias("x"))
-    sets = held.select("id", "x.no", "x.h1", word_set(F.get("lines", "x.no"), ranks).alias("s"))
-    sets = sets.where(F.xxhash64("s") == F.col("h1")).dropDuplicates(_place())
-    xs, ys = (sets.toDF(f"{p}id_", f"{p}no_", f"{p}h1_", f"{p}s") for p in "xy")
-    cond = lambda p, s: (pairs[f"{p}id"].eqNullSafe(s[f"{p}id_"]) & (pairs[f"{p}no"] == s[f"{p}no_"])
-                         & (pairs[f"{p}h1"] == s[f"{p}h1_"]))
-    both = pairs.join(xs, cond("x", xs)).join(ys, cond("y", ys))
+    return ((F.least("xn", "yn") >= t * F.greatest("xn", "yn") - EPS) & (best >= need)
+            & (F.bit_count(F.col("xsig").bitwiseXOR(F.col("ysig"))) <= total - 2 * need))
+
+
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
+    """Classes ``x`` that have a verified partner ``y``."""
+    need = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct().join(
+        classes.select("cid", "id", "no", "h1"), "cid")
+    wanted = need.groupBy(F.col("id").alias("id_")).agg(F.collect_list(F.struct("cid", "no", "h1")).alias("c"))
+    held = docs.join(wanted, docs["id"].eqNullSafe(wanted["id_"])).select(F.split("t", "\n").alias("lines"), F.explode("c").alias("c"))
+    sets = held.select("c.cid", "c.h1", word_set(F.get("lines", "c.no"), ranks).alias("s"))
+    # where ids repeat, the text that has this line
+    sets = sets.where(F.xxhash64("s") == F.col("h1")).dropDuplicates(["cid"]).select("cid", "s")
+    both = pairs.join(sets.toDF("x", "xs"), "x").join(sets.toDF("y", "ys"), "y")
     common = F.size(F.array_intersect("xs", "ys"))
     similar = common >= similarity * (F.size("xs") + F.size("ys") - common) - EPS
-    return both.where(similar).select(*_place("x")).distinct()
+    return both.where(similar).select("x").distinct()
 
 
-def matched_classes(classes: DataFrame, docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
-    """Classes (places ``xid, xno, xh1``) with an earlier similar class."""
-    cols = [*_place(), "n", "i"]
-    words = classes.select(*_place(), "n", F.posexplode("prefix").alias("i", "w"))
-    order = Window.partitionBy("w").orderBy(*_place())
-    placed = words.withColumn("first", F.first(F.struct(*cols)).over(order)).withColumn("at", F.row_number().over(order))
-    after = placed.where("at > 1")
+def _as(name: str) -> list[Column]:
+    return [F.col("cid").alias(name), *[F.col(c).alias(f"{name}{c}") for c in ("n", "i", "sig")]]
 
-    hubs = after.select(*[F.col(c).alias(f"x{c}") for c in cols], *[F.col(f"first.{c}").alias(f"y{c}") for c in cols])
-    settled = stage(verify(stage(_pairs(hubs, similarity), "line-hubs"), docs, ranks, similarity), "line-settled")
 
-    x, y = (rows.select("w", *[F.col(c).alias(f"{p}{c}") for c in cols]) for p, rows in (("x", after), ("y", placed)))
-    done = settled.toDF("id_", "no_", "h1_")
-    open_x = x.join(done, x["xid"].eqNullSafe(done["id_"]) & (x["xno"] == done["no_"]) & (x["xh1"] == done["h1_"]), "left_anti")
-    others = stage(_pairs(open_x.join(y, "w").where(_before("y", "x")), similarity), "line-pairs")
-    return settled.union(verify(others, docs, ranks, similarity)).distinct()
+def matched_classes(classes: DataFrame, docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
+    """Classes ``x`` (their numbers) with an earlier similar class."""
+    words = classes.where(F.size("prefix") > 0).select("cid", "n", "sig", F.posexplode("prefix").alias("i", "w"))
+    order = Window.partitionBy("w").orderBy("cid")
+    me = F.struct("cid", "n", "i", "sig")
+    placed = words.select("*", F.row_number().over(order).alias("at"), F.first(me).over(order).alias("first"),
+                          F.collect_list(me).over(order.rowsBetween(-NEAR, -1)).alias("near")).where("at > 1")
+    # a word's class that lies further from the first than the window reaches leaves a mark (no y)
+    met = F.when(F.col("at") > NEAR + 1, F.concat(F.array("first"), "near", F.array(F.lit(None)))).otherwise(F.col("near"))
+    met = placed.select(*_as("x"), F.explode(met).alias("y")).select(
+        "x", "xn", "xi", "xsig", F.col("y.cid").alias("y"), *[F.col(f"y.{c}").alias(f"y{c}") for c in ("n", "i", "sig")])
+    far = F.col("y").isNull()
+    met = stage(met.where(far | _may_match(similarity)).select("x", "y").distinct(), "line-pairs")
+    settled = stage(verify(met.where("y IS NOT NULL"), classes, docs, ranks, similarity), "line-settled")
+
+    # classes with further ones before them that are still open meet all of these
+    left = stage(met.where(far).select("x").join(settled, "x", "left_anti"), "line-open")
+    x = words.join(left.withColumnRenamed("x", "cid"), "cid", "left_semi")
+    x = stage(x.select("w", *_as("x")), "line-open-words")
+    rest = x.join(words.select("w", *_as("y")), "w").where("y < x")
+    others = stage(rest.where(_may_match(similarity)).select("x", "y").distinct(), "line-far-pairs")
+    return settled.union(verify(others, classes, docs, ranks, similarity)).distinct()
+
+
+def class_table(lines: DataFrame) -> DataFrame:
+    """Classes of equal sets: first place, hashes, size, prefix, and a number
+    ``cid`` that ascends with the place (rows are sorted over the partitions)."""
+    first = lines.groupBy("h1", "w1", "n", "sig", "prefix").agg(F.min(F.struct("id", "no")).alias("at")).select(
+        F.col("at.id").alias("id"), F.col("at.no").alias("no"), "h1", "w1", "n", "sig", "prefix")
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = ["id", "no", "h1"]
+    return first.repartitionByRange(parts, *place).sortWithinPartitions(*place).withColumn("cid", F.monotonically_increasing_id())
 
 
 def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(id, k, no) of the lines that go; docs: id, k, t (no nulls)."""
     ranks = rarity(docs)
     lines = stage(line_table(docs, ranks, similarity), "lines")
-    classes = stage(lines.groupBy("h1", "h2", "n", "prefix").agg(F.min(F.struct("id", "no")).alias("at")).select(
-        F.col("at.id").alias("id"), F.col("at.no").alias("no"), "h1", "h2", "n", "prefix"), "line-classes")
-    gone = matched_classes(classes.where(F.size("prefix") > 0), docs, ranks, similarity)
-    later = classes.select("h1", "h2", F.col("id").alias("cid"), F.col("no").alias("cno"))
-    gone = gone.select(F.col("xid").alias("gid"), F.col("xno").alias("gno"), F.col("xh1").alias("gh1"), F.lit(True).alias("gone"))
-    state = later.join(gone, F.col("cid").eqNullSafe(F.col("gid")) & (F.col("cno") == F.col("gno")) & (F.col("h1") == F.col("gh1")), "left")
-    state = state.select("h1", "h2", "cid", "cno", "gone")
-    first = F.col("id").eqNullSafe(F.col("cid")) & (F.col("no") == F.col("cno"))
-    return lines.select("id", "k", "no", "h1", "h2").join(state, ["h1", "h2"]).where(
+    classes = stage(class_table(lines), "line-classes")
+    gone = matched_classes(classes, docs, ranks, similarity).select(F.col("x").alias("cid"), F.lit(True).alias("gone"))
+    state = classes.select("h1", "w1", "cid", F.col("id").alias("cid_id"), F.col("no").alias("cid_no")).join(gone, "cid", "left")
+    first = F.col("id").eqNullSafe(F.col("cid_id")) & (F.col("no") == F.col("cid_no"))
+    return lines.select("id", "k", "no", "h1", "w1").join(state, ["h1", "w1"]).where(
         F.coalesce("gone", F.lit(False)) | ~first).select("id", "k", "no")
 
 
@@ -187,7 +201,7 @@ WITH l AS (
   SELECT doc_id, unnest(range(len(x))) AS no, unnest(x) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL)),
 s AS (
-  SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+'), w -> w <> ''))) AS s FROM l),
+  SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))) AS s FROM l),
 c AS (
   SELECT row_number() OVER (ORDER BY f.doc_id, f.no) AS cid, s, len(s) AS n, f
   FROM (SELECT s, min({'doc_id': doc_id, 'no': no}) AS f FROM s WHERE len(s) > 0 GROUP BY s)),
