@@ -140,7 +140,7 @@ def matched_classes(classes: DataFrame, docs: DataFrame, ranks: Column, similari
     x = stage(x.select("w", *_as("x")), "line-open-words")
     rest = x.join(words.select("w", *_as("y")), "w").where("y < x")
     others = stage(rest.where(_may_match(similarity)).select("x", "y").distinct(), "line-far-pairs")
-    return settled.union(verify(others, classes, docs, ranks, similarity)).distinct()
+    return stage(settled.union(verify(others, classes, docs, ranks, similarity)).distinct(), "line-gone")
 
 
 def class_table(lines: DataFrame) -> DataFrame:
