@@ -12,7 +12,7 @@ earlier line itself stays does not matter. Lines without words always stay.
 3. Prefix filter: two sets that are similar enough share a word in their first
    n - ceil(similarity * n) + 1. Only these are shuffled.
 4. Length and positional filters drop candidates, and so does a bound on the
-   overlap from 64 parity bits of each set.
+   overlap from 128 parity bits of each set.
 5. A class meets the first class and the ``NEAR`` last ones before it of each of
    its prefix words: all there are of rare words, and in a large group of near
    copies nearly all classes are settled by these, in rows linear in the words.
@@ -83,9 +83,10 @@ def line_table(docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     least = math.ceil(similarity / (1 - similarity) - EPS) if similarity < 1 else 1 << 30
     size = F.when(n >= least, n - F.ceil(n * similarity - EPS).cast("int") + 1).otherwise(0)
     # a set's name is its hash and its rarest word
-    # 64 parities of the words: every word that only one of two sets has can change one
-    parity = F.expr("aggregate(s, 0L, (acc, w) -> acc ^ shiftleft(1L, CAST(w & 63L AS INT)))")
-    return sets.select("id", "k", "no", F.xxhash64("s").alias("h1"), F.get("s", F.lit(0)).alias("w1"), n.alias("n"), parity.alias("sig"),
+    # 128 parities of the words: every word that only one of two sets has can change one
+    sig, sig2 = (F.expr("aggregate(s, 0L, (acc, w) -> acc ^ IF((w & 64L) %s 0L, shiftleft(1L, CAST(w & 63L AS INT)), 0L))" % op)
+                 for op in ("=", "<>"))
+    return sets.select("id", "k", "no", F.xxhash64("s").alias("h1"), F.get("s", F.lit(0)).alias("w1"), n.alias("n"), sig.alias("sig"), sig2.alias("sig2"),
                        F.slice("s", F.lit(1), size).alias("prefix"))
 
 
@@ -95,9 +96,10 @@ def _may_match(similarity: float) -> Column:
     t = similarity
     total = F.col("xn") + F.col("yn")
     need = F.ceil(total * (t / (1 + t)) - EPS)
+    apart = F.bit_count(F.col("xsig").bitwiseXOR(F.col("ysig"))) + F.bit_count(F.col("xsig2").bitwiseXOR(F.col("ysig2")))
     best = F.least("xi", "yi") + 1 + F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi")) - 1
     return ((F.least("xn", "yn") >= t * F.greatest("xn", "yn") - EPS) & (best >= need)
-            & (F.bit_count(F.col("xsig").bitwiseXOR(F.col("ysig"))) <= total - 2 * need))
+            & (apart <= total - 2 * need))
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
@@ -116,20 +118,20 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column,
 
 
 def _as(name: str) -> list[Column]:
-    return [F.col("cid").alias(name), *[F.col(c).alias(f"{name}{c}") for c in ("n", "i", "sig")]]
+    return [F.col("cid").alias(name), *[F.col(c).alias(f"{name}{c}") for c in ("n", "i", "sig", "sig2")]]
 
 
 def matched_classes(classes: DataFrame, docs: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     """Classes ``x`` (their numbers) with an earlier similar class."""
-    words = classes.where(F.size("prefix") > 0).select("cid", "n", "sig", F.posexplode("prefix").alias("i", "w"))
+    words = classes.where(F.size("prefix") > 0).select("cid", "n", "sig", "sig2", F.posexplode("prefix").alias("i", "w"))
     order = Window.partitionBy("w").orderBy("cid")
-    me = F.struct("cid", "n", "i", "sig")
+    me = F.struct("cid", "n", "i", "sig", "sig2")
     placed = words.select("*", F.row_number().over(order).alias("at"), F.first(me).over(order).alias("first"),
                           F.collect_list(me).over(order.rowsBetween(-NEAR, -1)).alias("near")).where("at > 1")
     # a word's class that lies further from the first than the window reaches leaves a mark (no y)
     met = F.when(F.col("at") > NEAR + 1, F.concat(F.array("first"), "near", F.array(F.lit(None)))).otherwise(F.col("near"))
     met = placed.select(*_as("x"), F.explode(met).alias("y")).select(
-        "x", "xn", "xi", "xsig", F.col("y.cid").alias("y"), *[F.col(f"y.{c}").alias(f"y{c}") for c in ("n", "i", "sig")])
+        "x", "xn", "xi", "xsig", "xsig2", F.col("y.cid").alias("y"), *[F.col(f"y.{c}").alias(f"y{c}") for c in ("n", "i", "sig", "sig2")])
     far = F.col("y").isNull()
     met = stage(met.where(far | _may_match(similarity)).select("x", "y").distinct(), "line-pairs")
     settled = stage(verify(met.where("y IS NOT NULL"), classes, docs, ranks, similarity), "line-settled")
@@ -146,8 +148,8 @@ def matched_classes(classes: DataFrame, docs: DataFrame, ranks: Column, similari
 def class_table(lines: DataFrame) -> DataFrame:
     """Classes of equal sets: first place, hashes, size, prefix, and a number
     ``cid`` that ascends with the place (rows are sorted over the partitions)."""
-    first = lines.groupBy("h1", "w1", "n", "sig", "prefix").agg(F.min(F.struct("id", "no")).alias("at")).select(
-        F.col("at.id").alias("id"), F.col("at.no").alias("no"), "h1", "w1", "n", "sig", "prefix")
+    first = lines.groupBy("h1", "w1", "n", "sig", "sig2", "prefix").agg(F.min(F.struct("id", "no")).alias("at")).select(
+        F.col("at.id").alias("id"), F.col("at.no").alias("no"), "h1", "w1", "n", "sig", "sig2", "prefix")
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = ["id", "no", "h1"]
     return first.repartitionByRange(parts, *place).sortWithinPartitions(*place).withColumn("cid", F.monotonically_increasing_id())
