@@ -103,21 +103,23 @@ def links(nodes: DataFrame, max_bits: int, segments: int = 2) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
                     segments: int = 2) -> DataFrame:
-    """id, k (text fingerprint), fp, component_id for every row of ``docs``."""
+    """id, k (text fingerprint), fp, root and component_id for every row of
+    ``docs``. ``root`` names a component; components of one least id (or of null
+    ids alone) share a ``component_id``."""
     rows = stage(fingerprints(docs, shingle, id_col, text_col), "simhash")
     nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     roots = components(links(nodes, max_bits, segments)).select(F.col("node").alias("fp"), "root")
     named = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = named.select("fp", "root").join(least, "root").select("fp", "component_id")
+    member = named.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
     return rows.join(member, "fp")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group: the row of the smallest id (of equal ids, the
-    smallest text fingerprint; of equal rows, any). All columns of ``docs``."""
+    """One document of each component: the row of the smallest id (of equal ids,
+    the smallest text fingerprint; of equal rows, any). All columns of ``docs``."""
     found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    keep = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("x")).select(
+    keep = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("x")).select(
         F.col("x.id").alias("keep_id"), F.col("x.k").alias("keep_k"))
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     own_id, own_text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))

@@ -94,3 +94,24 @@ def test_groups_with_edges(spark):
     assert kept.where("doc_id = 4 AND text LIKE 'repeat%'").count() <= 1
     assert H.near_duplicates(null_docs(spark)).count() == 2 and H.deduplicate(null_docs(spark)).count() == 1
     assert H.near_duplicates(empty_docs(spark)).count() == 0 and H.deduplicate(empty_docs(spark)).count() == 0
+
+
+def test_every_component_keeps_one_row_whatever_its_ids(spark):
+    """Null ids and repeated ids with different texts, near copies among them."""
+    prepare(spark)
+    rng = random.Random(21)
+    texts = [words(rng, 150, 400) for _ in range(8)]
+    near = texts[0].split()
+    near[70] = "edit"
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:]] + [(None, texts[0]), (7, texts[4]), (9, texts[5]),
+                                                                           (None, " ".join(near)), (None, None), (None, ""), (7, " ")]
+    fps = [(n, fingerprint_by_hand(t)) for n, (_, t) in enumerate(rows)]
+    component = groups_by_hand(fps, 2)  # by row number, so that it names a component
+    df = docs_of(spark, rows)
+    kept = [(r.doc_id, r.text) for r in H.deduplicate(df).collect()]
+    by_text = {t: component[n] for n, (_, t) in enumerate(rows)}
+    assert sorted(by_text[t] for _, t in kept) == sorted(set(component.values()))
+    for i, t in kept:
+        ids = [j for n, (j, _) in enumerate(rows) if component[n] == by_text[t]]
+        assert i == min((j for j in ids if j is not None), default=None)
+    assert H.deduplicate(null_docs(spark)).count() == 1 and H.deduplicate(empty_docs(spark)).count() == 0
