@@ -38,7 +38,7 @@ KINDS = ("assign", "access", "hex", "guess")
 
 CONTEXT = re.compile(
     r"""(pass[_-]?(?:word|wd|phrase|code)|pwd|secret|token|credentials?|(?:api|access|private|auth)[_-]?key|bearer|login)"""
-    r"""["']?\x20{0,3}[:=]\x20{0,3}["'`]?([^\s"'`<>]+)""", re.IGNORECASE | re.ASCII)
+    r"""["']?[\x20\t]*[:=][\x20\t]*["'`]?([^\s"'`<>]+)""", re.IGNORECASE | re.ASCII)
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "credential", "key", "bearer", "login")
 
 # Common password words, most common first: a word's place is its guess count.
@@ -56,6 +56,16 @@ LETTERS = re.compile(r"[A-Za-z]{3,}")
 DATE_COST = math.log10(365 * 120)
 YEAR_COST = math.log10(120)
 UNLISTED_WORD = 6.0   # an unlisted word is one of a million
+LONGEST_UNLISTED = 15
+# Letter pairs that are common in English, German, French and Spanish words: two
+# thirds of a word's pairs are among them, of random letters' pairs one third.
+PAIRS = frozenset((
+    "th he in er an re nd on en at ou ed ha to or it is hi es ng st ar te se me sa ve le al ro ri de ra co li ne io ic la "
+    "el ti as ce ur ma ch si om ta us ec ho ca ut ss em ns ol et ac il nt un wa be di no pe ll so ul ei ie ck au ge sc mi "
+    "am mo ad id ir po su tr pr pl ea ee oo oa ow ai ay ey ly ty ry sh wh gh ph fo fi fe fa ke ki ld rd rt rs ct ts if im "
+    "op ap ep ab ag ig og ug ub av iv ov va vi vo da do du ga go gr ba bo bi br bl cl cr cu ci ex ev fr ja je jo ju ka ko "
+    "lo lu mu na ni nu pa pi pu qu rc rm rn ru sp sw tu tt ue ui uc up we wi wo ye yo za ze zi zu ia ua ot os oc od of ok "
+    "rg rk rl ks lt lf lk lm mp mb mm nc nk nn pp pt ff gi gn dr ds dl nv rv my by").split())
 JOIN_COST = math.log10(2)
 MAX_BLOCK = 8
 
@@ -80,6 +90,15 @@ WORD_COST = _word_costs(COMMON_WORDS)
 LONGEST_WORD = max(map(len, WORD_COST))
 
 
+def plausible_word(run: str) -> bool:
+    """Whether a run of letters looks like a word: of bounded length, all lower,
+    all upper or capitalised, its letter pairs mostly common ones."""
+    if len(run) > LONGEST_UNLISTED or not (run.isupper() or run[1:].islower()):
+        return False
+    low = run.lower()
+    return 3 * sum(low[i:i + 2] in PAIRS for i in range(len(low) - 1)) >= 2 * (len(low) - 1)
+
+
 def _segments(v: str, word_cost: dict[str, float], longest: int):
     """All non-brute-force spans of ``v``: (start, end, log10 guesses)."""
     low = v.lower()
@@ -95,7 +114,8 @@ def _segments(v: str, word_cost: dict[str, float], longest: int):
         if m := DATE.match(v, i):
             yield i, m.end(), YEAR_COST if m.end() - i == 4 else DATE_COST
     for m in LETTERS.finditer(v):
-        yield m.start(), m.end(), min(float(m.end() - m.start()), UNLISTED_WORD)
+        if plausible_word(m.group()):  # other runs take brute force
+            yield m.start(), m.end(), min(float(m.end() - m.start()), UNLISTED_WORD)
     i = 0
     while i < n - 2:  # keyboard walks and sequences: longest runs of neighbours
         j = i + 1

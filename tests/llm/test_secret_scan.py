@@ -80,3 +80,25 @@ def test_rows_and_edges(spark):
     assert S.digest(S.scan_secrets(null_docs(spark))).count() == 2
     assert S.digest(S.scan_secrets(empty_docs(spark))).count() == 0
     assert S.scan_secrets(docs_of(spark, [(1, "secret=" + "Zq7" * 40_000)])).first().spans[0].kind == "assign"
+
+
+def test_values_of_letters_alone_are_guess_spans():
+    rng = random.Random(3)
+    assert ("guess", 4, 28) in S.scan_text("pwd=XqZvBnMkLpRtWsYdGhJcFaQe")
+    assert ("guess", 12, 28) in S.scan_text("private_key=qnvhqzkdwxbtrgmc")
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmABCDEFGHIJKLM"):
+        for n in (16, 24, 64):
+            value = "".join(rng.choice(letters) for _ in range(n))
+            assert ("guess", 11, 11 + n) in S.scan_text(f"passphrase={value}"), value
+    found = sum(any(k == "guess" for k, *_ in S.scan_text("passcode=" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12))))
+                for _ in range(500))
+    assert found >= 470
+    for word in ("administrator", "authentication", "Zeichen", "CONFIGURATION", "necesario", "required", "blorptastic"):
+        assert S.scan_text(f"login: {word}") == [], word
+
+
+def test_aligned_files_keep_their_spans():
+    for gap in ("      ", "\t", " \t\t ", " " * 40):
+        text = f"pwd{gap}={gap}xK9#mQ2$vL"
+        assert ("guess", len(text) - 10, len(text)) in S.scan_text(text), text
+    assert S.scan_text("pwd =\nxK9#mQ2$vL") == []
