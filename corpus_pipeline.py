@@ -5,7 +5,7 @@ sf_dir)``, calls one operator on all documents its predecessor kept, and
 returns a DataFrame. All but the last return the columns of ``docs``. ``run``
 writes every stage's result to the shared folder and reads it back for the next.
 
-Null texts pass the first stages like empty ones; the columns beside ``doc_id``,
+Null texts pass the first stages like empty ones (the quality stage keeps both); the columns beside ``doc_id``,
 ``text`` and ``lang`` are carried along (``n_chars`` follows the text).
 """
 
