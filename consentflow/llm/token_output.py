@@ -17,7 +17,8 @@ document ids. A segment holds consecutive documents:
 Encoding cuts a text only at single spaces between two non-blank characters.
 The pre-tokeniser starts a new piece there in any text, so the units encode
 alone to the ids they have inside the text, and a worker encodes each distinct
-unit once. Units are encoded by the ``tokenizers`` library.
+unit once. Units are encoded by the ``tokenizers`` library as loaded: where a
+text holds the string of an added token, it gets that token.
 
 Defined cases: null and empty texts hold the end id alone; repeated ids stay
 rows of their own, in order of their text's fingerprint; an empty table gives
@@ -26,6 +27,7 @@ no segment. A text longer than a segment makes its own segment.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -111,15 +113,17 @@ class EliasFano:
 
 # --- encoding --------------------------------------------------------------
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
+@lru_cache(maxsize=4)
+def _tokenizer(path: str, plain_special: bool = False):
+    """The library's tokenizer as loaded; with ``plain_special``, the strings of
+    its special tokens are ordinary text."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    t.encode_special_tokens = plain_special
     t.model._resize_cache(0)  # each unit comes once: the library's own store only costs time
     return t
 
@@ -146,18 +150,51 @@ def units(text: str) -> list[str]:
     return out
 
 
+def split_units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Units of all texts end to end, and the offsets of every text's units."""
+    split = pc.split_pattern(texts, " ")
+    odd = pc.match_substring_regex(texts, IRREGULAR).to_numpy(zero_copy_only=False)
+    if odd.any():
+        parts = split.to_pylist()
+        for i in np.flatnonzero(odd).tolist():
+            parts[i] = units(texts[i].as_py())
+        split = pa.array(parts, pa.large_list(pa.large_string()))
+    offsets = split.offsets.to_numpy()
+    return offsets - offsets[0], split.flatten()
+
+
+def put_together(parts: list[bytes], place: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """For every text, the bytes of its units (``parts[place]``) end to end."""
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+    taken = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(parts))]).take(pa.array(place))
+    if len(place) == 0:
+        return [b""] * (len(offsets) - 1)
+    at, data = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:], memoryview(taken.buffers()[2])
+    cut = at[offsets].tolist()
+    return [bytes(data[a:b]) for a, b in zip(cut, cut[1:])]
+
+
 class UnitEncoder:
     """Encodes texts by their distinct units; the store is emptied when it is
     full, which changes the time taken and nothing else.
 
+    The strings of added tokens in a text give these tokens, as the library does
+    when loaded (``plain_special`` turns that off). Such a string ends at the
+    cuts too, so its unit is encoded alone; were it to hold a blank itself, its
+    texts would be encoded whole.
+
     Words are split, made distinct and put back in order by Arrow kernels;
     Python sees each distinct unit of a batch once. New units go to the library
     glued by tabs, 64 at a time: no unit holds a tab, and the pre-tokeniser
     makes a piece of its own of a tab that has a non-blank character before it
     and at most one space behind it. Others are encoded alone."""
 
-    def __init__(self, path: str, limit: int = CACHE_UNITS):
-        self.tok, self.limit = _tokenizer(path), limit
+    def __init__(self, path: str, limit: int = CACHE_UNITS, plain_special: bool = False):
+        self.tok, self.limit = _tokenizer(path, plain_special), limit
+        added = [] if plain_special else [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.whole = re.compile("|".join(map(re.escape, blank))) if (blank := [t for t in added if re.search(r"\s", t)]) else None
         self.width = 2 if max(self.tok.get_vocab().values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.glue = self._alone([GLUE])[0]
@@ -170,7 +207,8 @@ class UnitEncoder:
 
     def _encode_units(self, found: list[str]) -> list[bytes]:
         """Ids of units that stand behind a space."""
-        plain = [u for u in found if u and GLUE not in u and not u[0].isspace() and not u[-1].isspace()]
+        plain = [u for u in found if u and GLUE not in u and not u[0].isspace() and not u[-1].isspace()
+                 and not (self.added and self.added.search(u))]
         ids: dict[str, bytes] = {}
         if len(self.glue) == self.width:
             glue, width = int.from_bytes(self.glue, "little"), self.width
@@ -203,28 +241,18 @@ class UnitEncoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text, little-endian, ``width`` bytes each (nulls are empty)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        split = pc.split_pattern(texts, " ")
-        odd = pc.match_substring_regex(texts, IRREGULAR).to_numpy(zero_copy_only=False)
-        if odd.any():
-            parts = split.to_pylist()
-            for i in np.flatnonzero(odd).tolist():
-                parts[i] = units(texts[i].as_py())
-            split = pa.array(parts, pa.large_list(pa.large_string()))
-        offsets = split.offsets.to_numpy()
-        words = split.flatten()
+        offsets, words = split_units(texts)
         coded = words.dictionary_encode()
         place, n = coded.indices.to_numpy().copy(), len(coded.dictionary)
         heads = words.take(pa.array(offsets[:-1])).to_pylist()
         place[offsets[:-1]] = n + np.arange(len(heads))  # a text's first unit has no space in front
         # a word that only ever comes first would be looked up for nothing, and harmlessly
-        ids = self._lookup(coded.dictionary.to_pylist()) + self._alone(heads)
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-        taken = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(ids))]).take(pa.array(place))
-        at, raw = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:], taken.buffers()[2]
-        cut = at[offsets].tolist()
-        data = memoryview(raw)
-        return [bytes(data[a:b]) for a, b in zip(cut, cut[1:])]
+        out = put_together(self._lookup(coded.dictionary.to_pylist()) + self._alone(heads), place, offsets)
+        if self.whole:
+            for i, t in enumerate(texts.to_pylist()):
+                if self.whole.search(t):
+                    out[i] = self._alone([t])[0]
+        return out
 
 
 @lru_cache(maxsize=1)

@@ -36,7 +36,6 @@ def test_elias_fano_random_and_small():
 def test_units_encode_like_whole_texts():
     rng = random.Random(5)
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     parts = ["a", "b", "é", " ", "  ", "\n", "\n\n", "\t", ".", ",", "'s", "'", "1", "<|endoftext|>", "\xa0", "日本", "!?", "　", " the"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
     enc = T.UnitEncoder(PATH, limit=50)
@@ -45,10 +44,21 @@ def test_units_encode_like_whole_texts():
         assert np.frombuffer(x, enc.kind).tolist() == tok.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_in_texts():
+    tok = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", " <|endoftext|>  q", "a\t<|endoftext|>\n<|endoftext|> <|endoftext|> e"]
+    kind = T.UnitEncoder(PATH).kind
+    assert [np.frombuffer(x, kind).tolist() for x in T.UnitEncoder(PATH).encode(pa.array(texts))] == [
+        tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in tok.encode(texts[0], add_special_tokens=False).ids
+    tok.encode_special_tokens = True
+    assert [np.frombuffer(x, kind).tolist() for x in T.UnitEncoder(PATH, plain_special=True).encode(pa.array(texts))] == [
+        tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def by_hand(rows, end=2):
     """Sorted by id (nulls first), then by the text's fingerprint order given."""
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     out, start = [], 0
     for doc_id, text in rows:
         ids = tok.encode(text or "", add_special_tokens=False).ids + [end]
