@@ -8,8 +8,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from consentflow.llm import (byte_bpe, decontaminate, kneser_ney, line_dedup, log_bilinear, quality_rules, secret_scan,
-                             simhash, token_output, trie_counts)
+from consentflow.llm import (best_fit, byte_bpe, decontaminate, fill_in_middle, kneser_ney, line_dedup, log_bilinear,
+                             quality_rules, secret_scan, simhash, token_output, tokenizer_alignment, trie_counts)
 from consentflow.llm.common import prepare, table
 
 
@@ -67,6 +67,23 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_bilinear.score(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, and the text rebuilt from it."""
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of two tokenizers' ids that cover the same bytes, and their links."""
+    return tokenizer_alignment.digest(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1,024 tokens."""
+    return best_fit.digest(best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -77,7 +94,8 @@ def _prepared(fn):
 
 QUERIES = {f.__name__: _prepared(f) for f in (
     op1_secret_scan, op2_token_output, op3_token_counts, op4_quality_rules, op5_line_dedup, op6_decontaminate,
-    op7_kneser_ney, op8_simhash, op9_byte_bpe, op10_log_bilinear)}
+    op7_kneser_ney, op8_simhash, op9_byte_bpe, op10_log_bilinear, op11_fill_in_middle, op12_tokenizer_alignment,
+    op13_best_fit)}
 
 # The others hash, tokenise or train beyond what SQL offers: tests compare them by brute force.
 ORACLE_SQL: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE_SQL, "op6_decontaminate": decontaminate.ORACLE_SQL}
