@@ -52,7 +52,7 @@ def test_run_gives_the_last_stage(spark):
 
 def test_registered(spark):
     names = entry.queries()
-    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(Q.QUERIES) <= set(names) and "pipeline" in names
     assert set(Q.ORACLE_SQL) <= set(entry.oracle_sql())
     assert len(P.STAGES) == 5 and simhash and P.ORACLE_SQL is None
