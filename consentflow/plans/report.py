@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from consentflow.functions import DATE_MIN, ORIGIN_REPORT, default_int, default_string
 from consentflow.operators import window_bounds
+from consentflow.operators.as_of import as_of
 from consentflow.plans import staging
 
 REPORT_COLUMNS = [
@@ -26,7 +27,8 @@ def _current(dim: DataFrame) -> DataFrame:
 def consent_company_day(fct_consent: DataFrame, dim_company: DataFrame, dim_date: DataFrame,
                         window: window_bounds.LoadWindow | None = None,
                         run_id: str | None = None, keep_unmatched: bool = False) -> DataFrame:
-    """Consent fact enriched with calendar and company attributes.
+    """Consent fact enriched with calendar and company attributes of today (for
+    those of the fact's own day see ``consent_as_of``).
 
     Default: facts without a current company / date member drop out (the
     validity filter after the outer joins makes them inner joins, trap D5).
@@ -55,3 +57,12 @@ def consent_company_day(fct_consent: DataFrame, dim_company: DataFrame, dim_date
         F.current_timestamp().alias("ingest_dttm"),
         F.lit(None).cast("timestamp_ntz").alias("update_dttm"),
         F.lit(ORIGIN_REPORT).alias("origin"))
+
+
+def consent_as_of(fct_consent: DataFrame, company_versions: DataFrame) -> DataFrame:
+    """Company-day facts with the company attributes valid on the fact's own day
+    (JOIN-04): history keeps the attributes it had, facts of a day without a
+    valid version stay with nulls. Both ends of a validity count."""
+    facts = fct_consent.select("consent_uq", "company_id", "event_dt", F.col("event_dt").cast("timestamp_ntz").alias("at"),
+                               "event_count", "consent_conversion_rate")
+    return as_of(facts, company_versions, "company_id", "at", ["industry_front", "hq_country"], "consent_uq").drop("at")

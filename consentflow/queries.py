@@ -124,6 +124,34 @@ def _versioned(g: ModelGraph) -> DataFrame:
     return ended.unionByName(d.where(~F.col("company_id").isin("4", "7"))).unionByName(future)
 
 
+def _changing_companies(g: ModelGraph) -> DataFrame:
+    """Company versions that change among the events: a first one until noon of
+    the 10th, a next one from then to the 20th (to the 14th for company 3, whose
+    history has a gap), a last one from the 21st; company 5 has no first one."""
+    d = g.dim_company.select("company_id", "industry_front", "hq_country", "valid_from", "valid_to")
+    ts = lambda *a: F.lit(_dt.datetime(2024, 1, *a)).cast("timestamp_ntz")
+    named = lambda tag: F.concat("industry_front", F.lit(tag))
+    first = d.where("company_id <> '5'").withColumns({"valid_to": ts(10, 12), "industry_front": named(" before")})
+    second = d.withColumns({"valid_from": ts(10, 12), "valid_to": F.when(F.col("company_id") == "3", ts(14)).otherwise(ts(20))})
+    last = d.withColumns({"valid_from": ts(21), "industry_front": named(" after"), "hq_country": F.lit("moved")})
+    return first.unionByName(second).unionByName(last)
+
+
+def _hot_company(g: ModelGraph) -> DataFrame:
+    """Events where company 1 holds three of five."""
+    return g.fct_event.withColumn("company_id", F.when(F.col("event_id").cast("long") % 5 < 3, "1").otherwise(F.col("company_id")))
+
+
+def _reach_sketch(g: ModelGraph, *by: str) -> DataFrame:
+    """Reach rolled up from stored company-day states, checked against the events."""
+    base = scratch_path(g.spark, f"roundtrip/reach-{uuid.uuid4().hex[:10]}")
+    try:
+        analysis.reach_states(g.fct_event).write.parquet(base)
+        return analysis.reach_within_bound(g.spark.read.parquet(base), g.fct_event, *by).checkpoint()
+    finally:
+        incremental.delete_path(g.spark, base)
+
+
 def _report_versions(g: ModelGraph, keep: bool) -> DataFrame:
     return report.consent_company_day(g.fct_consent, _versioned(g), g.dim_date, keep_unmatched=keep)
 
@@ -280,6 +308,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_versions_unmatched": _q(lambda g: _report_versions(g, True)),
     "calendar_orders": _q(_calendar_orders),
     "time_to_next_hot_user": _q(_hot_user),
+    "events_with_industry_hot": _q(lambda g: analysis.events_with_industry(_hot_company(g), g.dim_company)),
+    "report_as_of": _q(lambda g: report.consent_as_of(g.fct_consent, _changing_companies(g))),
+    "events_as_of_hot": _q(lambda g: analysis.events_as_of(_hot_company(g), _changing_companies(g))),
+    "geo_reach_sketch": _q(lambda g: _reach_sketch(g, "company_id")),
+    "geo_reach_sketch_daily": _q(lambda g: _reach_sketch(g, "event_dt", "company_id")),
     "key_replace_changed": _q(_key_replace_changed),
     "hourly_given_ranked": _q(lambda g: analysis.ranked(analysis.hourly_given(g.fct_event), "hour_ts")),
     "events_per_company_ranked": _q(lambda g: analysis.ranked(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from consentflow.operators.sequence import _SEG, first_following_where, segments, with_neighbour
+from consentflow.operators.sequence import _SEG, borders, first_following_where, last_preceding_where, segments, with_neighbour
 
 ORDER = ["event_dttm", "event_id"]
 
@@ -51,6 +51,32 @@ def test_first_following_equals_grouped_window(spark, share, ranges):
     assert same(ref, first_following_where(df, ["user_id"], ORDER, "event_dttm", cond, "g", num_ranges=ranges))
 
 
+@pytest.mark.parametrize("share,ranges", [(0.7, 8), (1.0, 16)])
+def test_last_preceding_equals_grouped_window(spark, share, ranges):
+    df = events(spark, 1500, share)
+    cond = F.col("event_type") == "consent.asked"
+    w = Window.partitionBy("user_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = df.select("*", F.last(F.when(cond, F.struct("event_dttm")), ignorenulls=True).over(w).getField("event_dttm").alias("g"))
+    assert same(ref, last_preceding_where(df, ["user_id"], ORDER, "event_dttm", cond, "g", num_ranges=ranges))
+
+
+def test_one_exchange_of_all_rows_and_nothing_written(spark):
+    plan = with_neighbour(events(spark), ["user_id"], ORDER, ["event_type"])._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan.replace("Scan ExistingRDD[user_id", "") and plan.count("hashpartitioning(user_id") >= 1
+    assert "rangepartitioning" not in plan and "__nb_seg" in plan
+
+
+def test_borders_are_the_same_each_time_and_few(spark):
+    df = events(spark, n=4000)
+    found = borders(df, ["user_id"], ORDER, 8)
+    keys = {r["__nb_h0"]: r["__nb_keys"] for r in found.collect()}
+    assert keys == {r["__nb_h0"]: r["__nb_keys"] for r in borders(df.repartition(3), ["user_id"], ORDER, 8).collect()}
+    assert set(keys) == {"hot"} and 3 <= len(keys["hot"]) <= 16
+    same_instant = df.withColumn("event_dttm", F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz"))
+    largest = segments(same_instant, ["user_id"], ORDER, 8).groupBy("user_id", _SEG).count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 4000 / 8
+
+
 def test_no_window_group_is_much_larger_than_a_range(spark):
     df = events(spark, n=4000)
     tagged = segments(df, ["user_id"], ORDER, num_ranges=8)
