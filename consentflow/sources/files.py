@@ -45,13 +45,18 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
 def header_groups(spark: SparkSession, paths, threads: int = 16) -> list[list[str]]:
     """Files by equal header: Spark's reader takes the header of one file for
     all the files of a scan, so files that differ need scans of their own."""
+    groups = files_by_header(spark, paths, threads)
+    return [groups[h] for h in sorted(groups)]
+
+
+def files_by_header(spark: SparkSession, paths, threads: int = 16) -> dict[tuple[str, ...], list[str]]:
     files = expand(spark, paths)
     with ThreadPoolExecutor(max_workers=threads) as pool:
         headers = list(pool.map(lambda f: header_of(spark, f), files))
     groups: dict[tuple, list[str]] = {}
     for f, h in zip(files, headers):
         groups.setdefault(h, []).append(f)
-    return [groups[h] for h in sorted(groups)]
+    return groups
 
 
 def csv_scans(spark: SparkSession, paths, schema: T.StructType | None = None) -> list[DataFrame]:
@@ -73,6 +78,34 @@ def csv_scans(spark: SparkSession, paths, schema: T.StructType | None = None) ->
     return [by_name(r.csv(g), schema) for g in header_groups(spark, paths)]  # every column read as text
 
 
+CORRUPT = "__corrupt"
+
+
+def bad_csv_files(spark: SparkSession, paths, schema: T.StructType) -> list[str]:
+    """Files with a record that ``csv_scans`` would fail on: one that does not
+    parse (it lands in the corrupt-record column of a permissive scan) or a value
+    that does not cast. One job over all files, aggregated by file in the tasks;
+    only the bad files' names reach the driver."""
+    found = []
+    for header, group in files_by_header(spark, paths).items():
+        names = list(header)
+        if len({n.lower() for n in names}) < len(names) or not names:
+            continue  # no scan by name: such a file shows when it is loaded alone
+        text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("quote", '"')
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(text))
+        bad = F.col(CORRUPT).isNotNull()
+        for f in schema.fields:
+            if f.name in names and not isinstance(f.dataType, T.StringType):
+                bad = bad | ((F.col(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull())
+        # all columns are named, so that no field is skipped by the parser
+        found.append(r.csv(group).select(F.col("_metadata.file_path").alias("file"), F.coalesce(bad, F.lit(False)).alias("bad"),
+                                         F.hash(*names).alias("read")).where(F.col("bad") & F.col("read").isNotNull()))
+    if not found:
+        return []
+    return sorted(r.file for r in _union([f.select("file") for f in found]).distinct().collect())
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     if not parts:
         raise ValueError("no input files")

@@ -1,18 +1,22 @@
 """Ingestion job (MOD-12): files → raw table with lineage and a load ledger.
 
 All new files are read in one job (one scan for each CSV header, one for the
-Parquet files, unioned by name). When that job fails its list of files is
-halved until the bad files are alone, so they are recorded as ``failed`` and the
-others still load (SRC-11). Every job is committed as a whole;
+Parquet files, unioned by name). When that job fails, one permissive pass over
+the CSV files names those with records that do not parse or cast, and the others
+are loaded in one more job, however many are bad; only what still fails (a broken
+Parquet file, say) is found by halving. Bad files are recorded as ``failed`` and
+the others still load (SRC-11). Every job is committed as a whole;
 ``truncate_append`` replaces the table from a staged copy and only when at least
 one file loaded (trap D15). The run raises at the end if any file failed.
 """
 
 from __future__ import annotations
 
+import re
 import secrets
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +77,29 @@ def _each(paths: list[str], load) -> tuple[list[str], list[str]]:
     return a + c, b + d
 
 
+def _same_path(path: str) -> str:
+    return re.sub(r"^file:/+", "file:/", unquote(path))
+
+
+def _load_good(spark: SparkSession, paths: list[str], schema: T.StructType, load) -> tuple[list[str], list[str]]:
+    """All files in one job; if it fails, those without bad CSV records in one
+    more. Returns (loaded, failed)."""
+    try:
+        load(paths)
+        return paths, []
+    except Exception:  # noqa: BLE001 - the bad files are looked for next
+        if len(paths) == 1:
+            return [], paths
+    text = [p for p in paths if p.lower().endswith(".csv")]
+    try:
+        bad = {_same_path(p) for p in fsrc.bad_csv_files(spark, text, schema)} if text else set()
+    except Exception:  # noqa: BLE001 - a file that no scan reads: found by halving
+        bad = set()
+    good, failed = ([p for p in paths if (_same_path(p) in bad) == is_bad] for is_bad in (False, True))
+    loaded, more = _each(good, load) if good else ([], [])
+    return loaded, sorted(failed + more)
+
+
 def drop_unrecorded_loads(spark: SparkSession, table_path: str, ledger_path: str,
                           table_name: str, lease_hours: float = 0) -> list[str]:
     """Remove batches that started but never recorded an outcome (the driver
@@ -132,7 +159,7 @@ def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str,
         return fsrc.read_any(spark, some, schema, result.load_no)
 
     if disposition == "append":
-        result.loaded, result.failed = _each(paths, lambda some: _append(rows(some), table_path, partition))
+        result.loaded, result.failed = _load_good(spark, paths, schema, lambda some: _append(rows(some), table_path, partition))
     else:
         # good files are staged first; the table changes only if there are any
         parts: list[str] = []
@@ -142,7 +169,7 @@ def ingest(spark: SparkSession, pattern: str, table_path: str, table_name: str,
             rows(some).write.mode("errorifexists").parquet(path)
             parts.append(path)
         try:
-            result.loaded, result.failed = _each(paths, put_aside)
+            result.loaded, result.failed = _load_good(spark, paths, schema, put_aside)
             if parts:
                 df, by = _partitioned(spark.read.parquet(*parts), partition)
                 replace_rows(df, table_path, by)

@@ -266,6 +266,24 @@ def test_many_files_a_few_bad(spark, tmp_dir):
     assert sorted(x.EVENT_ID for x in spark.read.parquet(f"{tmp_dir}/raw").collect()) == [f"e{i}" for i in range(9) if i not in (2, 7)]
 
 
+def test_bad_csv_files_cost_one_pass_and_one_job(spark, tmp_dir, monkeypatch):
+    """Values that do not cast and records that do not parse, in several files."""
+    import os
+    os.makedirs(f"{tmp_dir}/in dir")
+    for i in range(12):
+        body = {3: "a,x,2024-01-01 00:00:00", 7: 'a,"1', 9: "a,1,not a time"}.get(i, f"e{i},{i}.5,2024-01-01 00:00:00\nf{i},,")
+        order = "EVENT_ID,RATE,EVENT_TIME"
+        with open(f"{tmp_dir}/in dir/{i:02d}.csv", "w") as f:
+            f.write(f"{order}\n{body}\n")
+    calls = []
+    real = ing._append
+    monkeypatch.setattr(ing, "_append", lambda *a: (calls.append(1), real(*a)))
+    got = ing.ingest(spark, f"{tmp_dir}/in dir/*.csv", f"{tmp_dir}/t", "events", f"{tmp_dir}/l", schema=RAW_EVENT_SCHEMA, fail_on_error=False)
+    assert {os.path.basename(p)[:2] for p in got.failed} == {"03", "07", "09"} and len(got.loaded) == 9
+    assert len(calls) == 2
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 18
+
+
 def test_changed_file_counts_once(spark, tmp_dir):
     from consentflow.warehouse import Warehouse
     wh = Warehouse(spark, f"{tmp_dir}/wh")
