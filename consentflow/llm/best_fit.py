@@ -11,7 +11,8 @@ of the corpus -- and moves whole groups of windows alike. It gives *rules*: the
 pieces g to g' (in order of falling length) go, q to a window, into the windows
 from w on, behind the first b ids. The corpus-wide number of a piece comes from
 counts by task and length and their running sums; every piece then finds its
-rule by binary search. No piece passes the driver, nothing is capped, and no
+rule by binary search. Full windows are sequences as they stand and stay where
+they are; rests move by sequence once they are placed. No piece passes the driver, nothing is capped, and no
 length, however frequent, meets in one task.
 
 Windows that stay open with more than ``max_gap`` ids to go are laid end to end
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from consentflow.llm.common import stage
-from consentflow.llm.token_output import UnitEncoder
+from consentflow.llm.token_output import UnitEncoder, larger_batches
 
 CAPACITY = 1024
 END_ID = 0
@@ -199,7 +200,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, ca
         task, enc = TaskContext.get().partitionId(), _encoder(tokenizer_path)
         width = enc.width if end_id < 1 << 8 * enc.width else 4
         tail, seen = end_id.to_bytes(width, "little"), [0] * (capacity + 1)
-        for b in batches:
+        for b in larger_batches(batches):
             rows, owner, number = [], [], []
             for i, ids in enumerate(enc.encode(b.column("t"))):
                 if width != enc.width:
@@ -220,9 +221,9 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, ca
     return src.mapInArrow(run, f"task int, number bigint, id {kind}, {PIECE}")
 
 
-def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, max_gap: int = MAX_GAP) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, max_gap: int = MAX_GAP) -> tuple[DataFrame, int]:
     """``pieces`` (of ``cut_documents``, staged) with sequence and offset, cut
-    where their window is."""
+    where their window is; and the number of sequences."""
     counts = pieces.groupBy("task", "length").count()
     total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # ``capacity`` at most
     plan = Plan(total, capacity, max_gap)
@@ -254,7 +255,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY, max_gap: int = MAX
                 [pa.array(sequence, pa.int64()), pa.array(offsets, pa.int32()), moved.column("id").take(pa.array(owner, pa.int64())), *_piece_arrays(rows)],
                 names=["sequence_id", "offset", "id", "start", "length", "doc_tokens", "ids"])
 
-    return numbered.mapInArrow(run, f"sequence_id bigint, offset int, id {kind}, {PIECE}")
+    placed = numbered.mapInArrow(run, f"sequence_id bigint, offset int, id {kind}, {PIECE}")
+    return placed, plan.kept + plan.tail // capacity + len(plan.cuts) + 1
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY, max_gap: int = MAX_GAP,
@@ -263,8 +265,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
     id, start in the document, length, tokens of the document, ids)."""
     pieces = stage(cut_documents(docs, tokenizer_path, end_id, capacity, id_col, text_col), "pieces")
     cols = ["offset", "id", "start", "length", "doc_tokens", "ids"]
-    placed = place_pieces(pieces, capacity, max_gap)
-    return placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("pieces"))
+    placed, used = place_pieces(pieces.where(F.col("length") < capacity), capacity, max_gap)
+    packed = placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("pieces"))
+    # a full window is a sequence as it stands; the numbers behind those used are free
+    number = F.lit(used) + F.shiftleft(F.col("task").cast("long"), 40) + F.col("number")
+    full = pieces.where(F.col("length") == capacity).select(
+        number.alias("sequence_id"), F.array(F.struct(F.lit(0).alias("offset"), *cols[1:])).alias("pieces"))
+    return packed.unionByName(full)
 
 
 def digest(sequences: DataFrame) -> DataFrame:

@@ -166,10 +166,15 @@ def split_units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 def put_together(parts: list[bytes], place: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     """For every text, the bytes of its units (``parts[place]``) end to end."""
     ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-    taken = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(parts))]).take(pa.array(place))
+    return slices_of(pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(parts))]), place, offsets)
+
+
+def slices_of(table: pa.Array, place: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The bytes of ``table[place]`` end to end, cut where ``offsets`` say."""
     if len(place) == 0:
         return [b""] * (len(offsets) - 1)
+    taken = table.take(pa.array(place))
     at, data = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:], memoryview(taken.buffers()[2])
     cut = at[offsets].tolist()
     return [bytes(data[a:b]) for a, b in zip(cut, cut[1:])]
@@ -279,7 +284,7 @@ SEGMENT_ARROW = pa.schema([
     ("ids_low", pa.binary()), ("ids_high", pa.binary()), ("ids_select", pa.binary())])
 
 
-def _larger(batches: Iterator[pa.RecordBatch], size: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+def larger_batches(batches: Iterator[pa.RecordBatch], size: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """Batches put together up to ``size`` bytes: fewer look-ups of one unit."""
     held: list[pa.RecordBatch] = []
     for b in batches:
@@ -307,7 +312,7 @@ def encode_segments(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_co
         doc_ids: list = []
         ids: list[bytes] = []
         seq = start = held = 0
-        for b in _larger(batches):
+        for b in larger_batches(batches):
             got = enc.encode(b.column("t"))
             if width != enc.width:
                 got = [np.frombuffer(x, enc.kind).astype("<u4").tobytes() for x in got]
