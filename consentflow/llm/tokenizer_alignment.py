@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +46,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from consentflow.llm.common import stage
-from consentflow.llm.token_output import UnitEncoder, put_together, split_units
+from consentflow.llm.token_output import UnitEncoder, put_together, slices_of, split_units
 
-STORE_UNITS = 150_000  # a generation; two are held
+STORE_UNITS = 250_000  # a generation; two are held
 STORED_CHARS = 200  # longer units are aligned each time they come
+BLOCK = 1 << 14
 HEAVY = 1 << 16
 SPACE = "▁"
 
@@ -85,50 +87,62 @@ class Aligner:
         self.same = np.array([made.get(x, -1) for x in self.a_bytes], np.int64)
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.wide = "<u2" if len(self.a_bytes) <= 1 << 16 else "<u4"
+        self.a_size, self.b_size = (np.array([len(x) for x in xs], np.int64) for xs in (self.a_bytes, self.b_bytes))
+        # an id as it is said inside a group, and as its last one
+        self.said = pa.array([f"{i}{end}".encode() for ends, n in ((",|", len(self.a_bytes)), (",;", size)) for i in range(n) for end in ends],
+                             pa.large_binary())
         self.limit = limit
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
-    def align(self, a: list[int], b: list[int], data: bytes) -> tuple | None:
-        """(ids of A, ids of B, groups, links, text of the groups, identity ids,
-        pairs of the other links) or None if the bytes differ from ``data``."""
-        x, y = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(x) != data or b"".join(y) != data:
-            return None
-        ends_a, ends_b = np.cumsum([len(t) for t in x]).tolist(), np.cumsum([len(t) for t in y]).tolist()
-        said, ident, pairs = [], [], []
-        i = j = groups = 0
-        while i < len(a):
-            i0, j0 = i, j
-            p, q = ends_a[i], ends_b[j]
-            while p != q:
-                if p < q:
-                    i += 1
-                    p = ends_a[i]
-                else:
-                    j += 1
-                    q = ends_b[j]
-            i, j = i + 1, j + 1
-            groups += 1
-            if i - i0 == 1 == j - j0 and self.same[a[i0]] == b[j0]:
-                ident.append(a[i0])
-                said.append(f"{a[i0]}|{b[j0]}")
-            else:
-                pairs.append(a[i - 1] << 32 | b[j - 1])
-                said.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-        return (len(a), len(b), groups, groups, (";".join(said) + ";").encode(), np.array(ident, self.wide).tobytes(),
-                np.array(pairs, "<u8").tobytes())
+    def align(self, texts: list[str], a: list[np.ndarray], b: list[list[int]]) -> list[tuple | None]:
+        """For every text, (ids of A, ids of B, groups, links, text of the
+        groups, identity ids, pairs of the other links), or None if the bytes of
+        either differ from the space and the text. All texts at once: laid end
+        to end, each one's end is a place where both end."""
+        data = [b" " + t.encode() for t in texts]
+        good = [b"".join([self.a_bytes[i] for i in x.tolist()]) == d == b"".join([self.b_bytes[i] for i in y])
+                for x, y, d in zip(a, b, data)]
+        out: list[tuple | None] = [None] * len(texts)
+        if not any(good):
+            return out
+        a, b, data = ([x for x, g in zip(xs, good) if g] for xs in (a, b, data))
+        n_a, n_b = np.array([len(x) for x in a]), np.array([len(y) for y in b])
+        ids_a, ids_b = np.concatenate(a).astype(np.int64), np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum()))
+        ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        first_a, first_b = np.append(0, last_a[:-1] + 1), np.append(0, last_b[:-1] + 1)
+        same = (first_a == last_a) & (first_b == last_b) & (self.same[ids_a[last_a]] == ids_b[last_b])
+        ident = ids_a[last_a[same]].astype(self.wide).tobytes()
+        pairs = (ids_a[last_a] << 32 | ids_b[last_b])[~same].astype("<u8").tobytes()
+        # groups, and those of one kind, up to the end of each text
+        upto = np.append(0, np.searchsorted(cuts, np.cumsum([len(d) for d in data]), "right"))
+        of_same = np.append(0, np.cumsum(same))[upto]
+        # the ids of a group follow each other, those of A first
+        size_a, size_b = last_a - first_a + 1, last_b - first_b + 1
+        place = np.empty(len(ids_a) + len(ids_b), np.int64)
+        said_a, said_b = 2 * ids_a, 2 * ids_b + 2 * len(self.a_bytes)
+        said_a[last_a] += 1
+        said_b[last_b] += 1
+        place[np.arange(len(ids_a)) + np.repeat(first_b, size_a)] = said_a
+        place[np.arange(len(ids_b)) + np.repeat(last_a + 1, size_b)] = said_b
+        said = slices_of(self.said, place, np.append(0, np.cumsum(n_a + n_b)))
+        width, groups = np.dtype(self.wide).itemsize, np.diff(upto).tolist()
+        i, p = (width * of_same).tolist(), (8 * (upto - of_same)).tolist()
+        made = iter(zip(n_a.tolist(), n_b.tolist(), groups, groups, said,
+                        [ident[x:y] for x, y in zip(i, i[1:])], [pairs[x:y] for x, y in zip(p, p[1:])]))
+        return [next(made) if g else None for g in good]
 
     def _both(self, texts: list[str]) -> list[tuple | None]:
         """Alignments of texts that are not stored; each gets a space in front."""
-        a = [np.frombuffer(x, self.a.kind).tolist() for x in self.a._encode_units(texts)]
-        b = self.b.encode(texts, num_threads=1)
-        return [self.align(x, y, b" " + t.encode()) for x, y, t in zip(a, b, texts)]
+        a = [np.frombuffer(x, self.a.kind) for x in self.a._encode_units(texts)]
+        return self.align(texts, a, self.b.encode(texts, num_threads=1))
 
     def whole(self, text: str) -> tuple | None:
         """One text, not cut."""
-        ids = self.a.tok.encode(" " + text, add_special_tokens=False).ids
-        return self.align(ids, self.b.encode(text, num_threads=1), b" " + text.encode())
+        ids = np.array(self.a.tok.encode(" " + text, add_special_tokens=False).ids)
+        return self.align([text], [ids], [self.b.encode(text, num_threads=1)])[0]
 
     def _lookup(self, found: list[str]) -> list[tuple | None]:
         if len(self.known) > self.limit:
@@ -142,8 +156,8 @@ class Aligner:
                 got[u] = known[u] = older[u]
             else:
                 new.append(u)
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
+        for at in range(0, len(new), BLOCK):
+            part = new[at:at + BLOCK]
             for u, x in zip(part, self._both(part)):
                 got[u] = x
                 if len(u) <= STORED_CHARS:
