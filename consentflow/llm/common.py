@@ -74,6 +74,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the folder of a staged table that no later step reads."""
+    spark = df.sparkSession
+    for f in {os.path.dirname(x) for x in df.inputFiles()}:
+        if "/llm/" in f:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that no column of ``df`` has (names compare caseless)."""
     taken = {c.lower() for c in df.columns}

@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from consentflow.llm.common import drop_empty, stage, text_key
+from consentflow.llm.common import drop_empty, stage, text_key, unstage
 
 BLANKS = r"[\x20\x09-\x0D]+"
 BUCKETS = 1 << 15  # a constant of the plan: its text is kept by the driver for each job
@@ -107,10 +107,14 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column,
     need = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct().join(
         classes.select("cid", "id", "no", "h1"), "cid")
     wanted = need.groupBy(F.col("id").alias("id_")).agg(F.collect_list(F.struct("cid", "no", "h1")).alias("c"))
-    held = docs.join(wanted, docs["id"].eqNullSafe(wanted["id_"])).select(F.split("t", "\n").alias("lines"), F.explode("c").alias("c"))
-    sets = held.select("c.cid", "c.h1", word_set(F.get("lines", "c.no"), ranks).alias("s"))
-    # where ids repeat, the text that has this line
-    sets = sets.where(F.xxhash64("s") == F.col("h1")).dropDuplicates(["cid"]).select("cid", "s")
+    lines = F.split("t", "\n")
+    # lines are cut out before the rows part, so that no row holds a whole text
+    cut = F.transform("c", lambda c: F.struct(c.cid.alias("cid"), c.h1.alias("h1"), F.get(F.col("lines"), c.no).alias("line")))
+    held = docs.join(wanted, docs["id"].eqNullSafe(wanted["id_"])).select("c", lines.alias("lines"))
+    held = held.select(F.explode(cut).alias("c"))
+    # where ids repeat, the text that has this line: one of several sets of a class
+    sets = held.select("c.cid", "c.h1", word_set(F.col("c.line"), ranks).alias("s")).groupBy("cid").agg(
+        F.max(F.struct((F.xxhash64("s") == F.col("h1")).alias("own"), "s")).alias("s")).select("cid", "s.s")
     both = pairs.join(sets.toDF("x", "xs"), "x").join(sets.toDF("y", "ys"), "y")
     common = F.size(F.array_intersect("xs", "ys"))
     similar = common >= similarity * (F.size("xs") + F.size("ys") - common) - EPS
@@ -158,8 +162,11 @@ def class_table(lines: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(id, k, no) of the lines that go; docs: id, k, t (no nulls)."""
     ranks = rarity(docs)
-    lines = stage(line_table(docs, ranks, similarity), "lines")
-    classes = stage(class_table(lines), "line-classes")
+    whole = stage(line_table(docs, ranks, similarity), "lines")
+    classes = stage(class_table(whole), "line-classes")
+    # once the classes are known, a line is its place and its class's name
+    lines = stage(whole.select("id", "k", "no", "h1", "w1"), "line-names")
+    unstage(whole)
     gone = matched_classes(classes, docs, ranks, similarity).select(F.col("x").alias("cid"), F.lit(True).alias("gone"))
     state = classes.select("h1", "w1", "cid", F.col("id").alias("cid_id"), F.col("no").alias("cid_no")).join(gone, "cid", "left")
     first = F.col("id").eqNullSafe(F.col("cid_id")) & (F.col("no") == F.col("cid_no"))

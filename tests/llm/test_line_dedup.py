@@ -68,6 +68,16 @@ def test_large_group_of_near_copies(spark):
     assert got == by_hand(rows, 0.8)
 
 
+def test_texts_of_many_lines(spark):
+    """Near-equal lines of two long texts: no line's row holds its whole text."""
+    prepare(spark)
+    rng = random.Random(12)
+    lines = [" ".join(f"g{rng.randrange(3000)}" for _ in range(12)) for _ in range(2500)]
+    edited = [" ".join([*x.split()[:11], f"z{i}"]) for i, x in enumerate(lines)]
+    got = {r.doc_id: r.text for r in L.deduplicate(docs_of(spark, [(1, "\n".join(lines)), (2, "\n".join(edited))])).collect()}
+    assert got == {1: "\n".join(lines), 2: ""}
+
+
 def test_edges_and_columns(spark):
     prepare(spark)
     df = edge_docs(spark)
