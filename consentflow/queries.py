@@ -107,6 +107,25 @@ def _key_replace_changed(g: ModelGraph) -> DataFrame:
         incremental.delete_path(g.spark, base)
 
 
+def _type_widening(g: ModelGraph) -> DataFrame:
+    """A stored fact whose columns come back wider: counts as int, bigint beyond
+    its range, then double; ids as int, then decimal; a batch in the first types
+    again."""
+    f = g.fct_event.select("event_id", F.to_date("event_dttm").alias("event_dt"), F.col("sample_count").cast("int").alias("n"),
+                           (F.col("event_id").cast("long") % 1000).cast("int").alias("code")).where("event_dt IS NOT NULL")
+    span = lambda lo, hi: f.where(F.col("event_dt").between(_dt.date(2024, 1, lo), _dt.date(2024, 1, hi)))
+    base = scratch_path(g.spark, f"roundtrip/widen-{uuid.uuid4().hex[:10]}")
+    try:
+        table = PartitionedTable(g.spark, f"{base}/fact", "event_dt")
+        table.overwrite(span(1, 5))
+        table.key_replace(span(4, 10).withColumns({"n": F.col("n").cast("long") * 3_000_000_000}), ["event_id"])
+        table.key_replace(span(10, 15).withColumns({"n": F.col("n") + F.lit(0.5), "code": F.col("code").cast("decimal(14,2)") + F.lit(1).cast("decimal(3,2)")}), ["event_id"])
+        table.partition_replace(span(16, 31))
+        return table.read().checkpoint()
+    finally:
+        incremental.delete_path(g.spark, base)
+
+
 def _hot_user(g: ModelGraph) -> DataFrame:
     """Next events where one user holds three of five events."""
     e = g.fct_event.select("event_id", "event_dttm", "event_type",
@@ -308,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_versions_unmatched": _q(lambda g: _report_versions(g, True)),
     "calendar_orders": _q(_calendar_orders),
     "time_to_next_hot_user": _q(_hot_user),
+    "type_widening": _q(_type_widening),
     "events_with_industry_hot": _q(lambda g: analysis.events_with_industry(_hot_company(g), g.dim_company)),
     "report_as_of": _q(lambda g: report.consent_as_of(g.fct_consent, _changing_companies(g))),
     "events_as_of_hot": _q(lambda g: analysis.events_as_of(_hot_company(g), _changing_companies(g))),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consentflow.operators import incremental
+from consentflow.operators import incremental, widening
 from consentflow.operators.window_bounds import LoadWindow
 from consentflow.plans import checks, mart, report, staging
 from consentflow.sources import files, ingest as ing, ledger as led
@@ -69,19 +69,29 @@ class PartitionedTable:
         lines = self.spark.read.text(self._schema_path).orderBy("value").collect()  # one per write that added a column
         return T.StructType.fromJson(json.loads(lines[-1][0].split("\t", 1)[1]))
 
-    def _keep_schema(self, df: DataFrame, replace: bool) -> T.StructType:
+    def _keep_schema(self, schema: T.StructType, replace: bool) -> None:
         known = None if replace else self.schema()
-        fields = list(known.fields) if known else []
-        names = {f.name for f in fields}
-        fields += [T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in names]
-        found = T.StructType(fields)
-        if known is None or len(found) > len(known):
-            incremental._put(self.spark, f"{self._schema_path}/{time.time_ns():020d}.txt", f"{time.time_ns():020d}\t{found.json()}")
-        return found
+        if known is None or schema != known:
+            incremental._put(self.spark, f"{self._schema_path}/{time.time_ns():020d}.txt", f"{time.time_ns():020d}\t{schema.json()}")
+
+    def _widened(self, batch: DataFrame) -> DataFrame:
+        """``batch`` in the table's types, after the table's were widened to hold
+        the batch's. Stored files are widened as they are read; a change that the
+        reader does not know (bigint to double) rewrites the table once."""
+        known = self.schema()
+        if known is None:  # a table of an older layout
+            known = self.read().schema
+        found = widening.merged_schema(known, batch.schema)
+        wanted = {f.name: f.dataType for f in found.fields}
+        if not all(widening.reads_as(f.dataType, wanted[f.name]) for f in known.fields):
+            incremental.replace_rows(widening.cast_to(self.read(), found), self.path, [self.partition_col])
+        self._keep_schema(found, replace=False)
+        return widening.cast_to(batch, found)
 
     def read(self) -> DataFrame:
         """Partitions written before a model gained a column lack it
-        (append_new_columns, INC-02): the kept schema reads them as null."""
+        (append_new_columns, INC-02): the kept schema reads them as null, and
+        columns of a narrower type as the table's."""
         incremental.recover(self.spark, self.path, incremental.READ_LEASE_S)
         schema = self.schema()
         if schema is None:  # a table of an older layout
@@ -91,7 +101,7 @@ class PartitionedTable:
     def overwrite(self, df: DataFrame) -> None:
         """Full refresh (INC-05): the whole table is replaced."""
         incremental.replace_rows(df, self.path, [self.partition_col])
-        self._keep_schema(df, replace=True)
+        self._keep_schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields]), replace=True)
 
     def key_replace(self, batch: DataFrame, keys: list[str]) -> None:
         """Replace the rows of ``batch``'s keys, touching only its partitions.
@@ -110,17 +120,16 @@ class PartitionedTable:
             here = col.isin([d for d in days if d is not None])
             if None in days:
                 here = here | col.isNull()
+            batch = self._widened(batch)
             merged = incremental.delete_insert(self.read().where(here), batch, keys)
             incremental.replace_rows(merged, self.path, [self.partition_col], dynamic=True)
-            self._keep_schema(merged, replace=False)
 
     def partition_replace(self, df: DataFrame) -> None:
         """Replace whole partitions by the rows of ``df``."""
         if not self.exists():
             self.overwrite(df)
             return
-        incremental.replace_rows(df, self.path, [self.partition_col], dynamic=True)
-        self._keep_schema(df, replace=False)
+        incremental.replace_rows(self._widened(df), self.path, [self.partition_col], dynamic=True)
 
 
 @dataclass
