@@ -229,7 +229,7 @@ def _stream(g: ModelGraph) -> DataFrame:
 
 
 def _stream_consent(g: ModelGraph) -> DataFrame:
-    """Parquet files → watermarked streaming rollup → company × day fact."""
+    """Parquet files → streaming rollup by event store → company × day fact."""
     return mart.fct_consent(roundtrip.stream_consent_roundtrip(g.spark, g.raw_events))
 
 

@@ -1,4 +1,4 @@
-"""Model tests: the reference's unit test re-created, calendar attributes,
+"""Model tests: the consent model against sums by hand, calendar attributes,
 key traps (D3, D4), whole-day windows (D2), inner vs unmatched report (D5)."""
 
 import datetime as dt
