@@ -93,6 +93,34 @@ def test_edges_and_columns(spark):
     assert L.deduplicate(empty_docs(spark)).count() == 0
 
 
-def test_no_python_in_the_plan(spark):
-    plan = L.digest(docs_of(spark, [(1, "a b c d e\na b c d f")]))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+@pytest.mark.parametrize("hot", [3, 40])
+def test_split_words(spark, hot):
+    """Words of many classes are split by size and into blocks: the same lines go."""
+    prepare(spark)
+    rng = random.Random(21)
+    rows = []
+    for i in range(150):
+        w = ["all", "these"] + [f"q{rng.randrange(30)}" for _ in range(rng.randint(4, 16))]
+        rows.append((i, " ".join(w)))
+        if rng.random() < 0.4:
+            w[rng.randrange(2, len(w))] = f"e{rng.randrange(9)}"
+            rows.append((1000 + i, " ".join(w)))
+    want = by_hand(rows, 0.6)
+    removed = L.removed_lines(L._source(docs_of(spark, rows), "doc_id", "text"), 0.6, hot).collect()
+    assert {r.id for r in removed} == {i for i, text in want.items() if text == ""}
+
+
+def test_cut_lines_by_hand():
+    """Sets of one batch, texts that touch in the buffer, empty texts, a word
+    longer than the table of weights."""
+    texts = ["a b", "", "a b\n\nc\ta\x0bb ", "\n", "b a b", "x" * 70_000 + " y", "x" * 70_001 + " y", "é日 é"]
+    import numpy as np
+    import pyarrow as pa
+    rank = np.zeros(L.BUCKETS, np.int64)
+    s = L.Sets(pa.array(texts), rank)
+    assert list(zip(s.doc.tolist(), s.no.tolist(), s.n.tolist())) == [
+        (0, 0, 2), (2, 0, 2), (2, 2, 3), (4, 0, 2), (5, 0, 2), (6, 0, 2), (7, 0, 2)]
+    names = list(zip(*[x.tolist() for x in s.names()]))
+    assert names[0] == names[1] == names[3] and len(set(names)) == 5
+    assert L.Sets(pa.array([], pa.string()), rank).n.size == L.Sets(pa.array(["", " "]), rank).n.size == 0
+    assert not any(x.size for x in L.Sets(pa.array([""]), rank).parities())
