@@ -469,8 +469,9 @@ def deduplicate(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id"
     joined = renamed.join(gone, renamed[own_id].eqNullSafe(gone["id_"]) & (text_key(renamed[own_text]) == gone["k_"]), "left")
     lines = F.split(F.col(own_text), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone_")
+    # the outer variable holds the lines, so that a text is split once and not for each line left
     cut = F.when(F.col("gone_").isNull(), F.col(own_text)).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+        F.array_join(F.get(F.transform(F.array(lines), lambda cut: F.transform(left, lambda i: F.get(cut, i))), F.lit(0)), "\n"))
     out = [cut.alias(c) if c == own_text else F.col(c) for c in names]
     counts = [F.when(F.col(own_text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
               F.coalesce(F.size("gone_"), F.lit(0)).cast("long").alias("n_removed")] if extra else []
