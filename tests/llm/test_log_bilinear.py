@@ -107,3 +107,82 @@ def test_edges(spark):
     assert M.score(empty_docs(spark)).count() == 0
     held = docs_of(spark, [(i, "no training text") for i in range(50) if out_by_hand(i)])
     assert all(r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0.0 and math.isfinite(r.score) for r in M.score(held).collect())
+
+
+def trained(spark, rows, **options):
+    train = docs_of(spark, rows).selectExpr("text AS t", "doc_id % 5 = 0 AS dev")
+    return M.train_model(train, options.pop("vocab", None), options.pop("growth", 12.0), options.pop("head", 100_000), **options)
+
+
+def test_pairs_by_hand(spark):
+    prepare(spark)
+    rows = [(i, t) for i, (_, t) in enumerate(sentences(random.Random(22), 60))] + [(60, ""), (61, None)]
+    ids = {b"t1": 0, b"t2": 1, b"t3": 2}
+    of = lambda w: ids.get(w, 3 + M.class_of(w, 4))
+    want = Counter()
+    for i, t in rows:
+        path = [7, *map(of, M.words_of(t)), 7]
+        want.update(((i % 5 == 0) * 8 + a) * 8 + b for a, b in zip(path, path[1:]))
+    got = M.pair_counts(docs_of(spark, rows).selectExpr("text AS t", "doc_id % 5 = 0 AS dev"), ids, 3, 4).collect()
+    assert {r.pair: r.n for r in got} == want
+
+
+def test_every_class_is_normalised(spark):
+    """Training words, one unknown word of each class and the end sum to one
+    after every context."""
+    prepare(spark)
+    rows = sentences(random.Random(23), 120)
+    m, _ = trained(spark, rows, vocab=15, steps=20)
+    counts = Counter(w for _, t in rows for w in M.words_of(t))
+    assert m.classes > 1 and m.n_types == len(counts) + 1
+    table = 10 ** M.log10_table(m.params)
+    m.open()
+    total = table[:, m.size + m.classes] + table[:, :m.size].sum(1)
+    for w, n in counts.items():
+        if m.ids[w] >= m.size:
+            c = M.class_of(w, m.classes)
+            total += table[:, m.size + c] * (n + 0.5) / m.norm / 10 ** m.rest[c]
+    for c in range(m.classes):
+        total += table[:, m.size + c] * 0.5 / m.norm / 10 ** m.rest[c]
+    assert np.allclose(total, 1.0)
+
+
+def test_scores_by_hand(spark):
+    """Every document's score from the table of probabilities, word by word."""
+    prepare(spark)
+    rows = sentences(random.Random(24), 90) + [(500, ""), (501, None), (502, "Ünknown T1 never-seen")]
+    options = {"vocab": 18, "steps": 30}
+    train = [(i, t) for i, t in rows if not out_by_hand(i)]
+    learn = docs_of(spark, train).select(M.F.col("text").alias("t"), (M.F.pmod(M.text_key(M.F.col("text")), M.F.lit(5)) == 0).alias("dev"))
+    m, _ = M.train_model(learn, 18, 12.0, 100_000, steps=30)
+    table = M.log10_table(m.params)
+    counts = Counter(w for _, t in train for w in M.words_of(t))
+    m.open()
+    got = {r.doc_id: r.score for r in M.score(docs_of(spark, rows), head=25, **options).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        at, want = m.size + m.classes, 0.0
+        for w in M.words_of(t):
+            k = m.ids.get(w, m.size)
+            c = M.class_of(w, m.classes)
+            to = k if k < m.size else m.size + c
+            want += table[at, to] + (0 if k < m.size else math.log10((counts[w] + 0.5) / m.norm) - m.rest[c])
+            at = to
+        assert got[i] == pytest.approx(want + table[at, m.size + m.classes], rel=1e-9)
+
+
+def test_the_model_grows_with_the_vocabulary(spark):
+    prepare(spark)
+    def sizes(n):
+        m, _ = trained(spark, [(i, f"w{i} common x{i} y{i}") for i in range(n)], steps=0)
+        return m.size, m.classes
+    (a, b), (c, d) = sizes(30), sizes(800)
+    assert c > 2 * a and d > 2 * b
+
+
+def test_blocks_of_contexts_learn_as_well_as_all_at_once():
+    rng = np.random.default_rng(3)
+    true = rng.dirichlet(np.ones(8), 8)
+    cells = np.arange(64)
+    params, _ = M.fit(M.Pairs(8, cells, (true * 10_000).ravel(), block=3), dims=8, steps=4500)
+    assert np.abs(10 ** M.log10_table(params) - true).max() < 0.07
