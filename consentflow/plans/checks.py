@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,42 @@ def report_violations(df: DataFrame, key: str, count: str) -> dict[str, int]:
             "not_empty_consent_company_day": 0 if r.n else 1}
 
 
+class ObservedChecks:
+    """Checks counted while a table is written, without a scan of their own.
+
+    ``watch`` adds the counts to the plan of the rows on their way to the table;
+    ``violations`` waits for the first action on them. ``whole`` says that these
+    rows are the whole table, so that no row and a missing expected key are
+    violations too. Uniqueness and duplicates of an expected key have no such
+    form: ``report_violations`` and ``check_expected`` count them. A task that is
+    run again for a lost executor may count a row twice, so a number above zero
+    may be too high; a zero is exact."""
+
+    def __init__(self, key: str, count: str, expected: list[tuple[dict, str, float]] | None = None, whole: bool = True):
+        self.key, self.count, self.expected, self.whole = key, count, expected or [], whole
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        n = lambda cond: F.count(F.when(cond, 1))
+        counts = [F.count(F.lit(1)).alias("rows"), n(F.col(self.key).isNull()).alias("none"), n(F.col(self.count) <= 0).alias("low")]
+        for i, (key, col, value) in enumerate(self.expected):
+            here = F.lit(True)
+            for k, v in key.items():
+                here = here & F.col(k).eqNullSafe(F.lit(v))
+            counts += [n(here).alias(f"found_{i}"),
+                       n(here & ~F.col(col).cast("double").eqNullSafe(F.lit(value).cast("double"))).alias(f"wrong_{i}")]
+        return df.observe(self.observation, *counts)
+
+    def violations(self) -> dict[str, int]:
+        m = self.observation.get
+        out = {f"not_null_{self.key}": m["none"], f"is_positive_{self.count}": m["low"]}
+        if self.whole:
+            out["not_empty_consent_company_day"] = 0 if m["rows"] else 1
+        for i in range(len(self.expected)):
+            out[f"expected_{i}"] = 1 if m[f"wrong_{i}"] or (self.whole and not m[f"found_{i}"]) else 0
+        return out
+
+
 def check_expected(df: DataFrame, key: dict, col: str, expected) -> DataFrame:
     """Rows for ``key`` whose ``col`` differs from ``expected`` (CHK-05), plus
     one row when the key is missing or duplicated (the plain test passes

@@ -192,6 +192,16 @@ def _broken_report(g: ModelGraph) -> DataFrame:
     return r.unionByName(r.where("company_id = '9'"))
 
 
+def _observed(g: ModelGraph) -> DataFrame:
+    """Counts taken while a report with negative counts, null keys of company 7
+    and one wrong expectation is written."""
+    r = _negative(g)
+    r = r.withColumn("consent_uq", F.when(F.col("company_id") != "7", F.col("consent_uq")))
+    watched = checks.ObservedChecks("consent_uq", "event_count", [({"company_id": "none"}, "event_count", 1.0)])
+    watched.watch(r).write.format("noop").mode("overwrite").save()
+    return r.sparkSession.createDataFrame(list(watched.violations().items()), "check_name string, violations bigint")
+
+
 def _expected(g: ModelGraph) -> DataFrame:
     """The report's expected counts: the fact's."""
     return g.fct_consent.select("company_id", F.col("event_dt").alias("date_day"), F.col("event_count").alias("expected"))
@@ -311,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "violations_unique": _q(lambda g: checks.check_unique(_broken_report(g), "consent_uq")),
     "violations_positive": _q(lambda g: checks.check_positive(_negative(g), "event_count")),
     "violations_not_empty": _q(lambda g: checks.check_not_empty(g.consent_company_day.where("company_id = 'none'"))),
+    "violations_observed": _q(_observed),
     "violations_expected": _q(lambda g: checks.check_expected_values(
         _broken_report(g), _expected(g), ["company_id", "date_day"], "event_count")),
     "violations_reconcile": _q(lambda g: checks.reconcile_raw_report(

@@ -27,7 +27,7 @@ import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,6 +136,7 @@ class PartitionedTable:
 class Warehouse:
     spark: SparkSession
     root: str
+    violations: dict[str, int] = field(default_factory=dict)  # of the report rows that the last build wrote
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -175,14 +176,15 @@ class Warehouse:
 
     def build(self, window: LoadWindow | None = None, full_refresh: bool = False,
               run_id: str | None = None, threads: int = 4,
-              keep_unmatched: bool = False) -> dict[str, str]:
+              keep_unmatched: bool = False, expected: list[tuple[dict, str, float]] | None = None) -> dict[str, str]:
         """Build every model.
 
         First run (no fact yet) or ``full_refresh``: everything is loaded
         (INC-04/05). Otherwise an incremental run over ``window``, by default
         yesterday → today (PRJ-14). The independent dimension rebuilds are
         submitted concurrently from ``threads`` driver threads; Spark runs
-        their jobs side by side."""
+        their jobs side by side. The report rows are checked on their way to the
+        table (``checks.ObservedChecks``): ``violations`` holds the numbers after it."""
         spark = self.spark
         run_id = run_id or uuid.uuid4().hex
         raw_events = self.raw_events()
@@ -233,10 +235,13 @@ class Warehouse:
         rep = report.consent_company_day(fct_consent_t.read(), self.read("mart", "dim_company"),
                                          self.read("mart", "dim_date"), w, run_id,
                                          keep_unmatched=keep_unmatched)
+        watched = checks.ObservedChecks("consent_uq", "event_count", expected, whole=not incremental_run)
+        rep = watched.watch(rep)
         if incremental_run:
             report_t.key_replace(rep, ["consent_uq"])
         else:
             report_t.overwrite(rep)
+        self.violations = watched.violations()
         done["consent_company_day"] = done["fct_event"]
         return done
 

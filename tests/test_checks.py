@@ -56,3 +56,21 @@ def test_reconcile_tolerates_rounding_only(spark):
     assert checks.reconcile_raw_report(raw, ok).count() == 0
     bad = spark.createDataFrame([("c", D, 12.0)], "company_id string, date_day date, event_count double")
     assert checks.reconcile_raw_report(raw, bad).count() == 1
+
+
+def test_observed_checks_agree_with_the_checks(spark):
+    schema = "k string, day string, n double"
+    rows = [("a", "d1", 3.0), (None, "d1", 0.0), ("b", "d2", -1.0), ("c", None, None), (None, "d3", 2.0)]
+    expected = [({"k": "a", "day": "d1"}, "n", 3.0), ({"k": "b"}, "n", 3.0), ({"k": "c", "day": None}, "n", 1.0), ({"k": "z"}, "n", 1.0)]
+    df = spark.createDataFrame(rows, schema)
+    for whole in (True, False):
+        w = checks.ObservedChecks("k", "n", expected, whole)
+        assert w.watch(df).count() == len(rows)
+        got = w.violations()
+        assert got["not_null_k"] == checks.check_not_null(df, "k").count() == 2
+        assert got["is_positive_n"] == checks.check_positive(df, "n").count() == 2
+        assert [got[f"expected_{i}"] for i in range(4)] == [0, 1, 1, int(whole)]
+        assert got.get("not_empty_consent_company_day") == (0 if whole else None)
+    empty = checks.ObservedChecks("k", "n")
+    assert empty.watch(df.where("false")).count() == 0
+    assert empty.violations() == {"not_null_k": 0, "is_positive_n": 0, "not_empty_consent_company_day": 1}

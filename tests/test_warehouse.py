@@ -37,12 +37,21 @@ def test_load_build_incremental_equals_full(spark, tmp_dir):
     r1 = wh.load_events(f"{tmp_dir}/in1/*/part-*", schema=RAW_EVENT_SCHEMA)
     assert r1.loaded and not r1.failed
     assert wh.build()["fct_event"] == "full"
+    assert wh.violations == {"not_null_consent_uq": 0, "is_positive_event_count": 0, "not_empty_consent_company_day": 0}
     # second file batch arrives; backfill its days, one of them twice
     wh.load_events(f"{tmp_dir}/in*/*/part-*", schema=RAW_EVENT_SCHEMA)
     for w in (LoadWindow(dt.date(2024, 1, 14), dt.date(2024, 1, 22)),
               LoadWindow(dt.date(2024, 1, 20), dt.date(2024, 1, 31)),
               LoadWindow(dt.date(2024, 1, 20), dt.date(2024, 1, 31))):
         assert wh.build(w)["fct_event"] == "key-replaced"
+        assert wh.violations == {"not_null_consent_uq": 0, "is_positive_event_count": 0}
+    some = g.consent_company_day.where(F.col("date_day").between(dt.date(2024, 1, 20), dt.date(2024, 1, 31))).first()
+    wrong = [({"company_id": some.company_id, "date_day": some.date_day}, "event_count", -1.0),
+             ({"company_id": "none"}, "event_count", 1.0)]
+    wh.build(LoadWindow(dt.date(2024, 1, 20), dt.date(2024, 1, 31)), expected=wrong)
+    assert wh.violations["expected_0"] == 1 and wh.violations["expected_1"] == 0  # the second is not of this window
+    wh.build(LoadWindow(dt.date(1999, 1, 1), dt.date(1999, 1, 2)))  # a window without rows
+    assert wh.violations == {"not_null_consent_uq": 0, "is_positive_event_count": 0}
     got = wh.read("report", "consent_company_day").select(*REPORT_KEYS)
     want = g.consent_company_day.select(*REPORT_KEYS)
     assert got.count() == want.count()
