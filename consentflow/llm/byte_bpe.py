@@ -11,7 +11,8 @@ pieces between cuts are encoded on their own. Where an overlap holds no shared
 boundary (a run of one class longer than the overlap) there is no cut and the
 chunks are encoded as one piece.
 
-Defined cases: null and empty texts have no ids; repeated rows each give a row;
+Defined cases: null and empty texts have no ids; an empty table gives an
+empty result; repeated rows each give a row;
 long copies are pre-tokenised once and each copy gets the ids; a null id is kept
 (texts are named by their sha256, never by the id); extra columns are ignored.
 """

@@ -25,8 +25,9 @@ counts of the others are joined by word, so no join key is frequent in training
 text, and the joins move the rare words alone.
 
 Defined cases: a null or empty text is the end alone; a null id is training
-text; repeated rows each give a row; with no training text every token is
-unknown; extra columns are ignored.
+text; repeated rows each give a row; words of equal count are ranked by name; an
+empty table gives an empty result; a very long text is scored in slices; with no
+training text every token is unknown; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ smoothed by ``smooth`` features of raw text.
 Defined cases: null, empty and blank texts have no words and fail the base
 rules; a text of one word has one feature; without trusted text all ratios are
 0 and the base rules alone decide; repeated rows each give a row; repeated ids
-share the trust of the id; extra columns are ignored.
+share the trust of the id; a ratio equal to the threshold is kept; an empty table
+gives an empty result; a text of any length is read whole; extra columns are ignored.
 """
 
 from __future__ import annotations

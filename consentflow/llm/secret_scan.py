@@ -12,6 +12,7 @@ Two layers over every whole text:
 
 Defined cases: a null or empty text has no spans; overlapping kinds are all
 reported; repeated rows each give a row; a null ``doc_id`` is kept as it is.
+An empty table gives an empty result; a text of any length is scanned whole.
 Extra columns are ignored. Work is one Arrow pass, no shuffle.
 """
 

@@ -13,7 +13,8 @@ is one row), and a node has a bounded number of others within ``max_bits``, so
 no step makes pairs of copies. Components are joined up by label propagation.
 
 Defined cases: a null, empty or blank text has fingerprint zero and links like
-any other; a text with fewer words than a shingle is one shingle; repeated rows
+any other; a text with fewer words than a shingle is one shingle; a bit that half
+of the shingles have is 0; an empty table gives an empty result; repeated rows
 each give a row; a null id never names a component unless its members have no
 other id; extra columns are ignored.
 """

@@ -13,7 +13,8 @@ spelled in byte pieces.
 
 Defined cases: null, empty and blank texts have no pre-tokens and score 0;
 equal scores take fewer pieces; very long words cost their length times the
-longest piece; repeated rows each give a row. One Arrow pass, no shuffle; the
+longest piece; repeated rows each give a row; an empty table
+gives an empty result. One Arrow pass, no shuffle; the
 store of terminals is emptied when full (time, never results).
 """
 

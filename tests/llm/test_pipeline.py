@@ -1,9 +1,12 @@
+import pytest
+
 import corpus_pipeline as P
 import __spark_entry__ as entry
 from consentflow.llm import queries as Q
 from consentflow.llm import byte_bpe, kneser_ney, simhash
-from consentflow.llm.common import table
+from consentflow.llm.common import stage, table
 from tests.llm import test_byte_bpe, test_decontaminate, test_line_dedup, test_simhash
+from tests.llm.helpers import edge_docs, empty_docs
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,6 +48,22 @@ def test_stages_by_brute_force(spark):
     assert {r.doc_id: r.n_tokens for r in ids} == {i: len(enc.encode_ordinary(left[i])) for i in set(left) - hit}
 
 
+@pytest.mark.parametrize("make", [edge_docs, empty_docs])
+def test_stages_on_edges(spark, make):
+    """Nulls, empty and very long texts, repeated rows and ids, clashing names,
+    and the table without rows go through all stages."""
+    docs = make(spark)
+    columns, before = docs.columns, docs.count()
+    for name, step in P.STAGES[:-1]:
+        docs = stage(step(spark, docs, SF), f"edges-{name}")
+        assert docs.columns == columns, name
+        if name in ("quality", "lines"):
+            assert docs.where("coalesce(text, '') = ''").count() >= (2 if before else 0)
+    rows = P.token_ids(spark, docs, SF).collect()
+    assert len(rows) == docs.count() <= before
+    assert sum(r.n_tokens == 0 for r in rows) == (1 if before else 0)  # null, empty and blank texts are one group
+
+
 def test_run_gives_the_last_stage(spark):
     rows = P.run(spark, SF).collect()
     assert rows and {"doc_id", "n_tokens"} <= set(rows[0].asDict())
