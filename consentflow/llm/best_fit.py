@@ -49,6 +49,7 @@ from consentflow.llm.token_output import UnitEncoder, larger_batches
 CAPACITY = 1024
 END_ID = 0
 MAX_GAP = 4
+BATCH = 1 << 24  # bytes of text that are encoded in one go
 
 
 class CapacityTree:
@@ -200,7 +201,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, ca
         task, enc = TaskContext.get().partitionId(), _encoder(tokenizer_path)
         width = enc.width if end_id < 1 << 8 * enc.width else 4
         tail, seen = end_id.to_bytes(width, "little"), [0] * (capacity + 1)
-        for b in larger_batches(batches):
+        for b in larger_batches(batches, BATCH):
             rows, owner, number = [], [], []
             for i, ids in enumerate(enc.encode(b.column("t"))):
                 if width != enc.width:

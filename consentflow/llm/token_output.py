@@ -155,10 +155,12 @@ def split_units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     split = pc.split_pattern(texts, " ")
     odd = pc.match_substring_regex(texts, IRREGULAR).to_numpy(zero_copy_only=False)
     if odd.any():
-        parts = split.to_pylist()
-        for i in np.flatnonzero(odd).tolist():
-            parts[i] = units(texts[i].as_py())
-        split = pa.array(parts, pa.large_list(pa.large_string()))
+        # only these texts' units pass Python
+        at = np.flatnonzero(odd).tolist()
+        own = pa.array([units(texts[i].as_py()) for i in at], split.type)
+        parts = [x for i, (a, b) in enumerate(zip([-1, *at], [*at, len(split)])) for x in (own[max(i - 1, 0):i], split[a + 1:b])]
+        split = pa.concat_arrays(parts)
+        del parts, own
     offsets = split.offsets.to_numpy()
     return offsets - offsets[0], split.flatten()
 
@@ -247,12 +249,14 @@ class UnitEncoder:
         """Ids of every text, little-endian, ``width`` bytes each (nulls are empty)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         offsets, words = split_units(texts)
-        coded = words.dictionary_encode()
-        place, n = coded.indices.to_numpy().copy(), len(coded.dictionary)
         heads = words.take(pa.array(offsets[:-1])).to_pylist()
-        place[offsets[:-1]] = n + np.arange(len(heads))  # a text's first unit has no space in front
+        coded = words.dictionary_encode()
+        del words  # units are as many as words, so none of their columns outlives its use
+        place, found = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        del coded
+        place[offsets[:-1]] = len(found) + np.arange(len(heads))  # a text's first unit has no space in front
         # a word that only ever comes first would be looked up for nothing, and harmlessly
-        out = put_together(self._lookup(coded.dictionary.to_pylist()) + self._alone(heads), place, offsets)
+        out = put_together(self._lookup(found) + self._alone(heads), place, offsets)
         if self.whole:
             for i, t in enumerate(texts.to_pylist()):
                 if self.whole.search(t):
@@ -290,8 +294,10 @@ def larger_batches(batches: Iterator[pa.RecordBatch], size: int = BATCH_CHARS) -
     for b in batches:
         held.append(b)
         if sum(x.nbytes for x in held) >= size:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
+            whole, held = pa.Table.from_batches(held).combine_chunks().to_batches()[0], []
+            del b  # the parts are let go of before the whole is worked on
+            yield whole
+            del whole
     if held and sum(x.num_rows for x in held):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 

@@ -160,3 +160,50 @@ def test_query_on_the_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     check_rows(Q.QUERIES["op13_best_fit"](spark, sf).collect(), [tuple(r) for r in rows])
+
+
+def test_odd_texts_keep_their_place_between_others():
+    """Units of texts that need Python stand among those split by Arrow, and no
+    list of the others' units is made."""
+    import pyarrow as pa
+
+    from consentflow.llm import token_output as O
+
+    texts = ["a b", " x  y", "", "c", "tab\there", "d e f"]
+    texts = pa.array(texts * 3, pa.large_string())
+    plain = O.units
+    seen = []
+    try:
+        O.units = lambda t: seen.append(t) or plain(t)
+        offsets, words = O.split_units(texts[1:])
+    finally:
+        O.units = plain
+    words = words.to_pylist()
+    got = [words[a:b] for a, b in zip(offsets, offsets[1:])]
+    odd = {" x  y", "tab\there"}
+    assert set(seen) == odd
+    assert got == [plain(t) if t in odd else t.split(" ") for t in texts.to_pylist()[1:]]
+
+
+def test_parts_of_a_batch_are_let_go():
+    """While a larger batch is worked on, the batches that it was put together
+    from are not held."""
+    import gc
+    import weakref
+
+    import pyarrow as pa
+
+    from consentflow.llm.token_output import larger_batches
+
+    alive = []
+
+    def batches():
+        for i in range(4):
+            b = pa.RecordBatch.from_pydict({"t": ["x" * 100] * 10})
+            alive.append(weakref.ref(b))
+            yield b
+            del b
+
+    for whole in larger_batches(batches(), 1500):
+        gc.collect()
+        assert whole.num_rows == 20 and not any(r() is not None for r in alive[:-1])  # the source has the last
