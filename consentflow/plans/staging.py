@@ -134,6 +134,17 @@ def consent_totals(fct_event: DataFrame, window=None, with_lag: bool = False) ->
         conversion_rate("event_consent_given_count", "event_consent_asked_count"))
 
 
+SUM_COLUMNS = [c for c in METRIC_COLUMNS if c != "consent_conversion_rate"]
+
+
+def merge_consent(totals: DataFrame) -> DataFrame:
+    """Company × day totals of the sums of parts of the events (``SUM_COLUMNS``
+    of ``consent_totals``): every measure but the rate adds up."""
+    sums = [F.sum(c).cast(totals.schema[c].dataType).alias(c) for c in SUM_COLUMNS]
+    return totals.groupBy("company_id", "event_dt").agg(*sums).withColumn(
+        "consent_conversion_rate", conversion_rate("event_consent_given_count", "event_consent_asked_count"))
+
+
 def stg_consent(fct_event: DataFrame, window=None, run_id: str | None = None,
                 with_lag: bool = False) -> DataFrame:
     """Company-by-day consent metrics, keyed (one row per company and day)."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consentflow.operators.incremental import staged
+from consentflow.operators.incremental import path_exists
 from consentflow.plans import mart, staging
 
 
@@ -74,32 +74,40 @@ def stream_consent_daily(spark: SparkSession, source_dir: str, schema: T.StructT
     Events may come late by any time, repeat, or have no event time: nothing is
     held against a watermark. Each micro-batch's events go to an event store
     beside the fact, partitioned by event day and micro-batch (a replayed
-    micro-batch replaces its own folders), and the days it touches -- the null
-    day too -- are computed anew from the store and replaced in the fact. The
-    work of a micro-batch follows the days it touches, its state is a table."""
+    micro-batch replaces its own folders), and their company × day sums to a
+    table of totals of the same partitions. The days that a micro-batch touches
+    -- the null day too -- are added up anew from the totals and replaced in the
+    fact. A micro-batch reads its own events and the totals of its days, never
+    the events of earlier ones (once, where a store has no totals yet)."""
     from consentflow.warehouse import PartitionedTable  # avoid an import cycle
 
     fact = PartitionedTable(spark, table_path, "event_dt")
-    store = f"{table_path.rstrip('/')}_events"
+    store, totals = f"{table_path.rstrip('/')}_events", f"{table_path.rstrip('/')}_totals"
     src = read_event_files(spark, source_dir, schema, fmt, max_files_per_trigger).select(
         "*", F.col("_metadata.file_name").alias("filename"))
 
+    def put(df: DataFrame, path: str) -> DataFrame:
+        (df.hint("rebalance", "event_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_dt", "epoch").parquet(path))
+        return spark.read.schema(df.schema).parquet(path)
+
     def upsert(batch: DataFrame, epoch_id: int) -> None:
+        own = F.col("epoch") == f"e{epoch_id}"
         raw = batch.select(*[c for c in batch.columns if c != "filename"],
                            F.current_timestamp().alias("load_time"), F.lit(f"epoch-{epoch_id}").alias("load_no"), "filename")
         events = mart.fct_event(staging.stg_event(raw)).withColumns(
             {"event_dt": F.to_date("event_dttm"), "epoch": F.lit(f"e{epoch_id}")})
-        with staged(events, "epoch") as events:
-            days = [r[0] for r in events.select("event_dt").distinct().collect()]  # one row a day
-            if not days:
-                return
-            (events.hint("rebalance", "event_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_dt", "epoch").parquet(store))
-            stored = spark.read.schema(events.schema).parquet(store)
+        stored = put(events, store)
+        # a store of an older layout has no totals: they are made of all its events
+        new = stored.where(own) if path_exists(spark, f"{totals}/_SUCCESS") else stored
+        sums = put(new.groupBy("company_id", "event_dt", "epoch").agg(*staging.consent_measures()), totals)
+        days = [r[0] for r in sums.where(own).select("event_dt").distinct().collect()]  # one row a day
+        if not days:
+            return
         here = F.col("event_dt").isin([d for d in days if d is not None])
         if None in days:
             here = here | F.col("event_dt").isNull()
-        fact.partition_replace(mart.fct_consent(staging.stg_consent(stored.where(here))))
+        fact.partition_replace(mart.fct_consent(staging.key_consent(staging.merge_consent(sums.where(here)))))
 
     q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
          .trigger(availableNow=True).start())

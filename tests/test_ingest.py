@@ -1,6 +1,7 @@
 """Ingestion: CSV quirks, ledger, failure isolation, dispositions, streaming."""
 
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -348,3 +349,32 @@ def test_company_csv_by_name(spark, tmp_dir):
     r = files.read_company_csv(spark, p).first()
     assert (r.PUBLIC_API_KEY, r.INDUSTRY_BACK, r.INDUSTRY_FRONT, r.HQ_COUNTRY) == \
         ("k1", "Gaming / Sport", "Sport", None)
+
+
+def test_stream_consent_daily_reads_earlier_events_once(spark, tmp_dir):
+    """A micro-batch adds to the totals of its days: the events of an earlier one
+    may be gone. A store without totals has them made of its events."""
+    import shutil
+
+    src, fact = f"{tmp_dir}/landing", f"{tmp_dir}/fct_consent"
+    df = files.read_events_csv(spark, _csv(tmp_dir), RAW_EVENT_SCHEMA)
+    days = "event_dt", "company_id"
+
+    def run(i, rows):
+        rows.coalesce(1).write.parquet(f"{src}/b{i}")
+        file_stream.stream_consent_daily(spark, f"{src}/*", RAW_EVENT_SCHEMA, fact, f"{tmp_dir}/ck", max_files_per_trigger=1)
+        return {tuple(r[c] for c in days): r for r in spark.read.parquet(fact).collect()}
+
+    once = run(0, df)
+    shutil.rmtree(f"{fact}_totals")
+    timeless = df.withColumn("EVENT_TIME", F.lit(None).cast("timestamp_ntz"))
+    twice = run(1, df.unionByName(timeless))
+    for path in glob.glob(f"{fact}_events/event_dt=*/epoch=e0"):
+        shutil.rmtree(path)
+    thrice = run(2, df)
+    assert set(once) < set(twice) == set(thrice)
+    for key, r in once.items():
+        for c in ("event_count", "event_pageview_count", "event_consent_given_count", "event_ui_action_count"):
+            want = [None if r[c] is None else k * r[c] for k in (2, 3)]
+            assert [twice[key][c], thrice[key][c]] == want
+        assert thrice[key].consent_conversion_rate == r.consent_conversion_rate and thrice[key].consent_uq == r.consent_uq
