@@ -1,455 +1,266 @@
-"""Line deduplication by an exact set-similarity join (operator 5).
+"""Line deduplication by an exact set-similarity join (operator 5, native).
 
 A line (text between line feeds) is the set of its words (between ASCII blanks).
 A line goes when an earlier line -- of a smaller id, or further up in the same
 text -- has a Jaccard similarity of at least ``similarity``; whether that
 earlier line itself stays does not matter. Lines without words always stay.
 
-1. Words are counted by hash bucket over all lines; every set is ordered by
-   (rank of the bucket's count, word hash), rarest first -- one order for all.
-2. Equal sets are one class, numbered in the order of first places; copies never
-   meet again.
-3. Near pass, linear in the rows: of the last ``LAST`` words of each prefix (the
-   ones that near copies share), a class meets the first class and the ``NEAR``
-   before it. What is verified here is settled, so that a large group of near
-   copies leaves few classes open.
+1. Texts are numbered in the order of ids, so that a line's place is one number.
+2. Every text is cut once; the sets (sorted word hashes) are staged, and all later
+   steps read them. Equal sets are one class, named by its first place; copies
+   never meet again.
+3. Words are counted by hash bucket over all lines; every set is ordered by
+   (level of the bucket's count, word hash), rarest first -- one order for all.
 4. Prefix filter: two sets that are similar enough share a word in their first
-   n - ceil(similarity * n) + 1. Each prefix word's classes stand in one group,
-   ordered by size; an open class meets the earlier ones that the length filter
-   leaves, and the positional filter and a bound on the overlap from 128 parity
-   bits drop pairs where they are made. A word of more than ``HOT`` classes is
-   split by size band and into blocks, and its open classes visit every block.
-5. The Jaccard similarity of the remaining pairs is verified on the whole sets.
-
-Arrow batches inside tasks cut lines and meet classes with numpy (DataFrame
-functions alone needed over 700 CPU seconds a GB, see the README); Spark counts,
-shuffles, sorts and joins. Words are compared by 63 bits: 15 of their bucket's
-rank, 48 of a hash. What passes the driver: ``BUCKETS`` counts.
+   n - ceil(similarity * n) + 1. Classes that share one are joined; the length
+   filter, the positional filter and a bound on the overlap from parity bits drop
+   pairs where they are made.
+   A word of more than ``hot`` classes is split by size band and into blocks.
+5. Before that, of the last ``LAST`` words of each prefix (the ones that near copies
+   share), a class meets the first class and the ``NEAR`` before it, so that a large
+   group of near copies leaves few classes open.
+6. The Jaccard similarity of the remaining pairs is verified on the whole sets.
+
+Only DataFrame functions run. Words are compared by 64 bits of a hash (in prefixes
+by 56, which can only add candidates), sets are named by 128. What passes the
+driver: ``BUCKETS`` counts and the number of texts of each partition.
 
 Defined cases: a null text is kept as null and has no lines; an empty text has
-one empty line; an empty table gives an empty result; very long texts are cut in
-memory linear in one Arrow batch; null ids come first; rows that repeat an id and
-a text stand in the same place and are treated alike; where ids repeat with other
-texts, ties of (id, line number) are broken by the set's hash; extra columns pass
-through ``deduplicate`` whatever their names.
+one empty line; an empty table gives an empty result; null ids come first; rows
+that repeat an id and a text stand in the same place and are treated alike; where
+ids repeat with other texts, ties of (id, line number) are broken by the texts'
+fingerprints; extra columns pass through ``deduplicate`` whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from consentflow.llm.common import arrow_rows, stage, text_key, unstage
+from consentflow.llm.common import stage, text_key, unstage
 
-BUCKETS = 1 << 15
+BLANKS = r"[\x20\x09-\x0D]+"
+BUCKETS = 1 << 16  # a constant of one plan
+LEVEL = 56  # bits below the level in a word's key
 NEAR = 16
 LAST = 4
-HOT = 20_000
-ROWS = 1 << 16  # rows of an Arrow batch of narrow rows
-PAIRS = 1 << 20  # pairs that are looked at in one go
-BLOCK = 1 << 17  # words that are hashed in one go
+FEW = 64
+HOT = 1_000
+PARTS = 2
+WIDE = 48  # words from which a set has 128 parities, not 64
 EPS = 1e-9
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_WEIGHTS = 1 << 16
-
-
-def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit mixing of every number."""
-    x = x + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_WEIGHT = mix(np.arange(_WEIGHTS, dtype=np.uint64), 7)
-
-
-def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts of a column (no nulls), and where each begins and ends."""
-    texts = texts.cast(pa.large_binary())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    lo, hi = int(offsets[0]), int(offsets[-1])
-    data = np.frombuffer(texts.buffers()[2], np.uint8, hi - lo, lo) if hi > lo else np.zeros(0, np.uint8)
-    return data, offsets - lo
-
-
-def words_at(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which bytes belong to words, and where words begin and end; a word lies
-    in one text."""
-    solid = ~_BLANK[data]
-    begin, end = solid.copy(), solid.copy()
-    begin[1:] &= ~solid[:-1]
-    end[:-1] &= ~solid[1:]
-    inner = offsets[1:-1]
-    inner = inner[(inner > 0) & (inner < len(data))]
-    begin[inner] = solid[inner]
-    end[inner - 1] = solid[inner - 1]
-    return solid, np.flatnonzero(begin), np.flatnonzero(end) + 1
-
-
-def hash_words(data: np.ndarray, solid: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a sum of its bytes, each times a random
-    weight of its place, then mixed."""
-    out = np.empty(len(begin), np.uint64)
-    for at in range(0, len(begin), BLOCK):
-        b, e = begin[at:at + BLOCK], end[at:at + BLOCK]
-        size = e - b
-        first = np.cumsum(size) - size
-        part = slice(int(b[0]), int(e[-1]))
-        place = np.arange(int(size.sum())) - np.repeat(first, size)
-        weight = _WEIGHT[place & (_WEIGHTS - 1)]
-        if place.size and int(size.max()) > _WEIGHTS:
-            weight = weight * (np.uint64(2) * (place >> 16).astype(np.uint64) + np.uint64(1))
-        value = (data[part][solid[part]].astype(np.uint64) + np.uint64(1)) * weight
-        out[at:at + BLOCK] = np.add.reduceat(value, first)
-    return mix(out)
-
-
-def rarity(docs: DataFrame) -> np.ndarray:
-    """Rank of each bucket's count of words, rarest first; docs: t (no nulls)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                data, offsets = buffer_of(batch.column(0))
-                solid, begin, end = words_at(data, offsets)
-                h = hash_words(data, solid, begin, end)
-                counts += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        held = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], names=["b", "c"])
-
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in docs.select("t").mapInArrow(run, "b bigint, c bigint").groupBy("b").agg(F.sum("c").alias("c")).collect():
-        counts[r.b] = r.c
-    rank = np.empty(BUCKETS, np.int64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(BUCKETS)
-    return rank
-
-
-def prefix_size(n: np.ndarray, similarity: float) -> np.ndarray:
-    """Words of a prefix; none where no other set can be this similar."""
-    least = math.ceil(similarity / (1 - similarity) - EPS) if similarity < 1 else 1 << 30
-    return np.where(n >= least, n - np.ceil(n * similarity - EPS).astype(np.int64) + 1, 0)
-
-
-class Sets:
-    """The word sets of all lines with words of a batch, each in the common
-    order: ``doc`` and ``no`` of a line, ``first`` and ``n`` of its ``keys``."""
-
-    def __init__(self, texts: pa.Array, rank: np.ndarray):
-        data, offsets = buffer_of(texts)
-        solid, begin, end = words_at(data, offsets)
-        feeds = np.flatnonzero(data == 10)
-        doc = np.concatenate([np.arange(len(texts)), np.searchsorted(offsets[1:], feeds, "right")])
-        start = np.concatenate([offsets[:-1], feeds + 1])
-        order = np.argsort(doc, kind="stable")
-        doc, start = doc[order], start[order]
-        no = np.arange(len(doc)) - np.searchsorted(doc, doc, "left")
-        h = hash_words(data, solid, begin, end)
-        line = np.searchsorted(start, begin, "right") - 1
-        keys = (rank[(h & np.uint64(BUCKETS - 1)).astype(np.int64)] << 48) | (h >> np.uint64(16)).astype(np.int64)
-        if len(keys):
-            by = np.argsort(keys, kind="stable")
-            by = by[np.argsort(line[by], kind="stable")]
-            keys, line = keys[by], line[by]
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
-            keys, line = keys[new], line[new]
-        opens = np.flatnonzero(np.diff(line, prepend=-1))
-        self.keys, self.first = keys, opens
-        self.n = np.diff(np.append(opens, len(keys)))
-        self.doc, self.no = doc[line[opens]], no[line[opens]]
-
-    def names(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of hash of each set."""
-        k = self.keys.astype(np.uint64)
-        return tuple((np.add.reduceat(mix(k, s), self.first) if len(k) else np.zeros(0, np.uint64)).view(np.int64) for s in (1, 2))
-
-    def parities(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 parities of the words: each word that only one of two sets has
-        can change one."""
-        bit = np.uint64(1) << (self.keys & 63).astype(np.uint64)
-        upper = (self.keys & 64) != 0
-        return tuple((np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), self.first) if len(bit)
-                      else np.zeros(0, np.uint64)).view(np.int64) for side in (~upper, upper))
-
-
-def _lists(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
-    """Lists of ``size`` values from ``first`` on."""
-    ends = np.concatenate([[0], np.cumsum(size)])
-    at = np.arange(int(ends[-1])) - np.repeat(ends[:-1], size) + np.repeat(first, size)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[at], pa.int64()))
-
-
-def line_table(docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
-    """One row a line with words: place, set hashes, size, parities, prefix."""
-    kind = docs.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            s = Sets(batch.column("t"), rank)
-            where = pa.array(s.doc)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(where), batch.column("k").take(where), pa.array(s.no, pa.int32()),
-                 *[pa.array(x) for x in s.names()], pa.array(s.n, pa.int32()), *[pa.array(x) for x in s.parities()],
-                 _lists(s.keys, s.first, prefix_size(s.n, similarity))],
-                names=["id", "k", "no", "h1", "w1", "n", "sig", "sig2", "prefix"])
-
-    return docs.select("id", "k", "t").mapInArrow(
-        run, f"id {kind}, k bigint, no int, h1 bigint, w1 bigint, n int, sig bigint, sig2 bigint, prefix array<bigint>")
-
-
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
-    """Classes ``x`` that have a verified partner ``y``: the sets are cut anew
-    from the texts, only those lines that a pair needs."""
-    need = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct().join(
-        classes.select("cid", "id", "no", "h1", "w1"), "cid")
-    wanted = need.groupBy(F.col("id").alias("id_")).agg(F.collect_list(F.struct("no", "cid", "h1", "w1")).alias("c"))
-    lines = F.split("t", "\n")
-    held = docs.join(wanted, docs["id"].eqNullSafe(wanted["id_"])).select("c", lines.alias("lines"))
-    cut = F.transform("c", lambda c: F.struct(c.cid.alias("cid"), c.h1.alias("h1"), c.w1.alias("w1"), F.get(F.col("lines"), c.no).alias("t")))
-    held = held.select(F.inline(cut)).where("t IS NOT NULL")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            s = Sets(batch.column("t"), rank)
-            names = s.names()
-            asked = [batch.column(c).to_numpy()[s.doc] for c in ("h1", "w1")]
-            # where ids repeat, another text's line may stand in this place
-            own = np.flatnonzero((names[0] == asked[0]) & (names[1] == asked[1]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cid").take(pa.array(s.doc[own])), _lists(s.keys, s.first[own], s.n[own])], names=["cid", "s"])
-
-    sets = held.mapInArrow(run, "cid bigint, s array<bigint>").groupBy("cid").agg(F.max("s").alias("s"))
-    both = pairs.join(sets.toDF("x", "xs"), "x").join(sets.toDF("y", "ys"), "y")
-    common = F.size(F.array_intersect("xs", "ys"))
-    similar = common >= similarity * (F.size("xs") + F.size("ys") - common) - EPS
-    return both.where(similar).select("x").distinct()
+
+def number(docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """Texts (id, k) once each, numbered: ``seq`` ascends with the id, ``sub``
+    counts an id's texts. Also a bound of a text's lines (0: no texts), and the
+    most rows of a text. docs: id, k, t (no nulls)."""
+    spark = docs.sparkSession
+    once = docs.groupBy("id", "k").agg((F.max(F.octet_length("t")) + 1).cast("bigint").alias("lines"), F.count("*").alias("rows"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["id", "k"]
+    at = stage(once.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(
+        "at", F.monotonically_increasing_id()), "line-texts")
+    part = F.shiftright("at", 33)
+    found = at.groupBy(part.alias("p")).agg(F.count("*").alias("c"), F.max("lines").alias("lines"), F.max("rows").alias("rows")).collect()
+    sizes = {r.p: r.c for r in found}
+    before, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(p, 0)
+    dense = F.get(F.array(*[F.lit(b) for b in before] or [F.lit(0)]).cast("array<bigint>"), part.cast("int")) + F.col("at").bitwiseAND((1 << 33) - 1)
+    at = at.withColumn("at", dense)
+    firsts = at.groupBy("id").agg(F.min("at").alias("seq")).withColumnRenamed("id", "id_")
+    numbered = stage(at.join(firsts, at["id"].eqNullSafe(firsts["id_"])).select(
+        "id", "k", "seq", (F.col("at") - F.col("seq")).alias("sub")), "line-numbers")
+    unstage(at)
+    return numbered, max((r.lines for r in found), default=0), max((r.rows for r in found), default=0)
+
+
+def words_of(line: Column) -> Column:
+    """Words of a line, and empty strings; the common case needs no pattern."""
+    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\f"))
+    return F.when(other, F.split(line, BLANKS)).otherwise(F.split(line, " "))
+
+
+def set_of(line: Column) -> Column:
+    """Sorted hashes of a line's distinct words."""
+    hashed = F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.array_remove(hashed, F.xxhash64(F.lit(""))))
+
+
+def line_sets(texts: DataFrame, step: int) -> DataFrame:
+    """One row a line with words: its place, the set's name of 128 bits, the set.
+    texts: base (place of the first line) and t; ``step`` from line to line."""
+    lines = texts.select("base", F.posexplode(F.split("t", "\n")).alias("no", "line")).where(
+        F.btrim("line", F.lit(" \t\n\x0b\f\r")) != "")
+    sets = lines.select((F.col("base") + F.col("no").cast("bigint") * F.lit(step)).alias("place"), set_of(F.col("line")).alias("s"))
+    return sets.select("place", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2"), "s")
+
+
+def level(count: int) -> int:
+    """Quarters of a power of two: grows with the count, below 128."""
+    return int(4 * math.log2(count + 1))
+
+
+def rarity(sets: DataFrame) -> Column:
+    """Array over buckets of word hashes: the level of the bucket's count."""
+    words = sets.select(F.explode("s").alias("h"))
+    found = [0] * BUCKETS
+    for r in words.groupBy(F.col("h").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect():
+        found[r.b] = level(r["count"])
+    return F.split(F.lit(",".join(map(str, found))), ",").cast("array<bigint>")
+
+
+def prefixes(sets: DataFrame, levels: Column, similarity: float) -> DataFrame:
+    """Size, parities and prefix of every set that another can be similar to."""
+    n = F.size("s")
+    least = math.ceil(similarity / (1 - similarity) - EPS) if similarity < 1 else (1 << 31) - 1
+    keys = F.sort_array(F.transform("s", lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), LEVEL).bitwiseOR(
+        F.shiftrightunsigned(h, 64 - LEVEL))))
+
+    def parity(word: str) -> Column:
+        return F.expr(f"aggregate(s, 0L, (a, h) -> a ^ shiftleft({word}, CAST(h & 63L AS INT)))")
+
+    # of all words, and of those with the next bit set
+    return sets.where(n >= least).select(
+        F.col("place").alias("cid"), n.alias("n"), parity("1L").alias("sig"), F.when(n >= WIDE, parity("shiftright(h, 6) & 1L")).otherwise(F.lit(0)).alias("sig2"),
+        F.slice(keys, F.lit(1), n - F.ceil(n * similarity - EPS).cast("int") + 1).alias("prefix"))
 
 
 COLS = ("cid", "n", "i", "sig", "sig2")
 
 
-def may_match(x: dict, y: dict, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Length filter; positional filter (the shared words before a place and
-    after it are too few); parity filter (too many words in one set alone).
-    Also the differing parities."""
-    xn, yn, xi, yi = x["n"], y["n"], x["i"], y["i"]
-    total = xn + yn
-    need = np.ceil(total * (similarity / (1 + similarity)) - EPS)
-    best = np.minimum(xi, yi) + np.minimum(xn - xi, yn - yi)
-    apart = sum(np.bitwise_count((x[c] ^ y[c]).view(np.uint64)).astype(np.int64) for c in ("sig", "sig2"))
-    return ((np.minimum(xn, yn) >= similarity * np.maximum(xn, yn) - EPS) & (best >= need) & (apart <= total - 2 * need)), apart
-
-
-def _columns(batch: pa.RecordBatch) -> dict:
-    return {f: batch.column(f).to_numpy(zero_copy_only=False) for f in batch.schema.names}
-
-
-def _take(rows: dict, at) -> dict:
-    return {c: v[at] for c, v in rows.items()}
-
-
-def _join(parts: list[dict]) -> dict:
-    return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
-
-
-def _pairs(x: list, y: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()),
-                                       pa.array(np.concatenate(y) if y else [], pa.int64())], names=["x", "y"])
-
-
-def near_pairs(words: DataFrame, similarity: float) -> DataFrame:
-    """Per row of a group of more than ``NEAR``: the most alike of the ``NEAR``
-    before it and the group's first. Rows: w and COLS. A group that lies over
-    several tasks counts as several."""
-    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, first, seen = None, None, 0  # rows at the end of the last batch, its group's first row and size
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = _columns(batch)
-            m = len(before["w"]) if before else 0
-            if before:
-                rows = _join([before, rows])
-            w = rows["w"]
-            size = len(w)
-            opens = np.concatenate([[0], np.flatnonzero(w[1:] != w[:-1]) + 1])
-            group = np.searchsorted(opens, np.arange(size), "right") - 1
-            at = np.arange(size) - opens[group]
-            heads = _take(rows, opens)
-            if m and w[0] == first["w"][0]:  # the carried group goes on
-                at[group == 0] += seen - int((w[:m] == w[0]).sum())
-                for c in heads:
-                    heads[c][0] = first[c][0]
-            mine = np.flatnonzero((at > NEAR) & (np.arange(size) >= m))
-            xs = _take(rows, mine)
-            best, partner = np.full(len(mine), 1 << 30), np.zeros(len(mine), np.int64)
-            for d in range(NEAR + 1):
-                ys = _take(heads, group[mine]) if d == 0 else _take(rows, mine - d)
-                ok, apart = may_match(xs, ys, similarity)
-                ok &= apart < best
-                best, partner = np.where(ok, apart, best), np.where(ok, ys["cid"], partner)
-            found = best < 1 << 30
-            yield _pairs([xs["cid"][found]], [partner[found]])
-            first, seen = _take(heads, slice(len(opens) - 1, None)), int(at[-1]) + 1
-            before = _take(rows, slice(max(0, size - NEAR), None))
-            before = {c: v.copy() for c, v in before.items()}
-
-    dealt = words.select("w", *COLS).repartitionByRange(parts, "w", "cid").sortWithinPartitions("w", "cid")
-    return dealt.mapInArrow(run, "x bigint, y bigint").distinct()
-
-
-BOTH, EARLIER, OPEN = 0, 1, 2  # roles of a row in its group
-
-
-def met_pairs(words: DataFrame, similarity: float, hot: int) -> DataFrame:
-    """Pairs (x, y) of an open class and an earlier one that share a prefix word
-    and pass the filters. Rows: w, open and COLS."""
+def _as(name: str) -> list[Column]:
+    return [F.col(c).alias(f"{name}{c}") for c in COLS]
+
+
+def _apart() -> Column:
+    """Parities that differ: at most the words that only one of both sets has."""
+    wide = (F.col("xn") >= WIDE) & (F.col("yn") >= WIDE)
+    all_, upper = F.col("xsig").bitwiseXOR(F.col("ysig")), F.col("xsig2").bitwiseXOR(F.col("ysig2"))
+    return F.when(wide, F.bit_count(all_.bitwiseXOR(upper)) + F.bit_count(upper)).otherwise(F.bit_count(all_))
+
+
+def may_match(similarity: float) -> Column:
+    """An earlier class within the length filter; parity filter (too many words
+    in one set alone); positional filter (the shared words before a place and
+    after it are too few)."""
+    total = F.col("xn") + F.col("yn")
+    need = F.ceil(total * (similarity / (1 + similarity)) - EPS).cast("int")
+    best = F.least("xi", "yi") + F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi"))
+    return ((F.col("ycid") < F.col("xcid")) & (F.least("xn", "yn") >= similarity * F.greatest("xn", "yn") - EPS)
+            & (_apart() <= total - 2 * need) & (best >= need))
+
+
+def _pair() -> list[Column]:
+    return [F.col("xcid").alias("x"), F.col("ycid").alias("y"), _apart().cast("int").alias("apart")]
+
+
+def verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Classes ``x`` that have a verified partner ``y``."""
+    need = stage(pairs.select(F.col("x").alias("place")).union(pairs.select("y")).distinct(), "line-need")
+    held = sets.select("place", "s").join(need, "place")
+    both = pairs.join(held.toDF("x", "xs"), "x").join(held.toDF("y", "ys"), "y")
+    common = F.size(F.array_intersect("xs", "ys"))
+    similar = common >= similarity * (F.size("xs") + F.size("ys") - common) - EPS
+    out = stage(both.where(similar).select("x").distinct(), "line-verified")
+    unstage(need)
+    return out
+
+
+def near_pairs(words: DataFrame, similarity: float, hot: int) -> DataFrame:
+    """Pairs (x, y) of a class and the most alike of the first one and the
+    ``NEAR`` before it, of words of more than ``FEW`` classes, block by block."""
+    many = words.groupBy("w").count().where(F.col("count") > FEW).select("w", F.ceil(F.col("count") / max(hot, FEW)).alias("blocks"))
+    many = stage(many, "line-many")
+    order = Window.partitionBy("w", "block").orderBy("cid")
+    me = F.struct(*COLS)
+    near = F.concat(F.array(F.first(me).over(order)), F.collect_list(me).over(order.rowsBetween(-NEAR, -1)))
+    dealt = words.join(many, "w").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    met = dealt.select(*_as("x"), near.alias("near")).withColumn("y", F.explode("near")).select(
+        *[f"x{c}" for c in COLS], *[F.col(f"y.{c}").alias(f"y{c}") for c in COLS])
+    return met.where(may_match(similarity)).select(*_pair()).groupBy("x").agg(F.min_by("y", "apart").alias("y"))
+
+
+def hot_pairs(words: DataFrame, blocks: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of words with many classes: open classes visit all blocks of their
+    size band and its neighbours, where the length filter leaves sizes."""
+    keys = ["w", "band", "block"]
+    y = words.join(blocks, ["w", "band"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks"))).select(*keys, *_as("y"))
+    x = words.where("open").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(
+        blocks, ["w", "band"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    return x.select(*keys, *_as("x")).join(y, keys).where(may_match(similarity)).select(*_pair())
+
+
+def matched_classes(classes: DataFrame, sets: DataFrame, similarity: float, hot: int = HOT) -> DataFrame:
+    """Classes ``x`` (their places) with an earlier similar class."""
     log = math.log(1 / similarity) if similarity < 1 else 1.0
-    band = F.floor(F.log(F.col("n")) / log).cast("int")
-    # words of many classes: buckets of words first (2,000 rows each, if not more), so that few words are counted one by one
-    rows = words.count()
-    bucket = F.pmod(F.xxhash64("w"), F.lit(max(1 << 16, rows // 2000)))
-    full = words.groupBy(bucket.alias("u")).count().where(F.col("count") > hot).select("u")
-    counted = words.withColumn("u", bucket).join(full, "u", "left_semi").groupBy("w", band.alias("band")).count()
-    total = stage(counted, "line-counts")
-    many = total.groupBy("w").agg(F.sum("count").alias("c")).where(F.col("c") > hot).select("w")
-    blocks = total.join(many, "w", "left_semi").select("w", "band", F.ceil(F.col("count") / hot).cast("int").alias("blocks"))
-    blocks = stage(blocks, "line-blocks")
-    columns = ["w", "b", "role", "open", *COLS]
-    if blocks.isEmpty():
-        dealt = words.withColumn("b", F.lit(-1).cast("bigint")).withColumn("role", F.lit(BOTH)).select(*columns)
-    else:
-        named = blocks.select("w").distinct()
-        cold = words.join(named, "w", "left_anti").withColumn("b", F.lit(-1).cast("bigint")).withColumn("role", F.lit(BOTH))
-        block = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-        place = F.col("band") * F.lit(1 << 32) + F.col("block")
-        banded = words.join(named, "w", "left_semi").withColumn("band", band)
-        earlier = banded.join(blocks, ["w", "band"]).withColumn("block", block).withColumn("b", place).withColumn("role", F.lit(EARLIER))
-        # sizes within the length filter lie in one band or in neighbours
-        opened = banded.where("open").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(
-            blocks, ["w", "band"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
-            "b", place).withColumn("role", F.lit(OPEN))
-        dealt = cold.select(*columns).union(earlier.select(*columns)).union(opened.select(*columns))
-    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def meet(rows: dict) -> tuple[list, list]:
-        """All pairs of whole groups (or of a block and some of its visitors)."""
-        new = np.ones(len(rows["w"]), bool)  # never empty
-        new[1:] = (rows["w"][1:] != rows["w"][:-1]) | (rows["b"][1:] != rows["b"][:-1])
-        group = np.cumsum(new) - 1
-        size = np.bincount(group)
-        wide = np.int64(1) << 32
-        keep = size[group] > 1
-        rows, group = _take(rows, keep), group[keep]
-        ys = np.flatnonzero(rows["role"] != OPEN)
-        code = group[ys] * wide + rows["n"][ys]
-        order = np.argsort(code, kind="stable")
-        code, y = code[order], _take(rows, ys[order])
-        xs = np.flatnonzero(rows["open"] & (rows["role"] != EARLIER))
-        x, base = _take(rows, xs), group[xs] * wide
-        lo = np.searchsorted(code, base + np.ceil(x["n"] * similarity - EPS).astype(np.int64), "left")
-        hi = np.searchsorted(code, base + np.floor(x["n"] / similarity + EPS).astype(np.int64), "right")
-        upto = np.concatenate([[0], np.cumsum(hi - lo)])
-        left, right = [], []
-        at = 0
-        while at < len(xs):  # a class meets one group at a time, so that a step is at most a group beyond PAIRS
-            to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, "right")) - 1)
-            reps = (hi - lo)[at:to]
-            xi = np.repeat(np.arange(at, to), reps)
-            yi = np.arange(len(xi)) - np.repeat(upto[at:to] - upto[at], reps) + np.repeat(lo[at:to], reps)
-            keep = y["cid"][yi] < x["cid"][xi]
-            xi, yi = xi[keep], yi[keep]
-            ok, _ = may_match(_take(x, xi), _take(y, yi), similarity)
-            left.append(x["cid"][xi[ok]])
-            right.append(y["cid"][yi[ok]])
-            at = to
-        return left, right
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        count = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(_columns(batch))
-            count += batch.num_rows
-            if count < 2 * ROWS:
-                continue
-            rows = _join(held)
-            last = np.flatnonzero((rows["w"] != rows["w"][-1]) | (rows["b"] != rows["b"][-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield _pairs(*meet(_take(rows, slice(0, cut))))
-            rows = _take(rows, slice(cut, None))
-            if (rows["role"] == OPEN).any():  # earlier ones come first: visitors meet the block and go
-                yield _pairs(*meet(rows))
-                rows = _take(rows, rows["role"] != OPEN)
-            held = [{c: v.copy() for c, v in rows.items()}]
-            count = 0  # the rest of a group, at most a block, and the next rows
-        if held:
-            yield _pairs(*meet(_join(held)))
-
-    return dealt.repartition(parts, "w", "b").sortWithinPartitions("w", "b", "role").mapInArrow(run, "x bigint, y bigint").distinct()
-
-
-def matched_classes(classes: DataFrame, docs: DataFrame, rank: np.ndarray, similarity: float, hot: int = HOT) -> DataFrame:
-    """Classes ``x`` (their numbers) with an earlier similar class."""
-    sized = classes.where(F.size("prefix") > 0)
     of = F.posexplode("prefix").alias("i", "w")
-    last = sized.select("cid", "n", "sig", "sig2", of, F.size("prefix").alias("p")).where(F.col("i") >= F.col("p") - LAST)
-    with arrow_rows(classes.sparkSession, ROWS):
-        near = stage(near_pairs(last, similarity), "line-near")
-    settled = stage(verify(near, classes, docs, rank, similarity), "line-settled")
+    # near copies share the last words of a prefix: the first ones are their own
+    last = classes.select("cid", "n", "sig", "sig2", F.size("prefix").alias("p"), of).where(F.col("i") >= F.col("p") - LAST)
+    near = stage(near_pairs(last.drop("p"), similarity, hot), "line-near")
+    settled = verify(near, sets, similarity)
     unstage(near)
-    open_ = sized.join(settled.select(F.col("x").alias("cid"), F.lit(True).alias("done")), "cid", "left")
-    words = open_.select("cid", "n", "sig", "sig2", F.col("done").isNull().alias("open"), of)
-    with arrow_rows(classes.sparkSession, ROWS):
-        met = stage(met_pairs(words, similarity, hot), "line-pairs")
-    out = stage(settled.union(verify(met, classes, docs, rank, similarity)).distinct(), "line-gone")
-    unstage(met)
-    unstage(settled)
-    return out
 
-
-def class_table(lines: DataFrame) -> DataFrame:
-    """Classes of equal sets: first place, hashes, size, prefix, and a number
-    ``cid`` that ascends with the place (rows are sorted over the partitions)."""
-    first = lines.groupBy("h1", "w1", "n", "sig", "sig2", "prefix").agg(F.min(F.struct("id", "no")).alias("at")).select(
-        F.col("at.id").alias("id"), F.col("at.no").alias("no"), "h1", "w1", "n", "sig", "sig2", "prefix")
-    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = ["id", "no", "h1"]
-    return first.repartitionByRange(parts, *place).sortWithinPartitions(*place).withColumn("cid", F.monotonically_increasing_id())
+    words = classes.join(settled.select(F.col("x").alias("cid"), F.lit(False).alias("still")), "cid", "left").select(
+        "cid", "n", "sig", "sig2", F.coalesce("still", F.lit(True)).alias("open"), of)
+    band = F.floor(F.log(F.col("n")) / log).cast("int").alias("band")
+    # a word has no more classes than its bucket has words, so few words are counted one by one
+    counted = stage(words.where(F.shiftrightunsigned("w", LEVEL) >= level(hot)).groupBy("w", band).count(), "line-counts")
+    many = counted.groupBy("w").agg(F.sum("count").alias("c")).where(F.col("c") > hot).select("w")
+    blocks = stage(counted.join(many, "w", "left_semi").select("w", "band", F.ceil(F.col("count") / hot).alias("blocks")), "line-blocks")
+    unstage(counted)
+    met = []
+    if not blocks.isEmpty():
+        named = blocks.select("w").distinct()
+        hot_words = words.join(named, "w", "left_semi").withColumn("band", band)
+        met.append(stage(hot_pairs(hot_words, blocks, similarity).distinct(), "line-hot-pairs"))
+        words = words.join(named, "w", "left_anti")
+    # one part of the words after the other, so that their rows hold less disk at once
+    for part in range(PARTS):
+        some = words.where(F.col("w").bitwiseAND(F.lit(PARTS - 1)) == part)
+        pairs = some.select("w", "open", *_as("x")).join(some.select("w", F.col("open").alias("any"), *_as("y")), "w")
+        met.append(stage(pairs.where(F.col("open") & may_match(similarity)).select(*_pair()).distinct(), "line-pairs"))
+    found = met[0]
+    for m in met[1:]:
+        found = found.union(m)
+    # one partner is enough: the most alike first, then all of the classes still open
+    best = verify(found.groupBy("x").agg(F.min_by("y", "apart").alias("y")), sets, similarity)
+    rest = verify(found.join(best, "x", "left_anti").distinct(), sets, similarity)
+    for m in met:
+        unstage(m)
+    return settled.union(best).union(rest)
 
 
 def removed_lines(docs: DataFrame, similarity: float = 0.8, hot: int = HOT) -> DataFrame:
     """(id, k, no) of the lines that go; docs: id, k, t (no nulls). A word of
     more than ``hot`` classes is split; this changes the work alone."""
-    rank = rarity(docs)
-    whole = stage(line_table(docs, rank, similarity), "lines")
-    classes = stage(class_table(whole), "line-classes")
-    # once the classes are known, a line is its place and its class's name
-    lines = stage(whole.select("id", "k", "no", "h1", "w1"), "line-names")
-    unstage(whole)
-    gone = matched_classes(classes, docs, rank, similarity, hot).select(F.col("x").alias("cid"), F.lit(True).alias("gone"))
-    state = classes.select("h1", "w1", "cid", F.col("id").alias("cid_id"), F.col("no").alias("cid_no")).join(gone, "cid", "left")
-    first = F.col("id").eqNullSafe(F.col("cid_id")) & (F.col("no") == F.col("cid_no"))
-    return lines.select("id", "k", "no", "h1", "w1").join(state, ["h1", "w1"]).where(
-        F.coalesce("gone", F.lit(False)) | ~first).select("id", "k", "no")
+    numbers, lines, rows = number(docs)
+    if not lines:
+        return numbers.select("id", "k", F.lit(0).alias("no"))
+    # a place: id, line number, text of the id
+    step = numbers.agg(F.max("sub")).first()[0] + 1
+    per = lines * step
+    texts = docs.dropDuplicates(["id", "k"]) if rows > 1 else docs
+    at = numbers.select(F.col("id").alias("id_"), F.col("k").alias("k_"), (F.col("seq") * F.lit(per) + F.col("sub")).alias("base"))
+    texts = texts.join(at, texts["id"].eqNullSafe(at["id_"]) & (texts["k"] == at["k_"])).select("base", "t")
+    # word hashes repeat: a dictionary holds each once a file
+    sets = stage(line_sets(texts, step), "line-sets", **{"parquet.dictionary.page.size": 16 << 20})
+    names = sets.groupBy("h1", "h2").agg(F.min("place").alias("cid"))
+    member = stage(sets.select("h1", "h2", "place").join(names, ["h1", "h2"]).select("place", "cid"), "line-members")
+    late = member.where("place <> cid").select(F.col("place").alias("cid"))
+    classes = prefixes(sets, rarity(sets), similarity).join(late.hint("shuffle_hash"), "cid", "left_anti")
+    classes = stage(classes, "line-classes")
+    gone = matched_classes(classes, sets, similarity, hot).select(F.col("x").alias("cid"), F.lit(True).alias("gone"))
+    unstage(classes)
+    unstage(sets)
+    out = member.join(gone, "cid", "left").where(F.coalesce("gone", F.lit(False)) | F.expr(f"place div {step}L <> cid div {step}L"))
+    out = out.select(F.expr(f"place div {per}L").alias("seq"), F.expr(f"place % {step}L").alias("sub"),
+                     F.expr(f"CAST(place % {per}L div {step}L AS INT)").alias("no"))
+    return out.join(numbers, ["seq", "sub"]).select("id", "k", "no")
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -110,17 +110,60 @@ def test_split_words(spark, hot):
     assert {r.id for r in removed} == {i for i, text in want.items() if text == ""}
 
 
-def test_cut_lines_by_hand():
-    """Sets of one batch, texts that touch in the buffer, empty texts, a word
-    longer than the table of weights."""
+def test_cut_lines_by_hand(spark):
+    """Sets of whole texts, empty texts, all blanks, very long words."""
     texts = ["a b", "", "a b\n\nc\ta\x0bb ", "\n", "b a b", "x" * 70_000 + " y", "x" * 70_001 + " y", "é日 é"]
-    import numpy as np
-    import pyarrow as pa
-    rank = np.zeros(L.BUCKETS, np.int64)
-    s = L.Sets(pa.array(texts), rank)
-    assert list(zip(s.doc.tolist(), s.no.tolist(), s.n.tolist())) == [
+    rows = L.line_sets(spark.createDataFrame([(10 * i, t) for i, t in enumerate(texts)], "base bigint, t string"), 1).collect()
+    rows = sorted(rows, key=lambda r: r.place)
+    assert [(r.place // 10, r.place % 10, len(r.s)) for r in rows] == [
         (0, 0, 2), (2, 0, 2), (2, 2, 3), (4, 0, 2), (5, 0, 2), (6, 0, 2), (7, 0, 2)]
-    names = list(zip(*[x.tolist() for x in s.names()]))
+    names = [(r.h1, r.h2) for r in rows]
     assert names[0] == names[1] == names[3] and len(set(names)) == 5
-    assert L.Sets(pa.array([], pa.string()), rank).n.size == L.Sets(pa.array(["", " "]), rank).n.size == 0
-    assert not any(x.size for x in L.Sets(pa.array([""]), rank).parities())
+    blank = spark.createDataFrame([(0, ""), (1, " "), (2, "\r\n\x0c\t")], "base bigint, t string")
+    assert L.line_sets(blank, 1).count() == L.line_sets(blank.limit(0), 1).count() == 0
+
+
+def test_dataframe_functions_alone(spark, monkeypatch):
+    """No staged step and not the result runs Python on the executors."""
+    prepare(spark)
+    plans = []
+    kept = L.stage
+
+    def stage(df, name, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name, **options)
+
+    monkeypatch.setattr(L, "stage", stage)
+    rng = random.Random(31)
+    rows = [(i, "\n".join(variants(rng, 4))) for i in range(40)]
+    out = L.deduplicate(docs_of(spark, rows), extra=True)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5
+    assert not [p for p in plans if any(x in p for x in ("MapInArrow", "MapInPandas", "Python", "ArrowEval", "InArrow", "InPandas"))]
+    assert {r.doc_id: r.text for r in out.collect()} == by_hand(rows, 0.8)
+
+
+def test_near_copies_leave_few_pairs(spark, monkeypatch):
+    """The near pass settles a group, so that its classes do not all meet."""
+    prepare(spark)
+    counts = {}
+    kept = L.stage
+
+    def stage(df, name, **options):
+        out = kept(df, name, **options)
+        if name in ("line-pairs", "line-hot-pairs"):
+            counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(L, "stage", stage)
+    rng = random.Random(32)
+    base = [f"h{i}" for i in range(40)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(40)] = f"e{rng.randrange(10_000)}"
+        rows.append((i, " ".join(w)))
+    got = {r.doc_id: r.text for r in L.deduplicate(docs_of(spark, rows)).collect()}
+    assert got == by_hand(rows, 0.8)
+    assert sum(counts.values()) < 20 * len(rows)
