@@ -223,7 +223,9 @@ def matched_classes(classes: DataFrame, sets: DataFrame, similarity: float, hot:
     for part in range(PARTS):
         some = words.where(F.col("w").bitwiseAND(F.lit(PARTS - 1)) == part)
         pairs = some.select("w", "open", *_as("x")).join(some.select("w", F.col("open").alias("any"), *_as("y")), "w")
-        met.append(stage(pairs.where(F.col("open") & may_match(similarity)).select(*_pair()).distinct(), "line-pairs"))
+        # a condition on both sides stays in the join, which then reads one exchange twice
+        still = F.col("open").cast("int") * 2 + F.col("any").cast("int") >= 2
+        met.append(stage(pairs.where(may_match(similarity) & still).select(*_pair()).distinct(), "line-pairs"))
     found = met[0]
     for m in met[1:]:
         found = found.union(m)
